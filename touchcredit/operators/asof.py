@@ -5,14 +5,18 @@ greatest payload with ``time <= probe_time`` (backward) or the least payload
 with ``time >= probe_time`` (forward). Payload is a struct whose first field
 is the time, so struct order = time order, then the tie keys.
 
-Plan (three shuffles, none of them pairs):
+Plan (no shuffle carries pairs):
 
+0. points collapse per ``(key, time)`` (max and min payload) with a
+   map-side partial aggregate: copies and ties never pile up in one task.
+   Probes must already be unique per (key, time, direction).
 1. points and probes are unioned and hash-partitioned by ``(key, chunk)``,
    ``chunk = time div chunk_us``. Within a chunk, a running max (time asc)
    and a running min (time desc) over ``RANGE UNBOUNDED PRECEDING`` give the
    local answer; RANGE includes peers, so equal times count (inclusive
    ends).
-2. A per-``(key, chunk)`` summary (max and min payload) is windowed by key
+2. A per-``(key, chunk)`` summary (max and min payload, partial aggregate)
+   is windowed by key
    in chunk order: the carry is the best payload of all earlier chunks
    (backward) or of all later chunks (forward). One row per active
    ``(key, chunk)``, so a key's history is never gathered in one task.
@@ -55,9 +59,12 @@ def asof_match(points: DataFrame, probes: DataFrame, *, key: str, time: str,
     expressions over ``probes``.
     """
     probe_cols = probes.columns
+    # Copies and exact-time ties of points collapse first, with a map-side
+    # partial aggregate, so no group of copies reaches one window task.
     pts = (points.where(F.col(key).isNotNull() & F.col(time).isNotNull())
            .select(F.col(key).alias(_KEY), F.col(time).cast("bigint").alias(_T),
-                   payload.alias(_M)))
+                   payload.alias(_M))
+           .groupBy(_KEY, _T).agg(F.max(_M).alias("_mx"), F.min(_M).alias("_mn")))
     prb = (probes.where(F.col(key).isNotNull())
            .select(F.col(key).alias(_KEY), probe_time.cast("bigint").alias(_T),
                    F.struct(forward.alias("__fwd"), *[F.col(c) for c in probe_cols]).alias(_P))
@@ -69,12 +76,12 @@ def asof_match(points: DataFrame, probes: DataFrame, *, key: str, time: str,
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     local_down = Window.partitionBy(_KEY, _CH).orderBy(F.col(_T).desc()) \
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    win = (u.withColumn("_back", F.max(_M).over(local_up))
-            .withColumn("_fore", F.min(_M).over(local_down)))
+    win = (u.withColumn("_back", F.max("_mx").over(local_up))
+            .withColumn("_fore", F.min("_mn").over(local_down)))
 
-    # Summary per (key, chunk); `win` is already partitioned that way, so
-    # this aggregate adds no shuffle.
-    summary = win.groupBy(_KEY, _CH).agg(F.max(_M).alias("_cmax"), F.min(_M).alias("_cmin"))
+    # One row per active (key, chunk): its best points. Partial aggregation
+    # before the (small) shuffle.
+    summary = u.groupBy(_KEY, _CH).agg(F.max("_mx").alias("_cmax"), F.min("_mn").alias("_cmin"))
     earlier = Window.partitionBy(_KEY).orderBy(F.col(_CH).asc()) \
         .rowsBetween(Window.unboundedPreceding, -1)
     later = Window.partitionBy(_KEY).orderBy(F.col(_CH).desc()) \

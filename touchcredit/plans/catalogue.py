@@ -14,12 +14,21 @@ from pyspark.sql import functions as F
 
 from touchcredit import config as C
 from touchcredit.config import AttributionConfig
+from touchcredit.functions import columns as fc
 from touchcredit.operators import credit as cr
+from touchcredit.operators import quality as dq
+from touchcredit.operators import reports as rp
 from touchcredit.operators import staging
 from touchcredit.plans.pipeline import AS_OF, Pipeline, driver_inputs
+from touchcredit.session import ensure_utc
+from touchcredit.sources import csv_flat
+from touchcredit.sources import events_adapter as ea
+from touchcredit.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+AS_OF_US = 1_706_659_200_000_000  # 2024-01-31 00:00:00 UTC in micros
+
 STG_OUT = ["event_date", "event_timestamp", "event_name", "user_pseudo_id", "ga_session_id",
            "source", "medium", "campaign", "purchase_revenue", "_source"]
 TOUCH_OUT = ["user_pseudo_id", "ga_session_id", "touchpoint_us", "source", "medium",
@@ -83,7 +92,139 @@ def _channel_daily(days: int) -> Query:
     return q
 
 
+# --- reports -----------------------------------------------------------------
+
+def q_model_totals(spark, sf_dir):
+    return rp.model_totals(pipeline(spark, sf_dir).credited)
+
+
+def q_channel_breakdown(spark, sf_dir):
+    return rp.ordered_breakdown(rp.channel_breakdown(pipeline(spark, sf_dir).credited))
+
+
+def q_channel_compare(spark, sf_dir):
+    return rp.channel_compare(pipeline(spark, sf_dir).credited) \
+        .orderBy(F.col("lc_revenue").desc(), "attributed_channel")
+
+
+def q_channel_scaled(spark, sf_dir):
+    return rp.channel_scaled(rp.channel_compare(pipeline(spark, sf_dir).credited))
+
+
+def q_trend_14(spark, sf_dir):
+    return rp.trend(pipeline(spark, sf_dir).channel_daily, 14)
+
+
+def q_model_disagreement(spark, sf_dir):
+    return rp.model_disagreement(pipeline(spark, sf_dir).credited)
+
+
+def q_model_disagreement_sample(spark, sf_dir):
+    return rp.disagreement_sample(rp.model_disagreement(pipeline(spark, sf_dir).credited), 5)
+
+
+# --- stream ---------------------------------------------------------------------
+
+def _deliveries(spark, sf_dir) -> DataFrame:
+    ensure_utc(spark)
+    return ea.stream_deliveries(ea.load_events(spark, sf_dir))
+
+
+def _stream_table(spark, sf_dir) -> DataFrame:
+    return ingest.dedupe_deliveries(_deliveries(spark, sf_dir))
+
+
+def q_stream_dedupe(spark, sf_dir):
+    t = _stream_table(spark, sf_dir)
+    return t.withColumn("ingested_at", F.date_format("ingested_at", rp.ISO_MICROS))
+
+
+def q_stream_replay_counts(spark, sf_dir):
+    return ingest.replay_counts(_deliveries(spark, sf_dir))
+
+
+def q_stream_union_marts(spark, sf_dir):
+    return pipeline(spark, sf_dir, split_feeds=True).channel_daily
+
+
+def q_latest_events_20(spark, sf_dir):
+    return rp.latest_events(_stream_table(spark, sf_dir), 20)
+
+
+def q_stream_lag(spark, sf_dir):
+    return rp.stream_lag(_stream_table(spark, sf_dir), AS_OF_US)
+
+
+def q_event_id_hash(spark, sf_dir):
+    return pipeline(spark, sf_dir).stg.select("ga_session_id", fc.event_key().alias("event_key"))
+
+
+def q_stg_csv_clean(spark, sf_dir):
+    ensure_utc(spark)
+    text = csv_flat.to_csv_lines(pipeline(spark, sf_dir).stg)
+    return csv_flat.clean(csv_flat.parse_lines(text))
+
+
+# --- quality --------------------------------------------------------------------
+
+def q_dq_not_null(spark, sf_dir):
+    return dq.not_null(pipeline(spark, sf_dir).relations())
+
+
+def q_dq_unique(spark, sf_dir):
+    return dq.unique(pipeline(spark, sf_dir).relations())
+
+
+def q_dq_accepted_values(spark, sf_dir):
+    p = pipeline(spark, sf_dir)
+    return dq.accepted_values(p.stg, p.channel_daily)
+
+
+def _last_only(p: Pipeline) -> DataFrame:
+    return cr.mart(cr.credit(p.touchpoints, p.conversions, p.config.lookback_us,
+                             chunk_us=p.config.chunk_us, models=(C.LAST_CLICK,)), C.LAST_CLICK)
+
+
+def _orphans(days: int) -> Query:
+    def q(spark, sf_dir):
+        p = pipeline(spark, sf_dir, lookback_days=days)
+        return dq.orphans(p.conversions, _last_only(p))
+    return q
+
+
+def _orphan_rate(days: int) -> Query:
+    def q(spark, sf_dir):
+        p = pipeline(spark, sf_dir, lookback_days=days)
+        return dq.orphan_rate(p.conversions, _last_only(p))
+    return q
+
+
+def q_dq_revenue_conserved(spark, sf_dir):
+    return dq.revenue_conserved(pipeline(spark, sf_dir).channel_daily)
+
+
+def q_dq_freshness(spark, sf_dir):
+    return dq.freshness(pipeline(spark, sf_dir).stg, AS_OF_US)
+
+
+def q_dq_rowcount_7d(spark, sf_dir):
+    return dq.rowcount_vs_trailing(pipeline(spark, sf_dir).channel_daily, AS_OF)
+
+
+def q_dq_summary(spark, sf_dir):
+    p = pipeline(spark, sf_dir)
+    rel = p.relations()
+    return dq.summary(
+        dq.not_null(rel), dq.unique(rel), dq.accepted_values(p.stg, p.channel_daily),
+        dq.orphan_rate(p.conversions, p.mart(C.LAST_CLICK)), dq.revenue_conserved(p.channel_daily),
+        dq.freshness(p.stg, AS_OF_US),
+        dq.repeated_param_keys(staging.param_lookup(p.inputs.batch_raw)),
+        dq.rowcount_vs_trailing(p.channel_daily, AS_OF),
+    )
+
+
 def queries() -> dict[str, Query]:
+
     out: dict[str, Query] = {
         "stg_events": q_stg_events,
         "stg_param_lookup": q_stg_param_lookup,
@@ -102,4 +243,31 @@ def queries() -> dict[str, Query]:
     out["channel_daily"] = _channel_daily(30)
     out["channel_daily_1d"] = _channel_daily(1)
     out["channel_daily_7d"] = _channel_daily(7)
+    out.update({
+        "model_totals": q_model_totals,
+        "channel_breakdown": q_channel_breakdown,
+        "channel_compare": q_channel_compare,
+        "channel_scaled": q_channel_scaled,
+        "trend_14": q_trend_14,
+        "model_disagreement": q_model_disagreement,
+        "model_disagreement_sample": q_model_disagreement_sample,
+        "latest_events_20": q_latest_events_20,
+        "stream_dedupe": q_stream_dedupe,
+        "stream_replay_counts": q_stream_replay_counts,
+        "stream_union_marts": q_stream_union_marts,
+        "stream_lag": q_stream_lag,
+        "event_id_hash": q_event_id_hash,
+        "stg_csv_clean": q_stg_csv_clean,
+        "dq_not_null": q_dq_not_null,
+        "dq_unique": q_dq_unique,
+        "dq_accepted_values": q_dq_accepted_values,
+        "dq_orphans": _orphans(30),
+        "dq_orphans_1d": _orphans(1),
+        "dq_orphan_rate": _orphan_rate(30),
+        "dq_orphan_rate_7d": _orphan_rate(7),
+        "dq_revenue_conserved": q_dq_revenue_conserved,
+        "dq_freshness": q_dq_freshness,
+        "dq_rowcount_7d": q_dq_rowcount_7d,
+        "dq_summary": q_dq_summary,
+    })
     return out

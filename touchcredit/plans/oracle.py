@@ -123,6 +123,87 @@ def credited_ctes(days: int, feed: str = "all") -> str:
                  credit_cte("lc", "last_click", days))
 
 
+AS_OF_US = 1_706_659_200_000_000
+UNION_FL = "u AS (SELECT * FROM fc UNION ALL SELECT * FROM lc)"
+STREAM = """s AS (
+  SELECT substr(sha256(r.user_pseudo_id || '|' || CAST(r.event_timestamp AS VARCHAR) || '|' || r.event_name), 1, 16)
+           AS event_id,
+         r.event_date, r.event_timestamp, r.event_name, r.user_pseudo_id, r.ga_session_id,
+         coalesce(r.p_source, r.t_source) AS source, coalesce(r.p_medium, r.t_medium) AS medium,
+         coalesce(r.p_campaign, r.t_name) AS campaign, r.purchase_revenue,
+         r.ts + to_seconds(r.k) AS ingested_ts, r.src_event_id
+  FROM raw r WHERE r.src_event_id % 10 = 0
+)"""
+ISO = "'%Y-%m-%dT%H:%M:%S.%f'"
+DAILY_CTE = "daily AS (" + DAILY + ")"
+
+
+def _not_null_sql() -> str:
+    spec = [
+        ("stg_events", "stg", ["event_timestamp", "event_name", "user_pseudo_id"], {}),
+        ("int_touchpoints", "tp", ["touchpoint_ts", "channel"], {"touchpoint_ts": "touchpoint_us"}),
+        ("int_conversions", "cv", ["conversion_id", "conversion_ts", "purchase_revenue"],
+         {"conversion_ts": "conversion_us"}),
+        ("mart_attribution_first_click", "fc", ["conversion_id", "attributed_channel", "purchase_revenue"], {}),
+        ("mart_attribution_last_click", "lc", ["conversion_id", "attributed_channel", "purchase_revenue"], {}),
+        ("mart_channel_daily", "daily", ["attribution_model", "conversion_date", "conversions"], {}),
+    ]
+    parts = []
+    for rel, cte, cols, alias in spec:
+        for c in cols:
+            parts.append(f"SELECT '{rel}' AS relation, '{c}' AS column_name, "
+                         f"CAST(count(*) FILTER (WHERE {alias.get(c, c)} IS NULL) AS BIGINT) AS failures FROM {cte}")
+    return "\nUNION ALL ".join(parts)
+
+
+def _unique_sql() -> str:
+    parts = []
+    for rel, cte in (("int_conversions", "cv"), ("mart_attribution_first_click", "fc"),
+                     ("mart_attribution_last_click", "lc")):
+        parts.append(f"SELECT '{rel}' AS relation, 'conversion_id' AS column_name, CAST(count(*) AS BIGINT) AS failures "
+                     f"FROM (SELECT conversion_id FROM {cte} WHERE conversion_id IS NOT NULL "
+                     f"GROUP BY conversion_id HAVING count(*) > 1)")
+    return "\nUNION ALL ".join(parts)
+
+
+ACCEPTED_SQL = """SELECT 'stg_events' AS relation, 'event_name' AS column_name, event_name AS value, count(*) AS n_rows
+FROM stg WHERE event_name NOT IN ('session_start','page_view','view_item','add_to_cart','begin_checkout','purchase')
+GROUP BY event_name
+UNION ALL
+SELECT 'mart_channel_daily', 'attribution_model', attribution_model, count(*)
+FROM daily WHERE attribution_model NOT IN ('first_click','last_click') GROUP BY attribution_model"""
+
+ORPHAN_RATE_SQL = """SELECT count(*) AS conversions,
+       count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM lc m WHERE m.conversion_id = c.conversion_id)) AS orphans,
+       round(orphans / conversions, 6) AS orphan_rate
+FROM cv c"""
+
+CONSERVED_SQL = """SELECT first_click_total, last_click_total,
+       coalesce(first_click_total <> last_click_total, FALSE) AS ref_violation,
+       first_click_total IS DISTINCT FROM last_click_total AS strict_violation
+FROM (SELECT round(sum(revenue) FILTER (WHERE attribution_model = 'first_click'), 2) AS first_click_total,
+             round(sum(revenue) FILTER (WHERE attribution_model = 'last_click'), 2) AS last_click_total
+      FROM daily)"""
+
+FRESH_SQL = f"""SELECT newest_event_us, hours_since,
+       CASE WHEN hours_since > 50 THEN 'error' WHEN hours_since > 26 THEN 'warn' ELSE 'pass' END AS status
+FROM (SELECT max(event_timestamp) AS newest_event_us,
+             round(({AS_OF_US} - max(event_timestamp)) / 3600000000.0, 3) AS hours_since FROM stg)"""
+
+ROWCOUNT_SQL = """SELECT strftime(cal.d, '%Y%m%d') AS conversion_date,
+       CAST(coalesce(pd.n_rows, 0) AS BIGINT) AS n_rows,
+       round(coalesce(sp.prev7, 0) / 7.0, 3) AS prev7_avg,
+       CASE WHEN round(coalesce(sp.prev7, 0) / 7.0, 3) > 0
+             AND coalesce(pd.n_rows, 0) < round(coalesce(sp.prev7, 0) / 7.0, 3) * 0.5
+            THEN 'fail' ELSE 'pass' END AS status
+FROM (SELECT unnest(generate_series(lo, DATE '2024-01-30', INTERVAL 1 DAY))::DATE AS d
+      FROM (SELECT min(d) AS lo FROM pd)) cal
+LEFT JOIN pd ON pd.d = cal.d
+LEFT JOIN (SELECT CAST(pd.d + r.i AS DATE) AS d, sum(pd.n_rows) AS prev7
+           FROM pd, (SELECT CAST(range AS INTEGER) AS i FROM range(1, 8)) r GROUP BY 1) sp ON sp.d = cal.d"""
+PD_CTE = "pd AS (SELECT CAST(strptime(conversion_date, '%Y%m%d') AS DATE) AS d, count(*) AS n_rows FROM daily GROUP BY 1)"
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     b = with_(base_ctes())
@@ -154,4 +235,107 @@ FROM raw"""
     out["channel_daily"] = credited_ctes(30) + "\n" + DAILY
     out["channel_daily_1d"] = credited_ctes(1) + "\n" + DAILY
     out["channel_daily_7d"] = credited_ctes(7) + "\n" + DAILY
+
+    c30 = credited_ctes(30)
+    agg2 = "count(*) AS conversions, round(sum(purchase_revenue), 2) AS revenue"
+    out["model_totals"] = c30 + f", {UNION_FL}\nSELECT attribution_model, {agg2} FROM u GROUP BY 1"
+    out["channel_breakdown"] = c30 + f", {UNION_FL}\nSELECT attribution_model, attributed_channel, {agg2} FROM u GROUP BY 1, 2"
+    cmp_sel = """SELECT attributed_channel,
+  count(*) FILTER (WHERE attribution_model = 'first_click') AS fc_conversions,
+  coalesce(round(sum(purchase_revenue) FILTER (WHERE attribution_model = 'first_click'), 2), 0.0) AS fc_revenue,
+  count(*) FILTER (WHERE attribution_model = 'last_click') AS lc_conversions,
+  coalesce(round(sum(purchase_revenue) FILTER (WHERE attribution_model = 'last_click'), 2), 0.0) AS lc_revenue
+FROM u GROUP BY attributed_channel"""
+    out["channel_compare"] = c30 + f", {UNION_FL}\n" + cmp_sel
+    out["channel_scaled"] = c30 + f", {UNION_FL}, cmp AS ({cmp_sel}),\n" + """mx AS (SELECT greatest(1.0, max(greatest(fc_revenue, lc_revenue))) AS m FROM cmp)
+SELECT attributed_channel, fc_revenue, lc_revenue,
+       round(fc_revenue / m * 100, 1) AS fc_pct, round(lc_revenue / m * 100, 1) AS lc_pct
+FROM cmp, mx"""
+    out["trend_14"] = c30 + f", {DAILY_CTE},\n" + """d AS (SELECT DISTINCT conversion_date FROM daily ORDER BY conversion_date DESC LIMIT 14),
+per AS (SELECT conversion_date,
+   CAST(coalesce(sum(conversions) FILTER (WHERE attribution_model = 'first_click'), 0) AS BIGINT) AS first_click,
+   CAST(coalesce(sum(conversions) FILTER (WHERE attribution_model = 'last_click'), 0) AS BIGINT) AS last_click
+ FROM daily WHERE conversion_date IN (SELECT conversion_date FROM d) GROUP BY 1)
+SELECT *, CAST((SELECT greatest(1, max(greatest(first_click, last_click))) FROM per) AS BIGINT) AS chart_max FROM per"""
+    dis = """SELECT f.conversion_id, f.attributed_channel AS first_channel, l.attributed_channel AS last_channel
+FROM fc f JOIN lc l ON f.conversion_id = l.conversion_id
+WHERE f.attributed_channel <> l.attributed_channel"""
+    out["model_disagreement"] = c30 + "\n" + dis
+    out["model_disagreement_sample"] = c30 + "\n" + dis + "\nORDER BY f.conversion_id LIMIT 5"
+
+    sb = with_(base_ctes(), STREAM)
+    out["stream_dedupe"] = sb + f"""
+SELECT event_id, event_date, event_timestamp, event_name, user_pseudo_id, ga_session_id,
+       source, medium, campaign, purchase_revenue, strftime(ingested_ts, {ISO}) AS ingested_at
+FROM s"""
+    out["latest_events_20"] = sb + f"""
+SELECT event_id, event_name, user_pseudo_id, source, medium, purchase_revenue,
+       strftime(ingested_ts, {ISO}) AS ingested_at
+FROM s ORDER BY ingested_ts DESC, event_id ASC LIMIT 20"""
+    out["stream_replay_counts"] = sb + """,
+deliv AS (
+  SELECT event_id, event_date AS batch_id FROM s
+  UNION ALL SELECT event_id, event_date FROM s WHERE src_event_id % 20 = 0
+  UNION ALL SELECT event_id, strftime(strptime(event_date, '%Y%m%d') + INTERVAL 1 DAY, '%Y%m%d')
+            FROM s WHERE src_event_id % 20 = 0
+),
+first_seen AS (SELECT event_id, min(batch_id) AS batch_id FROM deliv GROUP BY event_id),
+n_in AS (SELECT batch_id, count(*) AS n_in FROM deliv GROUP BY batch_id),
+n_new AS (SELECT batch_id, count(*) AS n_new FROM first_seen GROUP BY batch_id)
+SELECT n_in.batch_id, n_in.n_in, CAST(coalesce(n_new.n_new, 0) AS BIGINT) AS n_new,
+       n_in.n_in - CAST(coalesce(n_new.n_new, 0) AS BIGINT) AS n_skipped
+FROM n_in LEFT JOIN n_new ON n_in.batch_id = n_new.batch_id"""
+    out["stream_union_marts"] = out["channel_daily"]
+    out["stream_lag"] = sb + f"""
+SELECT n_rows, newest_ingested_us, lag_seconds,
+       CASE WHEN lag_seconds > 300 THEN 'alert' ELSE 'ok' END AS status
+FROM (SELECT count(*) AS n_rows, max(epoch_us(ingested_ts)) AS newest_ingested_us,
+             round(({AS_OF_US} - max(epoch_us(ingested_ts))) / 1000000.0, 3) AS lag_seconds FROM s)"""
+    out["event_id_hash"] = b + """
+SELECT ga_session_id,
+       substr(sha256(user_pseudo_id || '|' || CAST(event_timestamp AS VARCHAR) || '|' || event_name), 1, 16) AS event_key
+FROM stg"""
+    out["stg_csv_clean"] = b + """
+SELECT event_date, event_timestamp, event_timestamp / 1000000.0 AS event_ts_seconds, event_name,
+       user_pseudo_id, ga_session_id, source, medium, campaign, purchase_revenue
+FROM stg"""
+
+    out["dq_not_null"] = c30 + f", {DAILY_CTE}\n" + _not_null_sql()
+    out["dq_unique"] = c30 + "\n" + _unique_sql()
+    out["dq_accepted_values"] = c30 + f", {DAILY_CTE}\n" + ACCEPTED_SQL
+    for days, suffix in ((30, ""), (1, "_1d")):
+        w = with_(base_ctes(), credit_cte("lc", "last_click", days))
+        out[f"dq_orphans{suffix}"] = w + """
+SELECT conversion_id, conversion_date FROM cv c
+WHERE NOT EXISTS (SELECT 1 FROM lc m WHERE m.conversion_id = c.conversion_id)"""
+    for days, suffix in ((30, ""), (7, "_7d")):
+        w = with_(base_ctes(), credit_cte("lc", "last_click", days))
+        out[f"dq_orphan_rate{suffix}"] = w + "\n" + ORPHAN_RATE_SQL
+    out["dq_revenue_conserved"] = c30 + f", {DAILY_CTE}\n" + CONSERVED_SQL
+    out["dq_freshness"] = b + "\n" + FRESH_SQL
+    out["dq_rowcount_7d"] = c30 + f", {DAILY_CTE}, {PD_CTE}\n" + ROWCOUNT_SQL
+    out["dq_summary"] = c30 + f""", {DAILY_CTE}, {PD_CTE},
+nn AS ({_not_null_sql()}),
+un AS ({_unique_sql()}),
+acc AS ({ACCEPTED_SQL}),
+orr AS ({ORPHAN_RATE_SQL}),
+cons AS ({CONSERVED_SQL}),
+fr AS ({FRESH_SQL}),
+rc AS ({ROWCOUNT_SQL}),
+counted AS (
+  SELECT 'not_null:' || relation || '.' || column_name AS check_name, failures FROM nn
+  UNION ALL SELECT 'unique:' || relation || '.' || column_name, failures FROM un
+  UNION ALL SELECT 'accepted_values:' || k.relation || '.' || k.column_name,
+                   CAST(coalesce((SELECT sum(n_rows) FROM acc WHERE acc.relation = k.relation
+                                   AND acc.column_name = k.column_name), 0) AS BIGINT)
+            FROM (VALUES ('stg_events', 'event_name'), ('mart_channel_daily', 'attribution_model')) k(relation, column_name)
+  UNION ALL SELECT 'no_orphaned_conversions', CAST(orphans AS BIGINT) FROM orr
+  UNION ALL SELECT 'revenue_conserved', CAST(ref_violation AS BIGINT) FROM cons
+  UNION ALL SELECT 'revenue_conserved_null_safe', CAST(strict_violation AS BIGINT) FROM cons
+  UNION ALL SELECT 'param_repeated_keys', CAST(0 AS BIGINT)
+  UNION ALL SELECT 'mart_rowcount_7d', CAST(count(*) FILTER (WHERE status = 'fail') AS BIGINT) FROM rc
+)
+SELECT check_name, failures, CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status FROM counted
+UNION ALL
+SELECT 'source_freshness', CAST(CASE WHEN status = 'pass' THEN 0 ELSE 1 END AS BIGINT), status FROM fr"""
     return out

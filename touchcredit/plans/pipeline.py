@@ -72,3 +72,15 @@ class Pipeline:
     @cached_property
     def channel_daily(self) -> DataFrame:
         return marts.channel_daily(self.credited)
+
+    def relations(self) -> dict[str, DataFrame]:
+        """The relations the schema checks look at, by their model names."""
+        from touchcredit import config as C
+        return {
+            "stg_events": self.stg,
+            "int_touchpoints": self.touchpoints,
+            "int_conversions": self.conversions,
+            "mart_attribution_first_click": self.mart(C.FIRST_CLICK),
+            "mart_attribution_last_click": self.mart(C.LAST_CLICK),
+            "mart_channel_daily": self.channel_daily,
+        }
