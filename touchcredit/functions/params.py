@@ -1,9 +1,11 @@
 """Lookups in the repeated ``event_params`` struct (P1, P2) and the
 repeated-key count used by the quality checks.
 
-A key may in principle occur twice in one event. A scalar lookup then has no
-single answer; we take the first match (``try_element_at`` gives NULL on an
-empty or NULL array instead of failing) and count such rows separately.
+``event_params.key`` extracts the array of keys and ``array_position`` finds
+the first match: both are whole-stage-codegen expressions (a lambda
+``filter`` is interpreted per element). A key may occur twice in one event;
+a scalar lookup then has no single answer, so we take the first match and
+count such rows separately. A NULL or empty array gives NULL.
 """
 
 from __future__ import annotations
@@ -14,21 +16,32 @@ from pyspark.sql import functions as F
 PARAMS = "event_params"
 
 
-def _matches(key: str, params: str | Column = PARAMS) -> Column:
-    col = F.col(params) if isinstance(params, str) else params
-    return F.filter(col, lambda p: p["key"] == F.lit(key))
+def _col(params: str | Column) -> Column:
+    return F.col(params) if isinstance(params, str) else params
+
+
+def _value(key: str, field: str, params: str | Column = PARAMS) -> Column:
+    p = _col(params)
+    idx = F.array_position(p["key"], F.lit(key))
+    return F.when(idx > 0, p["value"][field][idx - F.lit(1)])
 
 
 def param_int(key: str, params: str | Column = PARAMS) -> Column:
     """``(select value.int_value from unnest(event_params) where key = ...)``"""
-    return F.try_element_at(_matches(key, params), F.lit(1))["value"]["int_value"]
+    return _value(key, "int_value", params)
 
 
 def param_str(key: str, params: str | Column = PARAMS) -> Column:
     """``(select value.string_value from unnest(event_params) where key = ...)``"""
-    return F.try_element_at(_matches(key, params), F.lit(1))["value"]["string_value"]
+    return _value(key, "string_value", params)
+
+
+def key_count(key: str, params: str | Column = PARAMS) -> Column:
+    """How often ``key`` occurs in the row's params (0 for NULL params)."""
+    keys = F.coalesce(_col(params)["key"], F.array().cast("array<string>"))
+    return F.size(keys) - F.size(F.array_remove(keys, F.lit(key)))
 
 
 def repeated_key(key: str, params: str | Column = PARAMS) -> Column:
     """True when ``key`` occurs more than once in the row's params."""
-    return F.coalesce(F.size(_matches(key, params)) > 1, F.lit(False))
+    return key_count(key, params) > 1
