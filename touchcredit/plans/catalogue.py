@@ -269,5 +269,34 @@ def queries() -> dict[str, Query]:
         "dq_freshness": q_dq_freshness,
         "dq_rowcount_7d": q_dq_rowcount_7d,
         "dq_summary": q_dq_summary,
+        "stream_attribution": lambda spark, sf_dir: q_stream_attribution(spark, sf_dir),
     })
     return out
+
+
+def q_stream_attribution(spark, sf_dir):
+    """X6 end to end: the streaming feed (with replays) arrives as day files;
+    a Structured Streaming query merges each micro-batch idempotently and
+    credits its conversions at once against both feeds' touchpoints. The
+    live credits of the streamed conversions are returned."""
+    import uuid
+
+    from touchcredit.session import shared_dir
+    from touchcredit.streaming import live
+    from touchcredit.streaming.source import flat_event_stream, write_delivery_files
+
+    ensure_utc(spark)
+    root = shared_dir(spark, "touchcredit", f"stream_attribution-{uuid.uuid4().hex[:12]}")
+    write_delivery_files(_deliveries(spark, sf_dir), f"{root}/incoming")
+    ev = ea.load_events(spark, sf_dir)
+    from touchcredit.operators import journeys
+    batch_touch = journeys.touchpoints(staging.stg_events(ea.raw_batch(ev, "batch")))
+    cfg = AttributionConfig(lookback_days=C.DEFAULT_LOOKBACK_DAYS, as_of=AS_OF)
+    q = live.start_live_credit(
+        flat_event_stream(spark, f"{root}/incoming/batch_id=*/*.parquet", max_files_per_trigger=64),
+        batch_touch, f"{root}/stream_table", f"{root}/live_credit", f"{root}/checkpoint", cfg)
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/live_credit").select(*cr.MART_COLUMNS)
+
+
+STREAMING_QUERIES = {"stream_attribution": q_stream_attribution}

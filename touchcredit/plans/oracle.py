@@ -286,6 +286,10 @@ SELECT n_in.batch_id, n_in.n_in, CAST(coalesce(n_new.n_new, 0) AS BIGINT) AS n_n
        n_in.n_in - CAST(coalesce(n_new.n_new, 0) AS BIGINT) AS n_skipped
 FROM n_in LEFT JOIN n_new ON n_in.batch_id = n_new.batch_id"""
     out["stream_union_marts"] = out["channel_daily"]
+    out["stream_attribution"] = c30 + f""", {UNION_FL}
+SELECT {MART} FROM u
+WHERE conversion_id IN (SELECT user_pseudo_id || '-' || CAST(event_timestamp AS VARCHAR) FROM raw
+                        WHERE src_event_id % 10 = 0 AND event_name = 'purchase')"""
     out["stream_lag"] = sb + f"""
 SELECT n_rows, newest_ingested_us, lag_seconds,
        CASE WHEN lag_seconds > 300 THEN 'alert' ELSE 'ok' END AS status

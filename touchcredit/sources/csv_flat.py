@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchcredit.functions import columns as fc
-from touchcredit.sources.schemas import CSV_COLUMNS, CSV_FLAT_TEXT
+from touchcredit.sources.schemas import CSV_COLUMNS, CSV_FLAT_TEXT  # noqa: F401  (re-exported)
 
 CLEAN_COLUMNS = ["event_date", "event_timestamp", "event_ts_seconds", "event_name", "user_pseudo_id",
                  "ga_session_id", "source", "medium", "campaign", "purchase_revenue"]
