@@ -114,3 +114,27 @@ def stream_lag(stream_table: DataFrame, now_us: int, alert_seconds: int = 300) -
 def ordered_daily(daily: DataFrame) -> DataFrame:
     """T5: presentation order of the mart."""
     return daily.orderBy("conversion_date", "attribution_model", "attributed_channel")
+
+
+def bundle(totals: DataFrame, breakdown: DataFrame, trend_df: DataFrame, live: DataFrame,
+           generated_at: str, daily_path: str | None = None) -> DataFrame:
+    """One JSON document (one row, column ``json``) with the totals, the
+    per-model channel breakdown, the trend window and the live panel.
+
+    Every part is bounded by construction (2 models; channels per model;
+    at most 14 dates; at most 20 live events), and each is folded by a scalar
+    subquery, so no unbounded relation passes through one row. The daily
+    mart, which grows with days x channels, is not embedded: it stays a
+    dataset and the document points at it (``daily_path``)."""
+    def fold(df: DataFrame, order: list[str]):
+        return df.agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order + [
+            c for c in df.columns if c not in order]])))).scalar()
+    doc = F.struct(
+        F.lit(generated_at).alias("generated_at"),
+        fold(totals, ["attribution_model"]).alias("totals"),
+        fold(breakdown, ["attribution_model", "attributed_channel"]).alias("channel_breakdown"),
+        fold(trend_df, ["conversion_date"]).alias("trend"),
+        fold(live, ["ingested_at", "event_id"]).alias("live_events"),
+        F.lit(daily_path).cast("string").alias("channel_daily_path"),
+    )
+    return totals.sparkSession.range(1).select(F.to_json(doc).alias("json"))

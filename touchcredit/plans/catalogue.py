@@ -123,6 +123,27 @@ def q_model_disagreement_sample(spark, sf_dir):
     return rp.disagreement_sample(rp.model_disagreement(pipeline(spark, sf_dir).credited), 5)
 
 
+def q_last_click_breakdown(spark, sf_dir):
+    """Q8 part: the last-click channel breakdown, revenue descending."""
+    b = rp.channel_breakdown(pipeline(spark, sf_dir).credited)
+    return b.where(F.col("attribution_model") == C.LAST_CLICK) \
+        .select("attributed_channel", "conversions", "revenue") \
+        .orderBy(F.col("revenue").desc_nulls_last(), "attributed_channel")
+
+
+def q_channel_daily_ordered(spark, sf_dir):
+    """T5: the mart in presentation order (date, model, channel)."""
+    return rp.ordered_daily(pipeline(spark, sf_dir).channel_daily)
+
+
+def q_report_bundle(spark, sf_dir):
+    """The report document (rows-only check: one JSON row)."""
+    p = pipeline(spark, sf_dir)
+    live = rp.latest_events(_stream_table(spark, sf_dir), 20)
+    return rp.bundle(rp.model_totals(p.credited), rp.channel_breakdown(p.credited),
+                     rp.trend(p.channel_daily, 14), live, generated_at=AS_OF.isoformat())
+
+
 # --- stream ---------------------------------------------------------------------
 
 def _deliveries(spark, sf_dir) -> DataFrame:
@@ -151,6 +172,11 @@ def q_latest_events_20(spark, sf_dir):
     return rp.latest_events(_stream_table(spark, sf_dir), 20)
 
 
+def q_latest_events_5(spark, sf_dir):
+    """The 5 newest streamed events."""
+    return rp.latest_events(_stream_table(spark, sf_dir), 5)
+
+
 def q_stream_lag(spark, sf_dir):
     return rp.stream_lag(_stream_table(spark, sf_dir), AS_OF_US)
 
@@ -252,6 +278,10 @@ def queries() -> dict[str, Query]:
         "model_disagreement": q_model_disagreement,
         "model_disagreement_sample": q_model_disagreement_sample,
         "latest_events_20": q_latest_events_20,
+        "latest_events_5": q_latest_events_5,
+        "last_click_breakdown": q_last_click_breakdown,
+        "channel_daily_ordered": q_channel_daily_ordered,
+        "report_bundle": q_report_bundle,
         "stream_dedupe": q_stream_dedupe,
         "stream_replay_counts": q_stream_replay_counts,
         "stream_union_marts": q_stream_union_marts,

@@ -285,6 +285,9 @@ n_new AS (SELECT batch_id, count(*) AS n_new FROM first_seen GROUP BY batch_id)
 SELECT n_in.batch_id, n_in.n_in, CAST(coalesce(n_new.n_new, 0) AS BIGINT) AS n_new,
        n_in.n_in - CAST(coalesce(n_new.n_new, 0) AS BIGINT) AS n_skipped
 FROM n_in LEFT JOIN n_new ON n_in.batch_id = n_new.batch_id"""
+    out["latest_events_5"] = out["latest_events_20"].replace("LIMIT 20", "LIMIT 5")
+    out["last_click_breakdown"] = c30 + f"\nSELECT attributed_channel, {agg2} FROM lc GROUP BY 1"
+    out["channel_daily_ordered"] = out["channel_daily"]
     out["stream_union_marts"] = out["channel_daily"]
     out["stream_attribution"] = c30 + f""", {UNION_FL}
 SELECT {MART} FROM u
