@@ -55,95 +55,71 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
-def _k() -> Column:
-    return F.get_json_object(F.col("props"), "$.k").cast("int")
-
-
-def _channel_at(idx: Column) -> Column:
-    table = F.array(*[
-        F.struct(F.lit(s).alias("source"), F.lit(m).alias("medium"),
-                 F.lit(c).cast("string").alias("campaign"))
-        for s, m, c in CHANNELS
-    ])
-    return F.element_at(table, idx + F.lit(1))
-
-
-def _event_name() -> Column:
-    expr = None
-    for src, dst in EVENT_NAMES.items():
-        cond = F.col("event_type") == F.lit(src)
-        expr = F.when(cond, F.lit(dst)) if expr is None else expr.when(cond, F.lit(dst))
-    return expr
-
-
-def _param(key: str, string_value: Column | None = None, int_value: Column | None = None) -> Column:
-    return F.struct(
-        F.lit(key).alias("key"),
-        F.struct(
-            (string_value if string_value is not None else F.lit(None)).cast("string").alias("string_value"),
-            (int_value if int_value is not None else F.lit(None)).cast("bigint").alias("int_value"),
-        ).alias("value"),
-    )
+def _sql_lit(v) -> str:
+    return "CAST(NULL AS STRING)" if v is None else "'" + str(v).replace("'", "''") + "'"
+
+
+# The channel table and the name map as SQL literals, built from the fixed
+# values above (one parse on the JVM instead of many Column round trips).
+_CHANNELS_SQL = "array(" + ", ".join(
+    f"named_struct('source', {_sql_lit(s)}, 'medium', {_sql_lit(m)}, 'campaign', {_sql_lit(c)})"
+    for s, m, c in CHANNELS) + ")"
+_EVENT_NAME_SQL = "CASE event_type " + " ".join(
+    f"WHEN {_sql_lit(a)} THEN {_sql_lit(b)}" for a, b in EVENT_NAMES.items()) + " END"
+
+
+def _param_sql(key: str, string_value: str = "CAST(NULL AS STRING)", int_value: str = "CAST(NULL AS BIGINT)") -> str:
+    return (f"named_struct('key', '{key}', 'value', named_struct("
+            f"'string_value', CAST({string_value} AS STRING), 'int_value', CAST({int_value} AS BIGINT)))")
+
+
+_SID = _param_sql("ga_session_id", int_value="event_id")
+_SRC = _param_sql("source", string_value="_pch.source")
+_MED = _param_sql("medium", string_value="_pch.medium")
+_CAMP = _param_sql("campaign", string_value="_pch.campaign")
+_RAW_SQL = [
+    "date_format(timestamp_micros(_us), 'yyyyMMdd') AS event_date",
+    "_us AS event_timestamp",
+    f"{_EVENT_NAME_SQL} AS event_name",
+    "concat('user_', CAST(user_id AS STRING)) AS user_pseudo_id",
+    f"""CASE WHEN _k % 2 <> 0 THEN array({_SID})
+             WHEN _pch.campaign IS NULL THEN array({_SID}, {_SRC}, {_MED})
+             ELSE array({_SID}, {_SRC}, {_MED}, {_CAMP}) END AS event_params""",
+    """CASE WHEN _k % 10 = 1
+             THEN named_struct('source', CAST(NULL AS STRING), 'medium', CAST(NULL AS STRING),
+                               'name', CAST(NULL AS STRING))
+             ELSE named_struct('source', _tch.source, 'medium', _tch.medium, 'name', _tch.campaign)
+        END AS traffic_source""",
+    "named_struct('purchase_revenue', CASE WHEN event_type = 'purchase' THEN CAST(value AS DOUBLE) END) AS ecommerce",
+]
 
 
 def _feed_filter(events: DataFrame, feed: str) -> DataFrame:
     if feed == "all":
         return events
     if feed == "batch":
-        return events.where((F.col("event_id") % STREAM_MODULUS) != 0)
+        return events.where(f"event_id % {STREAM_MODULUS} <> 0")
     if feed == "streaming":
-        return events.where((F.col("event_id") % STREAM_MODULUS) == 0)
+        return events.where(f"event_id % {STREAM_MODULUS} = 0")
     raise ValueError(f"feed must be one of {FEEDS}")
 
 
-def _base(events: DataFrame) -> DataFrame:
-    return events.select(
-        "event_id", "ts", "user_id", "event_type", "value",
-        _k().alias("_k"),
-        fc.ntz_to_micros("ts").alias("_us"),
-    )
-
-
-def _raw_with(events: DataFrame, feed: str, extra: list[Column]) -> DataFrame:
-    b = _base(_feed_filter(events, feed))
-    k = F.col("_k")
-    pch = _channel_at(k % 6)
-    tch = _channel_at(F.floor(k / 6).cast("int") % 6)
-    sid = _param("ga_session_id", int_value=F.col("event_id"))
-    src = _param("source", string_value=pch["source"])
-    med = _param("medium", string_value=pch["medium"])
-    camp = _param("campaign", string_value=pch["campaign"])
-    params = (
-        F.when((k % 2) != 0, F.array(sid))
-        .when(pch["campaign"].isNull(), F.array(sid, src, med))
-        .otherwise(F.array(sid, src, med, camp))
-    )
-    null_s = F.lit(None).cast("string")
-    traffic = F.when(
-        (k % 10) == 1,
-        F.struct(null_s.alias("source"), null_s.alias("medium"), null_s.alias("name")),
-    ).otherwise(
-        F.struct(tch["source"].alias("source"), tch["medium"].alias("medium"), tch["campaign"].alias("name"))
-    )
-    ecommerce = F.struct(
-        F.when(F.col("event_type") == "purchase", F.col("value")).cast("double").alias("purchase_revenue")
+def _raw_with(events: DataFrame, feed: str, extra: list[str]) -> DataFrame:
+    b = _feed_filter(events, feed).selectExpr(
+        "event_id", "user_id", "event_type", "value",
+        "CAST(get_json_object(props, '$.k') AS INT) AS _k",
+        "unix_micros(CAST(ts AS TIMESTAMP)) AS _us",
+    ).selectExpr(
+        "*",
+        f"element_at({_CHANNELS_SQL}, _k % 6 + 1) AS _pch",
+        f"element_at({_CHANNELS_SQL}, CAST(floor(_k / 6) AS INT) % 6 + 1) AS _tch",
     )
-    cols = [
-        fc.micros_to_day("_us").alias("event_date"),
-        F.col("_us").alias("event_timestamp"),
-        _event_name().alias("event_name"),
-        F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user_pseudo_id"),
-        params.alias("event_params"),
-        traffic.alias("traffic_source"),
-        ecommerce.alias("ecommerce"),
-    ]
-    return b.select(*cols, *extra)
+    return b.selectExpr(*_RAW_SQL, *extra)
 
 
 def raw_batch(events: DataFrame, feed: str = "all") -> DataFrame:
     """Nested raw batch frame with the ``RAW_BATCH`` schema."""
-    out = _raw_with(events, feed, [])
-    return out.select(*[F.col(f.name).cast(f.dataType) for f in RAW_BATCH.fields])
+    return _raw_with(events, feed, [])
 
 
 def stream_rows(events: DataFrame) -> DataFrame:
@@ -154,15 +130,15 @@ def stream_rows(events: DataFrame) -> DataFrame:
     """
     from touchcredit.operators.staging import flatten_batch  # avoid an import cycle
 
-    ingested = F.timestamp_micros(F.col("_us") + F.col("_k").cast("bigint") * F.lit(1_000_000))
-    raw = _raw_with(events, "streaming", [ingested.alias("ingested_at")])
+    raw = _raw_with(events, "streaming",
+                    ["timestamp_micros(_us + CAST(_k AS BIGINT) * 1000000) AS ingested_at"])
     flat = flatten_batch(raw, keep=["ingested_at"])
     out = flat.select(
         fc.event_key().alias("event_id"),
         "event_date", "event_timestamp", "event_name", "user_pseudo_id", "ga_session_id",
         "source", "medium", "campaign", "purchase_revenue", "ingested_at",
     )
-    return out.select(*[F.col(f.name).cast(f.dataType) for f in STREAM_FLAT.fields])
+    return out
 
 
 def stream_deliveries(events: DataFrame) -> DataFrame:
