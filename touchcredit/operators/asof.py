@@ -56,7 +56,8 @@ def asof_match(points: DataFrame, probes: DataFrame, *, key: str, time: str,
     ``points`` needs ``key`` and ``time`` (bigint) columns; ``payload`` is a
     struct over ``points`` whose first field is the time. ``probes`` needs
     ``key``; ``probe_time`` (bigint) and ``forward`` (boolean) are
-    expressions over ``probes``.
+    expressions over ``probes``. Probes must be unique per
+    (key, probe_time, forward).
     """
     probe_cols = probes.columns
     # Copies and exact-time ties of points collapse first, with a map-side
@@ -69,7 +70,15 @@ def asof_match(points: DataFrame, probes: DataFrame, *, key: str, time: str,
            .select(F.col(key).alias(_KEY), probe_time.cast("bigint").alias(_T),
                    F.struct(forward.alias("__fwd"), *[F.col(c) for c in probe_cols]).alias(_P))
            .where(F.col(_T).isNotNull()))
-    u = pts.unionByName(prb, allowMissingColumns=True)
+    matched = asof_core(pts.unionByName(prb, allowMissingColumns=True), chunk_us)
+    return matched.select(*[F.col(f"{_P}.{c}").alias(c) for c in probe_cols], "_match")
+
+
+def asof_core(u: DataFrame, chunk_us: int) -> DataFrame:
+    """Steps 1–3 on a prepared union: rows ``(_k, _t, _mx, _mn, _p)`` where
+    point rows carry the max/min payload at ``(_k, _t)`` (unique per pair)
+    and probe rows carry ``_p`` (a struct whose first field ``__fwd`` is the
+    direction). Returns the probe rows as ``(_p, _match)``."""
     u = u.withColumn(_CH, _chunk(F.col(_T), chunk_us))
 
     local_up = Window.partitionBy(_KEY, _CH).orderBy(F.col(_T).asc()) \
@@ -98,4 +107,4 @@ def asof_match(points: DataFrame, probes: DataFrame, *, key: str, time: str,
         F.col(f"{_P}.__fwd"),
         F.least(F.col("_fore"), F.col("_carry_fore")),
     ).otherwise(F.greatest(F.col("_back"), F.col("_carry_back")))
-    return joined.select(*[F.col(f"{_P}.{c}").alias(c) for c in probe_cols], match.alias("_match"))
+    return joined.select(_P, match.alias("_match"))

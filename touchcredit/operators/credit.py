@@ -20,8 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchcredit import config as C
-from touchcredit.operators.asof import asof_match
-from touchcredit.operators.journeys import unique_conversions
+from touchcredit.operators.asof import asof_core
 
 CREDIT_COLUMNS = [
     "conversion_id", "conversion_date", "purchase_revenue", "attributed_channel",
@@ -33,45 +32,73 @@ MART_COLUMNS = ["conversion_id", "conversion_date", "purchase_revenue",
 
 def credit(touch: DataFrame, conv: DataFrame, lookback_us: int,
            chunk_us: int = 3_600_000_000, models: tuple[str, ...] = C.MODELS) -> DataFrame:
-    """One row per credited (conversion, model)."""
+    """One row per credited (conversion, model).
+
+    Touchpoints and conversions go through one partial aggregate keyed by
+    ``(user, micros)``: it collapses copies and time ties of touchpoints
+    and, since ``conversion_id`` is user + micros, picks the one row kept
+    per conversion (largest revenue, NULL lowest, then latest date) in the
+    same shuffle. Each kept conversion then becomes a last-click probe at
+    ``c`` and a first-click probe at ``c - L``.
+    """
     for m in models:
         if m not in C.MODELS:
             raise ValueError(f"unknown model {m!r}")
-    L = F.lit(int(lookback_us))
-    uc = unique_conversions(conv)
-    kinds = []
-    if C.FIRST_CLICK in models:
-        kinds.append(F.struct(F.lit(C.FIRST_CLICK).alias("m"), F.lit(True).alias("fwd"),
-                              (F.col("conversion_us") - L).alias("pt")))
-    if C.LAST_CLICK in models:
-        kinds.append(F.struct(F.lit(C.LAST_CLICK).alias("m"), F.lit(False).alias("fwd"),
-                              F.col("conversion_us").alias("pt")))
-    probes = (uc.withColumn("_kind", F.explode(F.array(*kinds)))
-                .select("conversion_id", "user_pseudo_id", "conversion_date", "conversion_us",
-                        "purchase_revenue",
-                        F.col("_kind.m").alias("attribution_model"),
-                        F.col("_kind.fwd").alias("_fwd"),
-                        F.col("_kind.pt").alias("_pt")))
+    L = int(lookback_us)
     payload = F.struct(
         F.col("touchpoint_us").alias("t"),
         F.col("ga_session_id").alias("sid"),
         F.col("channel").alias("channel"),
     )
-    matched = asof_match(
-        touch, probes, key="user_pseudo_id", time="touchpoint_us", payload=payload,
-        probe_time=F.col("_pt"), forward=F.col("_fwd"), chunk_us=chunk_us,
+    pick = F.struct(
+        F.col("purchase_revenue").alias("purchase_revenue"),
+        F.col("conversion_date").alias("conversion_date"),
+        F.col("conversion_id").alias("conversion_id"),
     )
-    m = F.col("_match")
-    eligible = m.isNotNull() & F.when(
-        F.col("_fwd"), m["t"] <= F.col("conversion_us")
-    ).otherwise(m["t"] >= F.col("conversion_us") - L)
+    pts = touch.select(F.col("user_pseudo_id").alias("_k"), F.col("touchpoint_us").alias("_t"),
+                       payload.alias("_m"))
+    cvs = conv.where(F.col("conversion_id").isNotNull()) \
+        .select(F.col("user_pseudo_id").alias("_k"), F.col("conversion_us").alias("_t"), pick.alias("_c"))
+    grouped = (pts.unionByName(cvs, allowMissingColumns=True)
+               .where(F.col("_k").isNotNull() & F.col("_t").isNotNull())
+               .groupBy("_k", "_t")
+               .agg(F.max("_m").alias("_mx"), F.min("_m").alias("_mn"), F.max("_c").alias("_c")))
+
+    # One pass over the aggregate: each (user, micros) row yields its point
+    # row and its probes (NULL entries are dropped after ``inline``).
+    pay_t = grouped.schema["_mx"].dataType
+    c_t = grouped.schema["_c"].dataType
+
+    def probe(model: str, fwd: bool, at):
+        p = F.struct(F.lit(fwd).alias("__fwd"), F.lit(model).alias("attribution_model"),
+                     F.col("_t").alias("conversion_us"), F.col("_c").cast(c_t).alias("c"))
+        return F.when(F.col("_c").isNotNull(), F.struct(
+            at.alias("_t"), F.lit(None).cast(pay_t).alias("_mx"), F.lit(None).cast(pay_t).alias("_mn"),
+            p.alias("_p")))
+
+    kinds = []
+    if C.FIRST_CLICK in models:
+        kinds.append(probe(C.FIRST_CLICK, True, F.col("_t") - F.lit(L)))
+    if C.LAST_CLICK in models:
+        kinds.append(probe(C.LAST_CLICK, False, F.col("_t")))
+    probe_type = grouped.select(kinds[0].alias("x")).schema["x"].dataType["_p"].dataType
+    point = F.when(F.col("_mx").isNotNull(), F.struct(
+        F.col("_t").alias("_t"), F.col("_mx").alias("_mx"), F.col("_mn").alias("_mn"),
+        F.lit(None).cast(probe_type).alias("_p")))
+    rows = grouped.select("_k", F.inline(F.array(point, *kinds))).where(F.col("_t").isNotNull())
+    matched = asof_core(rows, chunk_us)
+    p, m = F.col("_p"), F.col("_match")
+    c_us = p["conversion_us"]
+    eligible = m.isNotNull() & F.when(p["__fwd"], m["t"] <= c_us).otherwise(m["t"] >= c_us - F.lit(L))
     return matched.where(eligible).select(
-        "conversion_id", "conversion_date", "purchase_revenue",
+        p["c"]["conversion_id"].alias("conversion_id"),
+        p["c"]["conversion_date"].alias("conversion_date"),
+        p["c"]["purchase_revenue"].alias("purchase_revenue"),
         m["channel"].alias("attributed_channel"),
-        "attribution_model",
+        p["attribution_model"].alias("attribution_model"),
         m["t"].alias("touchpoint_us"),
         m["sid"].alias("touch_session_id"),
-        "conversion_us",
+        c_us.alias("conversion_us"),
     )
 
 
