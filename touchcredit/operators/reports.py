@@ -1,12 +1,12 @@
 """Report queries over the credited rows and the daily mart (A2–A9, J3,
 J5, T1–T6). Every input here is already aggregated or is the credit
-relation; the only limits are the top-k reports themselves. No report uses
-an unpartitioned window: global maxima are scalar subqueries and top-k lists
-are ``orderBy().limit()`` (a bounded take, not a full sort)."""
+relation; the only limits are the top-k reports themselves. Global maxima
+are windows over already-aggregated frames (at most 14 dates, one row per
+channel); top-k lists are ``orderBy().limit()`` (a bounded take)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchcredit import config as C
@@ -50,10 +50,9 @@ def channel_compare(credited: DataFrame) -> DataFrame:
 def channel_scaled(compare: DataFrame) -> DataFrame:
     """A6 + T6: each side as a percentage of the largest channel revenue of
     either model (at least 1), one decimal; ordered by last-click revenue.
-    The maximum is a scalar subquery over the aggregated frame."""
-    top = compare.agg(
-        F.greatest(F.lit(1.0), F.max(F.greatest("fc_revenue", "lc_revenue"))).alias("m")
-    ).scalar()
+    The maximum is a window over the aggregated frame (one row per
+    channel), so the credit relation behind it is computed once."""
+    top = F.greatest(F.lit(1.0), F.max(F.greatest("fc_revenue", "lc_revenue")).over(Window.partitionBy(F.lit(1))))
     return compare.select(
         "attributed_channel", "fc_revenue", "lc_revenue",
         F.round(F.col("fc_revenue") / top * 100, 1).alias("fc_pct"),
@@ -64,27 +63,28 @@ def channel_scaled(compare: DataFrame) -> DataFrame:
 def trend(daily: DataFrame, n_dates: int = 14) -> DataFrame:
     """A5 + T3 + A9: conversions per model on the last ``n_dates`` dates
     that have data (not calendar days), zero-filled, plus the chart scale
-    (largest value, at least 1). The date list is a top-k of at most
-    ``n_dates`` rows, so it is broadcast."""
-    dates = (daily.select("conversion_date").distinct()
-             .orderBy(F.col("conversion_date").desc()).limit(n_dates))
-    per = (daily.join(F.broadcast(dates), "conversion_date", "left_semi")
-           .groupBy("conversion_date")
+    (largest value, at least 1).
+
+    One branch: the mart is folded per date (partial + final aggregate),
+    the top ``n_dates`` dates are taken (a bounded top-k), and the scale is
+    a window over those at most ``n_dates`` rows."""
+    per = (daily.groupBy("conversion_date")
            .agg(*[F.coalesce(F.sum(F.when(F.col("attribution_model") == m, F.col("conversions"))),
-                             F.lit(0)).cast("bigint").alias(m) for m in C.MODELS]))
-    scale = per.agg(F.greatest(F.lit(1), F.max(F.greatest(*[F.col(m) for m in C.MODELS])))
-                    .cast("bigint")).scalar()
-    return per.withColumn("chart_max", scale)
+                             F.lit(0)).cast("bigint").alias(m) for m in C.MODELS])
+           .orderBy(F.col("conversion_date").desc()).limit(n_dates))
+    top = F.max(F.greatest(*[F.col(m) for m in C.MODELS])).over(Window.partitionBy(F.lit(1)))
+    return per.withColumn("chart_max", F.greatest(F.lit(1), top).cast("bigint"))
 
 
 def model_disagreement(credited: DataFrame) -> DataFrame:
-    """Conversions the two models credit to different channels
-    (inner join on the key, 1:1 since each mart has one row per key)."""
-    f = credited.where(F.col("attribution_model") == C.FIRST_CLICK) \
-        .select("conversion_id", F.col("attributed_channel").alias("first_channel"))
-    last = credited.where(F.col("attribution_model") == C.LAST_CLICK) \
-        .select("conversion_id", F.col("attributed_channel").alias("last_channel"))
-    return f.join(last, "conversion_id").where(F.col("first_channel") != F.col("last_channel"))
+    """Conversions the two models credit to different channels. One
+    conditional aggregation per conversion instead of a self-join, so the
+    credit relation is read once."""
+    def ch(model: str):
+        return F.max(F.when(F.col("attribution_model") == model, F.col("attributed_channel")))
+    both = credited.groupBy("conversion_id").agg(ch(C.FIRST_CLICK).alias("first_channel"),
+                                                  ch(C.LAST_CLICK).alias("last_channel"))
+    return both.where(F.col("first_channel") != F.col("last_channel"))
 
 
 def disagreement_sample(disagreement: DataFrame, n: int = 5) -> DataFrame:

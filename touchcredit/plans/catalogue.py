@@ -138,7 +138,7 @@ def q_channel_daily_ordered(spark, sf_dir):
 
 def q_report_bundle(spark, sf_dir):
     """The report document (rows-only check: one JSON row)."""
-    p = pipeline(spark, sf_dir)
+    p = pipeline(spark, sf_dir).with_written_credit()
     live = rp.latest_events(_stream_table(spark, sf_dir), 20)
     return rp.bundle(rp.model_totals(p.credited), rp.channel_breakdown(p.credited),
                      rp.trend(p.channel_daily, 14), live, generated_at=AS_OF.isoformat())
@@ -194,11 +194,11 @@ def q_stg_csv_clean(spark, sf_dir):
 # --- quality --------------------------------------------------------------------
 
 def q_dq_not_null(spark, sf_dir):
-    return dq.not_null(pipeline(spark, sf_dir).relations())
+    return dq.not_null(pipeline(spark, sf_dir).with_written_credit().relations())
 
 
 def q_dq_unique(spark, sf_dir):
-    return dq.unique(pipeline(spark, sf_dir).relations())
+    return dq.unique(pipeline(spark, sf_dir).with_written_credit().relations())
 
 
 def q_dq_accepted_values(spark, sf_dir):
@@ -234,11 +234,11 @@ def q_dq_freshness(spark, sf_dir):
 
 
 def q_dq_rowcount_7d(spark, sf_dir):
-    return dq.rowcount_vs_trailing(pipeline(spark, sf_dir).channel_daily, AS_OF)
+    return dq.rowcount_vs_trailing(pipeline(spark, sf_dir).with_written_credit().channel_daily, AS_OF)
 
 
 def q_dq_summary(spark, sf_dir):
-    p = pipeline(spark, sf_dir)
+    p = pipeline(spark, sf_dir).with_written_credit()
     rel = p.relations()
     return dq.summary(
         dq.not_null(rel), dq.unique(rel), dq.accepted_values(p.stg, p.channel_daily),

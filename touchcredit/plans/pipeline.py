@@ -73,6 +73,14 @@ class Pipeline:
     def channel_daily(self) -> DataFrame:
         return marts.channel_daily(self.credited)
 
+    def with_written_credit(self) -> "Pipeline":
+        """The same pipeline with the credit relation computed once and
+        written to the shared folder (for outputs with several branches)."""
+        from touchcredit.session import cut_lineage
+        q = Pipeline(self.inputs, self.config)
+        q.__dict__["credited"] = cut_lineage(self.credited, "credited")
+        return q
+
     def relations(self) -> dict[str, DataFrame]:
         """The relations the schema checks look at, by their model names."""
         from touchcredit import config as C

@@ -55,3 +55,18 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     for p in parts:
         path = f"{path}/{p}"
     return path
+
+
+def cut_lineage(df, name: str):
+    """Write ``df`` once as Parquet under the shared folder and read it back.
+
+    For plans that use one expensive relation in several branches: column
+    pruning makes each branch's copy of the plan differ, so Spark cannot
+    reuse the exchange and would recompute it per branch. The written table
+    also survives executor loss (never ``localCheckpoint``)."""
+    import uuid
+
+    spark = df.sparkSession
+    path = shared_dir(spark, "touchcredit", "cut", f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
