@@ -87,3 +87,18 @@ def test_refresh_equals_batch(spark, scratch):
     cols = marts.DAILY_KEYS + ["conversions", "revenue"]
     assert written.select(*cols).exceptAll(batch.select(*cols)).count() == 0
     assert written.count() == batch.count()
+
+
+def test_live_credit_equals_batch_for_streamed_conversions(spark):
+    import duckdb
+
+    import __spark_entry__ as ent
+    got = ent.queries()["stream_attribution"](spark, SF).toPandas()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF}/events.parquet')")
+    want = con.execute(ent.oracle_sql()["stream_attribution"]).df()
+    key = ["conversion_id", "attribution_model"]
+    g = got.sort_values(key).reset_index(drop=True)
+    w = want[list(got.columns)].sort_values(key).reset_index(drop=True)
+    assert len(g) == len(w) > 0
+    assert (g.fillna(-1).values == w.fillna(-1).values).all()

@@ -266,6 +266,9 @@ def queries() -> dict[str, Query]:
     # nearly every conversion; must equal the hourly-chunk result.
     out["attribution_first_click_7d_fine_chunks"] = _attribution(C.FIRST_CLICK, 7, chunk_us=60_000_000)
     out["attribution_last_click_7d_fine_chunks"] = _attribution(C.LAST_CLICK, 7, chunk_us=60_000_000)
+    # ... and with chunks as wide as the lookback: nearly all work in-chunk.
+    out["attribution_first_asof_7d"] = _attribution(C.FIRST_CLICK, 7, chunk_us=7 * C.MICROS_PER_DAY)
+    out["attribution_last_asof_7d"] = _attribution(C.LAST_CLICK, 7, chunk_us=7 * C.MICROS_PER_DAY)
     out["channel_daily"] = _channel_daily(30)
     out["channel_daily_1d"] = _channel_daily(1)
     out["channel_daily_7d"] = _channel_daily(7)
