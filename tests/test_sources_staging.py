@@ -72,7 +72,7 @@ def test_export_window_prunes_partitions(spark, scratch):
 def test_csv_empty_fields_become_null_then_defaults(spark, scratch):
     path = os.path.join(scratch, "events.csv")
     with open(path, "w") as f:
-        f.write(",".join(csv_flat.CSV_COLUMNS if hasattr(csv_flat, "CSV_COLUMNS") else []) + "\n")
+        f.write(",".join(csv_flat.CSV_COLUMNS) + "\n")
         f.write("20240101,1704100000000000,session_start,u1,7,,,,\n")
         f.write("20240101,1704100000000001,purchase,u1,7,google,cpc,,12.5\n")
         f.write("20240101,junk,purchase,u1,7,google,cpc,,not-a-number\n")
@@ -95,3 +95,13 @@ def test_csv_roundtrip_matches_staging(spark):
             "source", "medium", "campaign", "purchase_revenue"]
     assert back.select(*cols).exceptAll(stg.select(*cols)).count() == 0
     assert back.count() == stg.count()
+
+
+def test_mapped_feeds_have_the_declared_schemas(spark):
+    from touchcredit.sources.schemas import RAW_BATCH, STREAM_FLAT
+
+    def shape(schema):
+        return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+    ev = ea.load_events(spark, SF)
+    assert shape(ea.raw_batch(ev).schema) == shape(RAW_BATCH)
+    assert shape(ea.stream_rows(ev).schema) == shape(STREAM_FLAT)

@@ -10,7 +10,7 @@ Conversions without an eligible touchpoint get no row (see the orphan check).
 Equivalent as-of form, used here: last click = the latest touchpoint at or
 before ``c``, kept if it is not older than ``c - L``; first click = the
 earliest touchpoint at or after ``c - L``, kept if it is not after ``c``.
-Both come from one ``asof_match`` pass, so no touchpoint x conversion pairs
+Both come from one ``asof_core`` pass, so no touchpoint x conversion pairs
 are ever formed.
 """
 

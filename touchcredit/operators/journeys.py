@@ -38,21 +38,3 @@ def conversions(stg: DataFrame) -> DataFrame:
         F.col("event_ts").alias("conversion_ts"),
         "purchase_revenue",
     )
-
-
-def unique_conversions(conv: DataFrame) -> DataFrame:
-    """One row per ``conversion_id`` (two purchases in one microsecond, or
-    one event in both feeds, share the key). The kept row is the one with
-    the largest revenue (NULL lowest), then the latest date: a fixed rule,
-    so both models credit the same row. Aggregated with a partial
-    (map-side) step, so a repeated key never gathers in one task."""
-    best = F.max(F.struct(
-        F.col("purchase_revenue").alias("purchase_revenue"),
-        F.col("conversion_date").alias("conversion_date"),
-        F.col("user_pseudo_id").alias("user_pseudo_id"),
-        F.col("conversion_us").alias("conversion_us"),
-    )).alias("_b")
-    return (conv.where(F.col("conversion_id").isNotNull())
-            .groupBy("conversion_id").agg(best)
-            .select("conversion_id", "_b.user_pseudo_id", "_b.conversion_date",
-                    "_b.conversion_us", "_b.purchase_revenue"))

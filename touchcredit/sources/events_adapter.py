@@ -19,11 +19,10 @@ Pure column expressions over a Parquet scan: no shuffle, and every filter on
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchcredit.functions import columns as fc
-from touchcredit.sources.schemas import RAW_BATCH, STREAM_FLAT
 
 # --- fixed values of the mapping ---------------------------------------------
 # (source, medium, campaign), in this order; index = k % 6 or floor(k/6) % 6.
@@ -51,8 +50,13 @@ REPLAY_MODULUS = 20   # streaming rows with event_id % 20 = 0 are replayed
 FEEDS = ("all", "batch", "streaming")
 
 
+# Schema of the given table, stated so the scan needs no inference job.
+EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+                 "value DOUBLE, props STRING")
+
+
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def _sql_lit(v) -> str:
