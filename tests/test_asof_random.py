@@ -61,3 +61,29 @@ def test_random_equals_brute_force(spark, seed):
                for r in credit(t, c, L, chunk_us=chunk).collect()}
         assert got == expect, f"chunk={chunk}"
     assert len(expect) > 20
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_split_hot_chunks_equals_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    base = 1_700_000_000_000_000
+    hour = 3_600_000_000
+    # one burst user with many rows inside a few hours, plus normal users
+    touches = [("hot", rnd.choice([None, 1, 2]), base + rnd.randrange(0, 3 * hour, 1_000_000), rnd.choice("AB"))
+               for _ in range(400)]
+    touches += [(rnd.choice("xy"), 1, base + rnd.randrange(-DAY, DAY), rnd.choice("CD")) for _ in range(50)]
+    convs = [conv_row("hot", base + rnd.randrange(0, 3 * hour, 1_000_000)) for _ in range(60)]
+    convs += [conv_row(rnd.choice("xy"), base + rnd.randrange(-DAY, DAY)) for _ in range(20)]
+    L = 2 * hour
+    expect = brute_force(touches, convs, L)
+    t = spark.createDataFrame(touches, TOUCH_SCHEMA)
+    c = spark.createDataFrame(convs, CONV_SCHEMA)
+    got = {(r.conversion_id, r.attribution_model): (r.attributed_channel, r.purchase_revenue)
+           for r in credit(t, c, L, chunk_us=hour, hot_rows=20, fine_us=60_000_000,
+                           hot_fraction=1.0).collect()}
+    assert got == expect
+    from touchcredit.operators.asof import hot_chunks
+    from pyspark.sql import functions as F
+    u = t.select(F.col("user_pseudo_id").alias("_k"), F.col("touchpoint_us").alias("_t"))
+    hot = hot_chunks(u, hour, 20, fraction=1.0)
+    assert hot is not None and {r._k for r in hot.collect()} == {"hot"}

@@ -38,13 +38,39 @@ from pyspark.sql import functions as F
 _KEY, _T, _CH, _M, _P = "_k", "_t", "_chunk", "_m", "_p"
 
 
+def _floor_div(t: Column, width: int) -> Column:
+    """Exact ``floor(t / width)``: ``t - pmod(t, width)`` is an exact
+    multiple of ``width``, so the quotient is exact for |t| < 2^53 micros
+    (about 285 years around 1970), negative times included."""
+    if width <= 0:
+        raise ValueError("chunk width must be positive")
+    w = F.lit(int(width))
+    return ((t - F.pmod(t, w)) / w).cast("bigint")
+
+
 def _chunk(t: Column, chunk_us: int) -> Column:
-    """Chunk index. Only monotonicity in ``t`` matters for correctness (a
-    correctly rounded division followed by floor is monotone), so the
-    double division is safe."""
-    if chunk_us <= 0:
-        raise ValueError("chunk_us must be positive")
-    return F.floor(t / F.lit(float(int(chunk_us)))).cast("bigint")
+    """Chunk index ``floor(t / chunk_us)``."""
+    return _floor_div(t, chunk_us)
+
+
+def hot_chunks(u: DataFrame, chunk_us: int, hot_rows: int, max_hot: int = 100_000,
+               fraction: float = 0.01, seed: int = 17) -> DataFrame | None:
+    """(key, chunk) groups estimated to hold more than ``hot_rows`` rows,
+    from a map-side sample (no shuffle of the data). At most ``max_hot``
+    groups are taken (a bounded take, so the list has a proven size and can
+    be broadcast); beyond that the list is truncated, which only leaves some
+    hot groups unsplit. Returns None when there is none."""
+    spark = u.sparkSession
+    cc = _chunk(F.col(_T), chunk_us)
+    est = (u.sample(fraction=fraction, seed=seed)
+           .groupBy(F.col(_KEY).alias(_KEY), cc.alias("_cc")).count()
+           .where(F.col("count") * F.lit(1.0 / fraction) > F.lit(hot_rows))
+           .select(_KEY, "_cc").limit(max_hot))
+    rows = est.collect()
+    if not rows:
+        return None
+    key_type = u.schema[_KEY].dataType.simpleString()
+    return spark.createDataFrame([(r[0], r[1]) for r in rows], f"{_KEY} {key_type}, _cc bigint")
 
 
 def asof_match(points: DataFrame, probes: DataFrame, *, key: str, time: str,
@@ -74,12 +100,31 @@ def asof_match(points: DataFrame, probes: DataFrame, *, key: str, time: str,
     return matched.select(*[F.col(f"{_P}.{c}").alias(c) for c in probe_cols], "_match")
 
 
-def asof_core(u: DataFrame, chunk_us: int) -> DataFrame:
+def asof_core(u: DataFrame, chunk_us: int, hot: DataFrame | None = None,
+              fine_us: int | None = None) -> DataFrame:
     """Steps 1–3 on a prepared union: rows ``(_k, _t, _mx, _mn, _p)`` where
     point rows carry the max/min payload at ``(_k, _t)`` (unique per pair)
     and probe rows carry ``_p`` (a struct whose first field ``__fwd`` is the
-    direction). Returns the probe rows as ``(_p, _match)``."""
-    u = u.withColumn(_CH, _chunk(F.col(_T), chunk_us))
+    direction). Returns the probe rows as ``(_p, _match)``.
+
+    ``hot`` (key, ``_cc``) lists coarse chunks to split into ``fine_us``
+    sub-chunks (``chunk_us`` must be a multiple of ``fine_us``). Chunk ids
+    live in the fine index space: a plain chunk ``c`` becomes ``c * R``, a
+    hot one ``floor(t / fine_us)`` in ``[c * R, c * R + R)``, so ids stay
+    ordered and contiguous in time per key and results do not change."""
+    if hot is None:
+        u = u.withColumn(_CH, _chunk(F.col(_T), chunk_us))
+    else:
+        fine_us = int(fine_us or max(1, chunk_us // 60))
+        if chunk_us % fine_us:
+            raise ValueError("chunk_us must be a multiple of fine_us")
+        ratio = chunk_us // fine_us
+        flagged = hot.select(_KEY, "_cc", F.lit(True).alias("_hot"))
+        u = (u.withColumn("_cc", _chunk(F.col(_T), chunk_us))
+              .join(F.broadcast(flagged), [_KEY, "_cc"], "left")
+              .withColumn(_CH, F.when(F.col("_hot"), _floor_div(F.col(_T), fine_us))
+                          .otherwise(F.col("_cc") * F.lit(ratio)))
+              .drop("_cc", "_hot"))
 
     local_up = Window.partitionBy(_KEY, _CH).orderBy(F.col(_T).asc()) \
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchcredit import config as C
-from touchcredit.operators.asof import asof_core
+from touchcredit.operators.asof import asof_core, hot_chunks
 
 CREDIT_COLUMNS = [
     "conversion_id", "conversion_date", "purchase_revenue", "attributed_channel",
@@ -31,7 +31,9 @@ MART_COLUMNS = ["conversion_id", "conversion_date", "purchase_revenue",
 
 
 def credit(touch: DataFrame, conv: DataFrame, lookback_us: int,
-           chunk_us: int = 3_600_000_000, models: tuple[str, ...] = C.MODELS) -> DataFrame:
+           chunk_us: int = 3_600_000_000, models: tuple[str, ...] = C.MODELS,
+           hot_rows: int | None = None, fine_us: int | None = None,
+           hot_fraction: float = 0.01) -> DataFrame:
     """One row per credited (conversion, model).
 
     Touchpoints and conversions go through one partial aggregate keyed by
@@ -40,6 +42,10 @@ def credit(touch: DataFrame, conv: DataFrame, lookback_us: int,
     per conversion (largest revenue, NULL lowest, then latest date) in the
     same shuffle. Each kept conversion then becomes a last-click probe at
     ``c`` and a first-click probe at ``c - L``.
+
+    ``hot_rows`` (optional) guards against bursts: (user, chunk) groups that
+    a ``hot_fraction`` sample of the input estimates above ``hot_rows`` rows
+    are split into ``fine_us`` sub-chunks (default chunk / 60).
     """
     for m in models:
         if m not in C.MODELS:
@@ -59,8 +65,10 @@ def credit(touch: DataFrame, conv: DataFrame, lookback_us: int,
                        payload.alias("_m"))
     cvs = conv.where(F.col("conversion_id").isNotNull()) \
         .select(F.col("user_pseudo_id").alias("_k"), F.col("conversion_us").alias("_t"), pick.alias("_c"))
-    grouped = (pts.unionByName(cvs, allowMissingColumns=True)
-               .where(F.col("_k").isNotNull() & F.col("_t").isNotNull())
+    both = (pts.unionByName(cvs, allowMissingColumns=True)
+            .where(F.col("_k").isNotNull() & F.col("_t").isNotNull()))
+    hot = hot_chunks(both, chunk_us, hot_rows, fraction=hot_fraction) if hot_rows else None
+    grouped = (both
                .groupBy("_k", "_t")
                .agg(F.max("_m").alias("_mx"), F.min("_m").alias("_mn"), F.max("_c").alias("_c")))
 
@@ -86,7 +94,7 @@ def credit(touch: DataFrame, conv: DataFrame, lookback_us: int,
         F.col("_t").alias("_t"), F.col("_mx").alias("_mx"), F.col("_mn").alias("_mn"),
         F.lit(None).cast(probe_type).alias("_p")))
     rows = grouped.select("_k", F.inline(F.array(point, *kinds))).where(F.col("_t").isNotNull())
-    matched = asof_core(rows, chunk_us)
+    matched = asof_core(rows, chunk_us, hot=hot, fine_us=fine_us)
     p, m = F.col("_p"), F.col("_match")
     c_us = p["conversion_us"]
     eligible = m.isNotNull() & F.when(p["__fwd"], m["t"] <= c_us).otherwise(m["t"] >= c_us - F.lit(L))

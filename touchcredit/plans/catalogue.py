@@ -86,6 +86,15 @@ def _attribution(model: str, days: int, chunk_us: int | None = None) -> Query:
     return q
 
 
+def q_attribution_split_hot_7d(spark, sf_dir):
+    """Both models, 7 days, with the burst guard forced on (every sampled
+    (user, hour) with more than one row is split into minutes): must equal
+    the plain credit."""
+    p = pipeline(spark, sf_dir, lookback_days=7)
+    return cr.credit(p.touchpoints, p.conversions, p.config.lookback_us, chunk_us=p.config.chunk_us,
+                     hot_rows=1, fine_us=60_000_000, hot_fraction=0.5).select(*cr.MART_COLUMNS)
+
+
 def _channel_daily(days: int) -> Query:
     def q(spark, sf_dir):
         return pipeline(spark, sf_dir, lookback_days=days).channel_daily
@@ -269,6 +278,7 @@ def queries() -> dict[str, Query]:
     # ... and with chunks as wide as the lookback: nearly all work in-chunk.
     out["attribution_first_asof_7d"] = _attribution(C.FIRST_CLICK, 7, chunk_us=7 * C.MICROS_PER_DAY)
     out["attribution_last_asof_7d"] = _attribution(C.LAST_CLICK, 7, chunk_us=7 * C.MICROS_PER_DAY)
+    out["attribution_split_hot_7d"] = q_attribution_split_hot_7d
     out["channel_daily"] = _channel_daily(30)
     out["channel_daily_1d"] = _channel_daily(1)
     out["channel_daily_7d"] = _channel_daily(7)

@@ -233,6 +233,7 @@ FROM raw"""
     out["attribution_first_click_7d_fine_chunks"] = out["attribution_first_click_7d"]
     out["attribution_last_click_7d_fine_chunks"] = out["attribution_last_click_7d"]
     out["attribution_first_asof_7d"] = out["attribution_first_click_7d"]
+    out["attribution_split_hot_7d"] = credited_ctes(7) + f"\nSELECT {MART} FROM fc UNION ALL SELECT {MART} FROM lc"
     out["attribution_last_asof_7d"] = out["attribution_last_click_7d"]
     out["channel_daily"] = credited_ctes(30) + "\n" + DAILY
     out["channel_daily_1d"] = credited_ctes(1) + "\n" + DAILY
