@@ -37,6 +37,9 @@ def driver_inputs(spark: SparkSession, sf_dir: str, split_feeds: bool = False,
     """
     ensure_utc(spark)
     ev = ea.load_events(spark, sf_dir)
+    if batch_window_days is not None:
+        # the same window on the source column, so it reaches the Parquet reader
+        ev = ea.restrict_days(ev, *batch_src.window_bounds(as_of, batch_window_days))
     raw = ea.raw_batch(ev, "batch" if split_feeds else "all")
     raw = batch_src.restrict_window(raw, as_of, batch_window_days)
     if not split_feeds:

@@ -43,14 +43,19 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     The cluster names that shared folder; we only pick our own (a fresh temp
     folder) when it is unset, which is the case in local tests.
     """
-    root = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext handle
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
             root = tempfile.mkdtemp(prefix="touchcredit-ckpt-")
             spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     path = root.rstrip("/")
     for p in parts:
         path = f"{path}/{p}"

@@ -98,6 +98,14 @@ _RAW_SQL = [
 ]
 
 
+def restrict_days(events: DataFrame, lo: str, hi: str) -> DataFrame:
+    """Keep events whose UTC day is in ``[lo, hi]`` ('yyyyMMdd'), as a range
+    on ``ts`` the Parquet reader can use (event_date is derived from ts)."""
+    start = f"{lo[:4]}-{lo[4:6]}-{lo[6:]} 00:00:00"
+    end = f"{hi[:4]}-{hi[4:6]}-{hi[6:]} 00:00:00"
+    return events.where(f"ts >= TIMESTAMP_NTZ'{start}' AND ts < TIMESTAMP_NTZ'{end}' + INTERVAL 1 DAY")
+
+
 def _feed_filter(events: DataFrame, feed: str) -> DataFrame:
     if feed == "all":
         return events
