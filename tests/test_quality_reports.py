@@ -91,3 +91,33 @@ def test_daily_mart_counts_null_revenue(spark):
         "attribution_model string")
     r = marts.channel_daily(cred).collect()[0]
     assert (r.conversions, r.revenue) == (2, 2.5)
+
+
+def test_same_purchase_in_both_feeds(spark):
+    from touchcredit.operators import journeys, staging
+    from touchcredit.sources.schemas import RAW_BATCH, STREAM_FLAT
+    us = C0
+    raw = spark.createDataFrame([
+        ("20240123", us - 100, "session_start", "u", [("ga_session_id", (None, 1))], ("google", "cpc", None), (None,)),
+        ("20240123", us, "purchase", "u", [("ga_session_id", (None, 1))], (None, None, None), (12.5,)),
+    ], RAW_BATCH)
+    stream = spark.createDataFrame([("k1", "20240123", us, "purchase", "u", 1, None, None, None, 12.5, None)],
+                                   STREAM_FLAT)
+    stg = staging.stg_events(raw, stream)
+    conv = journeys.conversions(stg)
+    credited = cr.credit(journeys.touchpoints(stg), conv, 30 * DAY)
+    assert credited.count() == 2  # one row per model
+    assert quality.duplicate_keys(conv, "int_conversions", "conversion_id").count() == 1
+
+
+def test_strict_conservation_uses_unrounded_totals(spark):
+    daily = spark.createDataFrame([("first_click", "20240101", "A", 1, 10.0),
+                                   ("last_click", "20240101", "B", 1, 10.0)], DAILY_SCHEMA)
+    cred = spark.createDataFrame(
+        [("c1", "20240101", 10.0, "A", "first_click"), ("c1", "20240101", 10.004, "B", "last_click")],
+        "conversion_id string, conversion_date string, purchase_revenue double, attributed_channel string, "
+        "attribution_model string")
+    r = quality.revenue_conserved(daily, cred).collect()[0]
+    assert r.ref_violation is False and r.strict_violation is False
+    cred2 = cred.where("attribution_model = 'first_click'")
+    assert quality.revenue_conserved(daily, cred2).collect()[0].strict_violation is True

@@ -235,7 +235,13 @@ def _orphan_rate(days: int) -> Query:
 
 
 def q_dq_revenue_conserved(spark, sf_dir):
-    return dq.revenue_conserved(pipeline(spark, sf_dir).channel_daily)
+    p = pipeline(spark, sf_dir).with_written_credit()
+    return dq.revenue_conserved(p.channel_daily, p.credited)
+
+
+def q_dq_stream_keys(spark, sf_dir):
+    d = _deliveries(spark, sf_dir)
+    return dq.stream_keys(d, ingest.dedupe_deliveries(d))
 
 
 def q_dq_freshness(spark, sf_dir):
@@ -251,7 +257,7 @@ def q_dq_summary(spark, sf_dir):
     rel = p.relations()
     return dq.summary(
         dq.not_null(rel), dq.unique(rel), dq.accepted_values(p.stg, p.channel_daily),
-        dq.orphan_rate(p.conversions, p.mart(C.LAST_CLICK)), dq.revenue_conserved(p.channel_daily),
+        dq.orphan_rate(p.conversions, p.mart(C.LAST_CLICK)), dq.revenue_conserved(p.channel_daily, p.credited),
         dq.freshness(p.stg, AS_OF_US),
         dq.repeated_param_keys(staging.param_lookup(p.inputs.batch_raw)),
         dq.rowcount_vs_trailing(p.channel_daily, AS_OF),
@@ -310,6 +316,7 @@ def queries() -> dict[str, Query]:
         "dq_orphan_rate_7d": _orphan_rate(7),
         "dq_revenue_conserved": q_dq_revenue_conserved,
         "dq_freshness": q_dq_freshness,
+        "dq_stream_keys": q_dq_stream_keys,
         "dq_rowcount_7d": q_dq_rowcount_7d,
         "dq_summary": q_dq_summary,
         "stream_attribution": lambda spark, sf_dir: q_stream_attribution(spark, sf_dir),

@@ -180,10 +180,12 @@ FROM cv c"""
 
 CONSERVED_SQL = """SELECT first_click_total, last_click_total,
        coalesce(first_click_total <> last_click_total, FALSE) AS ref_violation,
-       first_click_total IS DISTINCT FROM last_click_total AS strict_violation
+       CASE WHEN uf IS NULL AND ul IS NULL THEN FALSE WHEN uf IS NULL OR ul IS NULL THEN TRUE
+            ELSE abs(uf - ul) > 0.005 END AS strict_violation
 FROM (SELECT round(sum(revenue) FILTER (WHERE attribution_model = 'first_click'), 2) AS first_click_total,
              round(sum(revenue) FILTER (WHERE attribution_model = 'last_click'), 2) AS last_click_total
-      FROM daily)"""
+      FROM daily),
+     (SELECT (SELECT sum(purchase_revenue) FROM fc) AS uf, (SELECT sum(purchase_revenue) FROM lc) AS ul)"""
 
 FRESH_SQL = f"""SELECT newest_event_us, hours_since,
        CASE WHEN hours_since > 50 THEN 'error' WHEN hours_since > 26 THEN 'warn' ELSE 'pass' END AS status
@@ -323,6 +325,10 @@ WHERE NOT EXISTS (SELECT 1 FROM lc m WHERE m.conversion_id = c.conversion_id)"""
         out[f"dq_orphan_rate{suffix}"] = w + "\n" + ORPHAN_RATE_SQL
     out["dq_revenue_conserved"] = c30 + f", {DAILY_CTE}\n" + CONSERVED_SQL
     out["dq_freshness"] = b + "\n" + FRESH_SQL
+    out["dq_stream_keys"] = sb + """
+SELECT CAST(0 AS BIGINT) AS null_keys,
+       CAST((SELECT count(*) FROM (SELECT event_id FROM s GROUP BY event_id HAVING count(*) > 1)) AS BIGINT)
+         AS duplicate_keys_in_target"""
     out["dq_rowcount_7d"] = c30 + f", {DAILY_CTE}, {PD_CTE}\n" + ROWCOUNT_SQL
     out["dq_summary"] = c30 + f""", {DAILY_CTE}, {PD_CTE},
 nn AS ({_not_null_sql()}),
