@@ -114,3 +114,14 @@ def test_many_conversions_share_history(spark):
         eligible = [t for t in touches if lo <= t[2] <= c]
         assert out[(f"u-{c}", C.FIRST_CLICK)].attributed_channel == min(eligible, key=lambda t: t[2])[3]
         assert out[(f"u-{c}", C.LAST_CLICK)].attributed_channel == max(eligible, key=lambda t: t[2])[3]
+
+
+def test_single_scan_credit_equals_two_frame_credit(spark):
+    from touchcredit.operators import journeys, staging
+    from touchcredit.operators.credit import credit_events
+    from touchcredit.sources import events_adapter as ea
+    stg = staging.stg_events(ea.raw_batch(ea.load_events(spark, "/root/testdata/sf0.001")))
+    a = credit(journeys.touchpoints(stg), journeys.conversions(stg), 7 * DAY)
+    b = credit_events(stg, 7 * DAY)
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0

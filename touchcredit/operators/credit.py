@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchcredit import config as C
+from touchcredit.functions import columns as fc
 from touchcredit.operators.asof import asof_core, hot_chunks
 
 CREDIT_COLUMNS = [
@@ -47,9 +48,6 @@ def credit(touch: DataFrame, conv: DataFrame, lookback_us: int,
     a ``hot_fraction`` sample of the input estimates above ``hot_rows`` rows
     are split into ``fine_us`` sub-chunks (default chunk / 60).
     """
-    for m in models:
-        if m not in C.MODELS:
-            raise ValueError(f"unknown model {m!r}")
     L = int(lookback_us)
     payload = F.struct(
         F.col("touchpoint_us").alias("t"),
@@ -65,8 +63,45 @@ def credit(touch: DataFrame, conv: DataFrame, lookback_us: int,
                        payload.alias("_m"))
     cvs = conv.where(F.col("conversion_id").isNotNull()) \
         .select(F.col("user_pseudo_id").alias("_k"), F.col("conversion_us").alias("_t"), pick.alias("_c"))
-    both = (pts.unionByName(cvs, allowMissingColumns=True)
-            .where(F.col("_k").isNotNull() & F.col("_t").isNotNull()))
+    both = pts.unionByName(cvs, allowMissingColumns=True)
+    return _credit_union(both, L, chunk_us, models, hot_rows, fine_us, hot_fraction)
+
+
+def credit_events(stg: DataFrame, lookback_us: int, chunk_us: int = 3_600_000_000,
+                  models: tuple[str, ...] = C.MODELS, hot_rows: int | None = None,
+                  fine_us: int | None = None, hot_fraction: float = 0.01) -> DataFrame:
+    """Same as ``credit(touchpoints(stg), conversions(stg), ...)`` from a
+    single pass over the staging relation: one ``event_name IN (...)``
+    filter (pushed to the reader) instead of one scan per role."""
+    name = F.col("event_name")
+    is_touch, is_conv = name == C.TOUCH_EVENT, name == C.CONVERSION_EVENT
+    payload = F.struct(
+        F.col("event_timestamp").alias("t"),
+        F.col("ga_session_id").alias("sid"),
+        fc.channel_label("source", "medium").alias("channel"),
+    )
+    cid = fc.conversion_id("user_pseudo_id", "event_timestamp")
+    pick = F.struct(
+        F.col("purchase_revenue").alias("purchase_revenue"),
+        F.col("event_date").alias("conversion_date"),
+        cid.alias("conversion_id"),
+    )
+    both = (stg.where(name.isin(C.TOUCH_EVENT, C.CONVERSION_EVENT))
+            .select(F.col("user_pseudo_id").alias("_k"), F.col("event_timestamp").alias("_t"),
+                    F.when(is_touch, payload).alias("_m"),
+                    F.when(is_conv & cid.isNotNull(), pick).alias("_c"))
+            .where(F.col("_m").isNotNull() | F.col("_c").isNotNull()))
+    return _credit_union(both, int(lookback_us), chunk_us, models, hot_rows, fine_us, hot_fraction)
+
+
+def _credit_union(both: DataFrame, L: int, chunk_us: int, models, hot_rows, fine_us,
+                  hot_fraction) -> DataFrame:
+    """Rows ``(_k, _t, _m touch payload | NULL, _c conversion pick | NULL)``
+    -> credited rows."""
+    for m in models:
+        if m not in C.MODELS:
+            raise ValueError(f"unknown model {m!r}")
+    both = both.where(F.col("_k").isNotNull() & F.col("_t").isNotNull())
     hot = hot_chunks(both, chunk_us, hot_rows, fraction=hot_fraction) if hot_rows else None
     grouped = (both
                .groupBy("_k", "_t")

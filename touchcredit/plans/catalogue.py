@@ -81,8 +81,8 @@ def q_conversions(spark, sf_dir):
 def _attribution(model: str, days: int, chunk_us: int | None = None) -> Query:
     def q(spark, sf_dir):
         p = pipeline(spark, sf_dir, lookback_days=days, chunk_us=chunk_us)
-        return cr.credit(p.touchpoints, p.conversions, p.config.lookback_us,
-                         chunk_us=p.config.chunk_us, models=(model,)).select(*cr.MART_COLUMNS)
+        return cr.credit_events(p.stg, p.config.lookback_us,
+                                chunk_us=p.config.chunk_us, models=(model,)).select(*cr.MART_COLUMNS)
     return q
 
 
@@ -216,8 +216,8 @@ def q_dq_accepted_values(spark, sf_dir):
 
 
 def _last_only(p: Pipeline) -> DataFrame:
-    return cr.mart(cr.credit(p.touchpoints, p.conversions, p.config.lookback_us,
-                             chunk_us=p.config.chunk_us, models=(C.LAST_CLICK,)), C.LAST_CLICK)
+    return cr.mart(cr.credit_events(p.stg, p.config.lookback_us,
+                                    chunk_us=p.config.chunk_us, models=(C.LAST_CLICK,)), C.LAST_CLICK)
 
 
 def _orphans(days: int) -> Query:

@@ -66,9 +66,9 @@ class Pipeline:
 
     @cached_property
     def credited(self) -> DataFrame:
-        return cr.credit(self.touchpoints, self.conversions, self.config.lookback_us,
-                         chunk_us=self.config.chunk_us, hot_rows=self.config.split_hot_rows,
-                         fine_us=self.config.fine_us)
+        return cr.credit_events(self.stg, self.config.lookback_us,
+                                chunk_us=self.config.chunk_us, hot_rows=self.config.split_hot_rows,
+                                fine_us=self.config.fine_us)
 
     def mart(self, model: str) -> DataFrame:
         return cr.mart(self.credited, model)
