@@ -4,7 +4,7 @@
 
 Each query is forced in full with a ``noop`` write (every row and column
 computed, nothing collected). Each query runs once untimed (JVM JIT and
-code generation warm-up), then ``BENCH_REPS`` timed runs (default 2); the
+code generation warm-up), then ``BENCH_REPS`` timed runs (default 3); the
 best run is reported, the cold run too. Prints one JSON line.
 """
 
@@ -43,7 +43,7 @@ def main() -> None:
     qs = catalogue.queries()
     names = [q for q in (sys.argv[1:] or HEADLINE) if q in qs]
 
-    reps = int(os.environ.get("BENCH_REPS", "2"))
+    reps = int(os.environ.get("BENCH_REPS", "3"))
 
     def run(name: str) -> float:
         t0 = time.perf_counter()
