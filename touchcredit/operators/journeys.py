@@ -25,6 +25,7 @@ def touchpoints(stg: DataFrame) -> DataFrame:
         fc.medium_or_default("medium").alias("medium"),
         "campaign",
         fc.channel_label("source", "medium").alias("channel"),
+        F.col("event_date").alias("touch_date"),
     )
 
 

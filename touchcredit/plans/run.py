@@ -34,11 +34,15 @@ def run_batch(spark: SparkSession, export_path: str, stream_table_path: str | No
     stream = ingest.read_target(spark, stream_table_path) if stream_table_path else None
     stg = staging.stg_events(raw, stream)
     conv = journeys.conversions(stg)
-    credited = cr.credit(journeys.touchpoints(stg), conv, config.lookback_us, chunk_us=config.chunk_us)
+    credited = cr.credit_events(stg, config.lookback_us, chunk_us=config.chunk_us,
+                                hot_rows=config.split_hot_rows, fine_us=config.fine_us)
 
     paths = {k: f"{out_dir}/{k}" for k in (
-        "attribution", "mart_channel_daily", "conversions", "model_totals", "channel_breakdown",
-        "channel_compare", "trend", "dq_summary")}
+        "attribution", "mart_channel_daily", "conversions", "touchpoints", "model_totals",
+        "channel_breakdown", "channel_compare", "trend", "dq_summary")}
+    # compact touchpoint table by day: what the live credit reads per micro-batch
+    marts.write_mart(journeys.touchpoints(stg).drop("touchpoint_ts"), paths["touchpoints"],
+                     partition_by=["touch_date"])
     marts.write_mart(credited.select(*cr.MART_COLUMNS, "touchpoint_us"), paths["attribution"],
                      partition_by=["attribution_model"])
     # conversions are written too: the orphan check and Q1/Q2 read them

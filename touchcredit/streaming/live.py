@@ -6,9 +6,11 @@ reports read the written tables.
 
 X6: in the same ``foreachBatch`` as the idempotent merge, credit the
 micro-batch's new conversions right away with the as-of operator. Only the
-touchpoints that can matter are read: users of this micro-batch (a list
-bounded by the trigger's rate limit, broadcast after a size check) and
-times within ``[min(c) - L, max(c)]`` (pushed to the scans). Credits are
+touchpoints that can matter are read: the days of ``[min(c) - L, max(c)]``
+(partition pruning on the compact touchpoint table the batch run writes and
+on the stream table), times within that range (pushed to the reader), and
+users of this micro-batch (a list bounded by the trigger's rate limit,
+broadcast after a size check). Credits are
 appended idempotently (anti-join on conversion and model), so a retried
 batch adds nothing. A touchpoint that arrives after the conversion it would
 win is not seen by the live credit; the batch refresh (X3) stays the record
@@ -57,19 +59,34 @@ def _only_users(touches: DataFrame, users: DataFrame) -> DataFrame:
     return touches.join(side, "user_pseudo_id", "left_semi")
 
 
-def credit_new_conversions(spark: SparkSession, batch_rows: DataFrame, batch_touches: DataFrame,
+def _day(us: int) -> str:
+    import datetime as _dt
+    return (_dt.datetime(1970, 1, 1) + _dt.timedelta(microseconds=int(us))).strftime("%Y%m%d")
+
+
+def credit_new_conversions(spark: SparkSession, batch_rows: DataFrame, touch_table: DataFrame,
                            target_path: str, credit_path: str, config: AttributionConfig) -> int:
     """Credit the conversions of one (deduplicated) micro-batch; append the
-    new credits; return how many were appended."""
+    new credits; return how many were appended.
+
+    ``touch_table`` holds the batch feed's touchpoints with a ``touch_date``
+    column (the batch run writes it partitioned by that day); it and the
+    stream table (partitioned by ``event_day``) are pruned to the days of
+    ``[min(c) - L, max(c)]`` before anything else."""
     L = config.lookback_us
     conv = journeys.conversions(staging.flatten_stream(batch_rows))
     bounds = conv.agg(F.min("conversion_us").alias("lo"), F.max("conversion_us").alias("hi")).first()
     if bounds is None or bounds["lo"] is None:
         return 0
     lo, hi = bounds["lo"] - L, bounds["hi"]
+    d_lo, d_hi = _day(lo), _day(hi)
     users = conv.select("user_pseudo_id").where(F.col("user_pseudo_id").isNotNull()).distinct()
-    stream_touch = journeys.touchpoints(staging.flatten_stream(ingest.read_target(spark, target_path)))
-    touch = batch_touches.select(*stream_touch.columns).unionByName(stream_touch) \
+    stream = (spark.read.schema(ingest.TARGET_SCHEMA).parquet(target_path)
+              .where(F.col("event_day").between(d_lo, d_hi)).select(*ingest.FLAT_COLUMNS))
+    stream_touch = journeys.touchpoints(staging.flatten_stream(stream))
+    batch_touch = touch_table.where(F.col("touch_date").between(d_lo, d_hi))
+    need = ["user_pseudo_id", "ga_session_id", "touchpoint_us", "channel"]
+    touch = batch_touch.select(*need).unionByName(stream_touch.select(*need)) \
         .where(F.col("touchpoint_us").between(lo, hi))
     touch = _only_users(touch, users)
     new = cr.credit(touch, conv, L, chunk_us=config.chunk_us).select(*LIVE_COLUMNS)
@@ -84,7 +101,7 @@ def credit_new_conversions(spark: SparkSession, batch_rows: DataFrame, batch_tou
     return n
 
 
-def start_live_credit(source: DataFrame, batch_touches: DataFrame, target_path: str, credit_path: str,
+def start_live_credit(source: DataFrame, touch_table: DataFrame, target_path: str, credit_path: str,
                       checkpoint_path: str, config: AttributionConfig = AttributionConfig(),
                       trigger: dict | None = None):
     """X1 + X6 in one ``foreachBatch``: merge, then credit the batch."""
@@ -94,7 +111,7 @@ def start_live_credit(source: DataFrame, batch_touches: DataFrame, target_path:
         df = df.persist()
         try:
             ingest.merge_batch(df, target_path)
-            credit_new_conversions(spark, ingest.one_per_key(df), batch_touches, target_path,
+            credit_new_conversions(spark, ingest.one_per_key(df), touch_table, target_path,
                                    credit_path, config)
         finally:
             df.unpersist()
