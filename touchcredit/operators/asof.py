@@ -11,13 +11,12 @@ Plan (no shuffle carries pairs):
    map-side partial aggregate: copies and ties never pile up in one task.
    Probes must already be unique per (key, time, direction).
 1. points and probes are unioned and hash-partitioned by ``(key, chunk)``,
-   ``chunk = time div chunk_us``. Within a chunk, a running max (time asc)
+   ``chunk = floor(time / chunk_us)``. Within a chunk, a running max (time asc)
    and a running min (time desc) over ``RANGE UNBOUNDED PRECEDING`` give the
    local answer; RANGE includes peers, so equal times count (inclusive
    ends).
 2. A per-``(key, chunk)`` summary (max and min payload, partial aggregate)
-   is windowed by key
-   in chunk order: the carry is the best payload of all earlier chunks
+   is windowed by key in chunk order: the carry is the best payload of all earlier chunks
    (backward) or of all later chunks (forward). One row per active
    ``(key, chunk)``, so a key's history is never gathered in one task.
 3. Probes meet their carry with an equi-join on ``(key, chunk)``; the
@@ -26,7 +25,8 @@ Plan (no shuffle carries pairs):
 Cost is one sort of the data per direction, independent of how many points
 fall inside any interval. ``chunk_us`` bounds the rows a single window task
 sees for one key (a hot key spreads over its chunks); results do not depend
-on it. Rows with a NULL key are dropped first: a window would group NULL
+on it. Bursts inside one chunk can be split further (``hot_chunks`` and the
+``hot`` argument of ``asof_core``). Rows with a NULL key are dropped first: a window would group NULL
 keys together while an equi-join never matches them.
 """
 

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from touchcredit import config as C
 
-COUNT_SCHEMA = ["relation", "column_name", "failures"]
-
 # --- fixed values: the columns each relation must not leave NULL -------------
 NOT_NULL = {
     "stg_events": ["event_timestamp", "event_name", "user_pseudo_id"],

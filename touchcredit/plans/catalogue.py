@@ -7,6 +7,8 @@ micros or text, counts as bigint, revenue as double rounded to 2 dp.
 
 from __future__ import annotations
 
+import dataclasses
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +18,16 @@ from touchcredit import config as C
 from touchcredit.config import AttributionConfig
 from touchcredit.functions import columns as fc
 from touchcredit.operators import credit as cr
+from touchcredit.operators import journeys
 from touchcredit.operators import quality as dq
 from touchcredit.operators import reports as rp
 from touchcredit.operators import staging
 from touchcredit.plans.pipeline import AS_OF, Pipeline, driver_inputs
-from touchcredit.session import ensure_utc
+from touchcredit.session import ensure_utc, shared_dir
 from touchcredit.sources import csv_flat
 from touchcredit.sources import events_adapter as ea
-from touchcredit.streaming import ingest
+from touchcredit.streaming import ingest, live
+from touchcredit.streaming.source import flat_event_stream, write_delivery_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,8 +47,7 @@ def pipeline(spark: SparkSession, sf_dir: str, lookback_days: int = C.DEFAULT_LO
     cfg = AttributionConfig(lookback_days=lookback_days, as_of=AS_OF,
                             batch_window_days=batch_window_days)
     if chunk_us is not None:
-        cfg = AttributionConfig(lookback_days=lookback_days, as_of=AS_OF,
-                                batch_window_days=batch_window_days, chunk_us=chunk_us)
+        cfg = dataclasses.replace(cfg, chunk_us=chunk_us)
     return Pipeline(driver_inputs(spark, sf_dir, split_feeds=split_feeds,
                                   batch_window_days=batch_window_days), cfg)
 
@@ -264,6 +267,24 @@ def q_dq_summary(spark, sf_dir):
     )
 
 
+def q_stream_attribution(spark, sf_dir):
+    """X6 end to end: the streaming feed (with replays) arrives as day files;
+    a Structured Streaming query merges each micro-batch idempotently and
+    credits its conversions at once against both feeds' touchpoints. The
+    live credits of the streamed conversions are returned."""
+    ensure_utc(spark)
+    root = shared_dir(spark, "touchcredit", f"stream_attribution-{uuid.uuid4().hex[:12]}")
+    write_delivery_files(_deliveries(spark, sf_dir), f"{root}/incoming")
+    ev = ea.load_events(spark, sf_dir)
+    batch_touch = journeys.touchpoints(staging.stg_events(ea.raw_batch(ev, "batch")))
+    cfg = AttributionConfig(lookback_days=C.DEFAULT_LOOKBACK_DAYS, as_of=AS_OF)
+    q = live.start_live_credit(
+        flat_event_stream(spark, f"{root}/incoming/batch_id=*/*.parquet", max_files_per_trigger=64),
+        batch_touch, f"{root}/stream_table", f"{root}/live_credit", f"{root}/checkpoint", cfg)
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/live_credit").select(*cr.MART_COLUMNS)
+
+
 def queries() -> dict[str, Query]:
 
     out: dict[str, Query] = {
@@ -319,34 +340,7 @@ def queries() -> dict[str, Query]:
         "dq_stream_keys": q_dq_stream_keys,
         "dq_rowcount_7d": q_dq_rowcount_7d,
         "dq_summary": q_dq_summary,
-        "stream_attribution": lambda spark, sf_dir: q_stream_attribution(spark, sf_dir),
+        "stream_attribution": q_stream_attribution,
     })
     return out
 
-
-def q_stream_attribution(spark, sf_dir):
-    """X6 end to end: the streaming feed (with replays) arrives as day files;
-    a Structured Streaming query merges each micro-batch idempotently and
-    credits its conversions at once against both feeds' touchpoints. The
-    live credits of the streamed conversions are returned."""
-    import uuid
-
-    from touchcredit.session import shared_dir
-    from touchcredit.streaming import live
-    from touchcredit.streaming.source import flat_event_stream, write_delivery_files
-
-    ensure_utc(spark)
-    root = shared_dir(spark, "touchcredit", f"stream_attribution-{uuid.uuid4().hex[:12]}")
-    write_delivery_files(_deliveries(spark, sf_dir), f"{root}/incoming")
-    ev = ea.load_events(spark, sf_dir)
-    from touchcredit.operators import journeys
-    batch_touch = journeys.touchpoints(staging.stg_events(ea.raw_batch(ev, "batch")))
-    cfg = AttributionConfig(lookback_days=C.DEFAULT_LOOKBACK_DAYS, as_of=AS_OF)
-    q = live.start_live_credit(
-        flat_event_stream(spark, f"{root}/incoming/batch_id=*/*.parquet", max_files_per_trigger=64),
-        batch_touch, f"{root}/stream_table", f"{root}/live_credit", f"{root}/checkpoint", cfg)
-    q.awaitTermination()
-    return spark.read.parquet(f"{root}/live_credit").select(*cr.MART_COLUMNS)
-
-
-STREAMING_QUERIES = {"stream_attribution": q_stream_attribution}
