@@ -58,10 +58,16 @@ def test_every_query_but_the_bundle_has_an_oracle():
 def test_report_bundle_parses(spark):
     import json
     doc = json.loads(ent.queries()["report_bundle"](spark, SF).collect()[0].json)
-    assert {t["attribution_model"] for t in doc["totals"]} == {"first_click", "last_click"}
+    assert set(doc["totals"]) == {"first_click", "last_click"} == set(doc["channel_breakdown"])
     assert len(doc["live_events"]) == 20 and len(doc["trend"]) == 14
-    tot = {t["attribution_model"]: t for t in doc["totals"]}
+    tot = doc["totals"]
     assert tot["first_click"]["revenue"] == tot["last_click"]["revenue"]
+    for model, rows in doc["channel_breakdown"].items():
+        revs = [r["revenue"] for r in rows]
+        assert revs == sorted(revs, reverse=True)
+        assert sum(r["conversions"] for r in rows) == tot[model]["conversions"]
+    ing = [e["ingested_at"] for e in doc["live_events"]]
+    assert ing == sorted(ing, reverse=True)
 
 
 def test_entry_smoke(spark):

@@ -118,23 +118,35 @@ def ordered_daily(daily: DataFrame) -> DataFrame:
 
 def bundle(totals: DataFrame, breakdown: DataFrame, trend_df: DataFrame, live: DataFrame,
            generated_at: str, daily_path: str | None = None) -> DataFrame:
-    """One JSON document (one row, column ``json``) with the totals, the
-    per-model channel breakdown, the trend window and the live panel.
-
-    Every part is bounded by construction (2 models; channels per model;
-    at most 14 dates; at most 20 live events), and each is folded by a scalar
-    subquery, so no unbounded relation passes through one row. The daily
-    mart, which grows with days x channels, is not embedded: it stays a
-    dataset and the document points at it (``daily_path``)."""
-    def fold(df: DataFrame, order: list[str]):
-        return df.agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order + [
-            c for c in df.columns if c not in order]])))).scalar()
+    """One JSON document (one row, column ``json``) shaped like the
+    dashboard's data file: ``totals`` and ``channel_breakdown`` keyed by
+    model (breakdown ordered by revenue, highest first), the trend window,
+    the live panel, and ``generated_at`` (passed in, not read from a clock).
+
+    Every part is bounded by construction (2 models; channels per model; at
+    most 14 dates; at most 20 live events) and folded by a scalar subquery,
+    so no unbounded relation passes through one row. The daily mart, which
+    grows with days x channels, is not embedded: it stays a dataset and the
+    document points at it (``daily_path``)."""
+    tot = totals.agg(F.map_from_entries(F.collect_list(F.struct(
+        "attribution_model", F.struct("conversions", "revenue"))))).scalar()
+    per_model = breakdown.groupBy("attribution_model").agg(
+        F.sort_array(F.collect_list(F.struct(
+            F.coalesce("revenue", F.lit(float("-inf"))).alias("_r"),
+            F.col("attributed_channel"), F.col("conversions"), F.col("revenue"))), asc=False).alias("_rows"))
+    per_model = per_model.select("attribution_model", F.transform("_rows", lambda r: F.struct(
+        r["attributed_channel"].alias("attributed_channel"), r["conversions"].alias("conversions"),
+        r["revenue"].alias("revenue"))).alias("rows"))
+    brk = per_model.agg(F.map_from_entries(F.collect_list(F.struct("attribution_model", "rows")))).scalar()
+    trend_rows = trend_df.agg(F.sort_array(F.collect_list(F.struct(*trend_df.columns)))).scalar()
+    live_rows = live.agg(F.sort_array(F.collect_list(F.struct("ingested_at", *[
+        c for c in live.columns if c != "ingested_at"])), asc=False)).scalar()
     doc = F.struct(
         F.lit(generated_at).alias("generated_at"),
-        fold(totals, ["attribution_model"]).alias("totals"),
-        fold(breakdown, ["attribution_model", "attributed_channel"]).alias("channel_breakdown"),
-        fold(trend_df, ["conversion_date"]).alias("trend"),
-        fold(live, ["ingested_at", "event_id"]).alias("live_events"),
+        tot.alias("totals"),
+        brk.alias("channel_breakdown"),
+        trend_rows.alias("trend"),
+        live_rows.alias("live_events"),
         F.lit(daily_path).cast("string").alias("channel_daily_path"),
     )
     return totals.sparkSession.range(1).select(F.to_json(doc).alias("json"))
