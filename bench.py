@@ -20,6 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
     "channel_daily",
+    "channel_daily_hot_user",
     "attribution_first_click_30d",
     "attribution_last_click_7d",
     "stg_events",

@@ -43,13 +43,13 @@ CONV_OUT = ["conversion_id", "user_pseudo_id", "conversion_date", "conversion_us
 
 def pipeline(spark: SparkSession, sf_dir: str, lookback_days: int = C.DEFAULT_LOOKBACK_DAYS,
              split_feeds: bool = False, batch_window_days: int | None = None,
-             chunk_us: int | None = None) -> Pipeline:
+             chunk_us: int | None = None, hot_user: bool = False) -> Pipeline:
     cfg = AttributionConfig(lookback_days=lookback_days, as_of=AS_OF,
                             batch_window_days=batch_window_days)
     if chunk_us is not None:
         cfg = dataclasses.replace(cfg, chunk_us=chunk_us)
     return Pipeline(driver_inputs(spark, sf_dir, split_feeds=split_feeds,
-                                  batch_window_days=batch_window_days), cfg)
+                                  batch_window_days=batch_window_days, hot_user=hot_user), cfg)
 
 
 # --- staging and journeys --------------------------------------------------------
@@ -98,6 +98,17 @@ def q_attribution_split_hot_7d(spark, sf_dir):
                      hot_rows=1, fine_us=60_000_000, hot_fraction=0.5).select(*cr.MART_COLUMNS)
 
 
+def q_channel_daily_hot_user(spark, sf_dir):
+    """Skew case: a third of all events belong to one user."""
+    return pipeline(spark, sf_dir, hot_user=True).channel_daily
+
+
+def q_attribution_last_click_30d_hot_user(spark, sf_dir):
+    p = pipeline(spark, sf_dir, hot_user=True)
+    return cr.credit_events(p.stg, p.config.lookback_us, chunk_us=p.config.chunk_us,
+                            models=(C.LAST_CLICK,)).select(*cr.MART_COLUMNS)
+
+
 def _channel_daily(days: int) -> Query:
     def q(spark, sf_dir):
         return pipeline(spark, sf_dir, lookback_days=days).channel_daily
@@ -307,6 +318,8 @@ def queries() -> dict[str, Query]:
     out["attribution_last_asof_7d"] = _attribution(C.LAST_CLICK, 7, chunk_us=7 * C.MICROS_PER_DAY)
     out["attribution_split_hot_7d"] = q_attribution_split_hot_7d
     out["channel_daily"] = _channel_daily(30)
+    out["channel_daily_hot_user"] = q_channel_daily_hot_user
+    out["attribution_last_click_30d_hot_user"] = q_attribution_last_click_30d_hot_user
     out["channel_daily_1d"] = _channel_daily(1)
     out["channel_daily_7d"] = _channel_daily(7)
     out.update({

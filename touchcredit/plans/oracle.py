@@ -26,14 +26,15 @@ def _event_name_case() -> str:
     return f"CASE event_type {whens} END"
 
 
-def base_ctes(feed: str = "all", window: tuple[str, str] | None = None) -> str:
+def base_ctes(feed: str = "all", window: tuple[str, str] | None = None, hot_user: bool = False) -> str:
     """CTEs ``ev``, ``stg``, ``tp``, ``cv``, ``cvu`` over the events view."""
+    user = "CASE WHEN event_id % 3 = 0 THEN 999999 ELSE user_id END" if hot_user else "user_id"
     feed_pred = {"all": "TRUE", "batch": "event_id % 10 <> 0", "streaming": "event_id % 10 = 0"}[feed]
     win = "TRUE" if window is None else f"event_date BETWEEN '{window[0]}' AND '{window[1]}'"
     return f"""
 {_channels_values()},
 ev AS (
-  SELECT event_id, ts, user_id, event_type, value,
+  SELECT event_id, ts, {user} AS user_id, event_type, value,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
          epoch_us(ts) AS us
   FROM events WHERE {feed_pred}
@@ -118,8 +119,8 @@ FROM (SELECT * FROM fc UNION ALL SELECT * FROM lc)
 GROUP BY attribution_model, conversion_date, attributed_channel"""
 
 
-def credited_ctes(days: int, feed: str = "all") -> str:
-    return with_(base_ctes(feed), credit_cte("fc", "first_click", days),
+def credited_ctes(days: int, feed: str = "all", hot_user: bool = False) -> str:
+    return with_(base_ctes(feed, hot_user=hot_user), credit_cte("fc", "first_click", days),
                  credit_cte("lc", "last_click", days))
 
 
@@ -239,6 +240,8 @@ FROM raw"""
     out["attribution_last_asof_7d"] = out["attribution_last_click_7d"]
     out["channel_daily"] = credited_ctes(30) + "\n" + DAILY
     out["channel_daily_1d"] = credited_ctes(1) + "\n" + DAILY
+    out["channel_daily_hot_user"] = credited_ctes(30, hot_user=True) + "\n" + DAILY
+    out["attribution_last_click_30d_hot_user"] = credited_ctes(30, hot_user=True) + f"\nSELECT {MART} FROM lc"
     out["channel_daily_7d"] = credited_ctes(7) + "\n" + DAILY
 
     c30 = credited_ctes(30)

@@ -28,7 +28,8 @@ class Inputs:
 
 
 def driver_inputs(spark: SparkSession, sf_dir: str, split_feeds: bool = False,
-                  batch_window_days: int | None = None, as_of: _dt.date = AS_OF) -> Inputs:
+                  batch_window_days: int | None = None, as_of: _dt.date = AS_OF,
+                  hot_user: bool = False) -> Inputs:
     """Feeds derived from the given ``events`` table.
 
     ``split_feeds=False``: every event arrives through the batch export.
@@ -37,6 +38,8 @@ def driver_inputs(spark: SparkSession, sf_dir: str, split_feeds: bool = False,
     """
     ensure_utc(spark)
     ev = ea.load_events(spark, sf_dir)
+    if hot_user:
+        ev = ea.with_hot_user(ev)
     if batch_window_days is not None:
         # the same window on the source column, so it reaches the Parquet reader
         ev = ea.restrict_days(ev, *batch_src.window_bounds(as_of, batch_window_days))
