@@ -102,6 +102,14 @@ def merge_batch(batch: DataFrame, target_path: str) -> dict:
         batch.unpersist()
 
 
+def batch_jobs_adaptive(df: DataFrame) -> None:
+    """Structured Streaming turns adaptive execution off in the session it
+    clones for a query; the work inside ``foreachBatch`` is ordinary batch
+    jobs (aggregates, anti-joins, writes), so turn it back on there: shuffle
+    partitions are coalesced to the micro-batch's size."""
+    df.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def start_ingest(source: DataFrame, target_path: str, checkpoint_path: str,
                  metrics_path: str | None = None, trigger: dict | None = None):
     """``readStream`` frame -> idempotent target. Returns the StreamingQuery.
@@ -110,6 +118,7 @@ def start_ingest(source: DataFrame, target_path: str, checkpoint_path: str,
     per batch id; a retried batch appends again, readers keep the last)."""
 
     def _sink(df: DataFrame, batch_id: int) -> None:
+        batch_jobs_adaptive(df)
         counts = merge_batch(df, target_path)
         if metrics_path:
             spark = df.sparkSession

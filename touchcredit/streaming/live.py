@@ -108,6 +108,7 @@ def start_live_credit(source: DataFrame, touch_table: DataFrame, target_path: st
 
     def _sink(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
+        ingest.batch_jobs_adaptive(df)
         df = df.persist()
         try:
             ingest.merge_batch(df, target_path)
