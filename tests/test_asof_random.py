@@ -11,7 +11,7 @@ from touchcredit.operators.credit import credit
 
 
 def brute_force(touches, convs, L):
-    """Pairs + pick: the reference definition, in plain Python."""
+    """Pairs + pick: the literal definition, in plain Python."""
     best_rev = {}
     for cid, user, date, us, rev in convs:
         if cid is None:

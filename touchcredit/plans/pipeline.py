@@ -17,7 +17,7 @@ from touchcredit.sources import batch as batch_src
 from touchcredit.sources import events_adapter as ea
 from touchcredit.streaming import ingest
 
-# Fixed reference date of the given tables (data span 2024-01-01..2024-01-30).
+# Fixed 'today' of the given tables (data span 2024-01-01..2024-01-30).
 AS_OF = _dt.date(2024, 1, 31)
 
 
