@@ -30,3 +30,12 @@ def test_run_batch_matches_catalogue(spark, scratch):
     assert s["accepted_values:stg_events.event_name"].status == "fail"  # 'error' events planted
     assert s["revenue_conserved"].status == "pass"
     assert s["unique:mart_attribution_last_click.conversion_id"].failures == 0
+
+
+def test_scale_conf_grows_with_input():
+    from touchcredit.session import scale_conf
+    small = scale_conf(10 * 1024 ** 3)
+    big = scale_conf(100 * 1024 ** 4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 200
+    assert int(big["spark.sql.shuffle.partitions"]) > 100_000
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"

@@ -18,7 +18,7 @@ from touchcredit import config as C
 from touchcredit.config import AttributionConfig
 from touchcredit.operators import credit as cr
 from touchcredit.operators import journeys, marts, quality, reports, staging
-from touchcredit.session import ensure_utc, shared_dir
+from touchcredit.session import apply_scale_conf, ensure_utc, input_bytes, shared_dir
 from touchcredit.sources import batch as batch_src
 from touchcredit.streaming import ingest
 
@@ -26,8 +26,14 @@ MICROS_PER_DAY = C.MICROS_PER_DAY
 
 
 def run_batch(spark: SparkSession, export_path: str, stream_table_path: str | None,
-              config: AttributionConfig, out_dir: str | None = None) -> dict[str, str]:
+              config: AttributionConfig, out_dir: str | None = None,
+              size_to_input: bool = True) -> dict[str, str]:
     ensure_utc(spark)
+    if size_to_input:
+        # shuffle partitions / split sizes from the input's byte size (metadata only)
+        total = input_bytes(spark, export_path) + (input_bytes(spark, stream_table_path)
+                                                   if stream_table_path else 0)
+        apply_scale_conf(spark, total)
     out_dir = out_dir or shared_dir(spark, "touchcredit", "marts")
     as_of = config.as_of or _dt.date.today()
     raw = batch_src.read_export(spark, export_path, as_of, config.batch_window_days)

@@ -75,3 +75,45 @@ def cut_lineage(df, name: str):
     path = shared_dir(spark, "touchcredit", "cut", f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+# Target bytes per task for scans and shuffles (fits comfortably in an
+# executor core's share of memory with room for sort buffers).
+TARGET_TASK_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path`` from file-system metadata (no scan)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def scale_conf(total_input_bytes: int, shuffle_fraction: float = 0.3) -> dict[str, str]:
+    """Settings sized to the input: scan splits and AQE's target partition
+    size at ``TARGET_TASK_BYTES``; initial shuffle partitions so that the
+    largest shuffle (the credit union, about ``shuffle_fraction`` of the
+    input after projection) starts at ~1 target per partition, and AQE
+    coalesces from there. Skew splitting stays on."""
+    shuffle_bytes = max(1, int(total_input_bytes * shuffle_fraction))
+    parts = max(200, min(200_000, shuffle_bytes // TARGET_TASK_BYTES + 1))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_TASK_BYTES),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(TARGET_TASK_BYTES),
+        "spark.sql.shuffle.partitions": str(parts),
+    }
+
+
+def apply_scale_conf(spark: SparkSession, total_input_bytes: int, override: bool = False) -> dict[str, str]:
+    """Set the ``scale_conf`` values the session does not set already
+    (the cluster's own settings win unless ``override``)."""
+    applied = {}
+    for k, v in scale_conf(total_input_bytes).items():
+        if override or spark.conf.get(k, None) is None:  # None: not set by anyone
+            spark.conf.set(k, v)
+            applied[k] = v
+    return applied
