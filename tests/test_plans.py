@@ -28,3 +28,16 @@ def test_reads_prune_columns(spark):
 def test_orphan_check_credits_last_click_only(spark):
     plan = _plan(catalogue.queries()["dq_orphans"](spark, SF))
     assert "first_click" not in plan
+
+
+def test_ingest_anti_join_reads_keys_of_touched_days_only(spark, scratch):
+    import os
+
+    from touchcredit.sources import events_adapter as ea
+    from touchcredit.streaming import ingest
+    target = os.path.join(scratch, "t")
+    ingest.merge_batch(ea.stream_deliveries(ea.load_events(spark, SF)).select(*ingest.FLAT_COLUMNS), target)
+    plan = _plan(ingest.existing_keys(spark, target, ["20240105"]))
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
+    assert "PartitionFilters: [isnotnull(event_day" in scan and "20240105" in scan
+    assert "ReadSchema: struct<event_id:string>" in scan

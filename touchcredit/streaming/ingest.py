@@ -75,6 +75,13 @@ def _target_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def existing_keys(spark: SparkSession, target_path: str, days: list[str]) -> DataFrame:
+    """Keys already in the target for the given days: partition-pruned to
+    those day folders, reading the ``event_id`` column only."""
+    return (spark.read.schema(TARGET_SCHEMA).parquet(target_path)
+            .where(F.col("event_day").isin(days)).select("event_id"))
+
+
 def merge_batch(batch: DataFrame, target_path: str) -> dict:
     """Merge one micro-batch into the target; return the A7 counters.
 
@@ -87,11 +94,7 @@ def merge_batch(batch: DataFrame, target_path: str) -> dict:
         new = with_event_day(one_per_key(batch))
         if _target_exists(spark, target_path):
             days = [r[0] for r in new.select("event_day").distinct().collect()]  # a few days per batch
-            existing = (spark.read.schema(TARGET_SCHEMA)
-                        .parquet(target_path)
-                        .where(F.col("event_day").isin(days))
-                        .select("event_id"))
-            new = new.join(existing, "event_id", "left_anti")
+            new = new.join(existing_keys(spark, target_path, days), "event_id", "left_anti")
         new = new.persist()
         n_new = new.count()
         if n_new:
