@@ -1,6 +1,7 @@
 """Data-quality checks (Q1–Q9). A check returns the violating rows or a
-count per rule; zero rows / zero failures = pass. Each relation is scanned
-once per check family (one aggregate computes every column's NULL count)."""
+count per rule; zero rows / zero failures = pass. One aggregate computes
+every column's NULL count of a relation, and every staging-level rule comes
+from one pass over staging (``staging_profile``)."""
 
 from __future__ import annotations
 
@@ -37,13 +38,79 @@ def null_counts(df: DataFrame, relation: str, columns: list[str]) -> DataFrame:
 
 
 def not_null(relations: dict[str, DataFrame]) -> DataFrame:
+    """Q1 for the relations given (a subset of ``NOT_NULL`` is fine)."""
     out = None
     for rel, cols in NOT_NULL.items():
+        if rel not in relations:
+            continue
         part = null_counts(relations[rel], rel, cols)
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def staging_profile(stg: DataFrame) -> DataFrame:
+    """One pass over staging for every staging-level check: per event name
+    (a handful of rows) the row count, the NULL counts that the staging,
+    touchpoint and conversion rules need, and the newest event time.
+    Touchpoints and conversions are filters of staging, so their rules are
+    the same counts restricted to their event name."""
+    ts, user = F.col("event_timestamp"), F.col("user_pseudo_id")
+    channel = F.concat(F.coalesce("source", F.lit(C.DEFAULT_SOURCE)), F.lit(C.CHANNEL_SEPARATOR),
+                       F.coalesce("medium", F.lit(C.DEFAULT_MEDIUM)))
+    return stg.groupBy("event_name").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(ts.isNull()).alias("ts_null"),
+        F.count_if(user.isNull()).alias("user_null"),
+        F.count_if(user.isNull() | ts.isNull()).alias("key_null"),
+        F.count_if(F.col("purchase_revenue").isNull()).alias("revenue_null"),
+        F.count_if(channel.isNull()).alias("channel_null"),
+        F.max(ts).alias("newest"),
+    )
+
+
+def not_null_staged(profile: DataFrame) -> DataFrame:
+    """Q1 rows of the staging, touchpoint and conversion relations from the
+    profile (same output as ``null_counts`` on each relation)."""
+    name = F.col("event_name")
+
+    def where(cond, col):
+        return F.coalesce(F.sum(F.when(cond, F.col(col))), F.lit(0)).cast("bigint")
+    touch, conv = name == C.TOUCH_EVENT, name == C.CONVERSION_EVENT
+    row = profile.agg(
+        where(F.lit(True), "ts_null").alias("a"),
+        F.coalesce(F.sum(F.when(name.isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("b"),
+        where(F.lit(True), "user_null").alias("c"),
+        where(touch, "ts_null").alias("d"),
+        where(touch, "channel_null").alias("e"),
+        where(conv, "key_null").alias("f"),
+        where(conv, "ts_null").alias("g"),
+        where(conv, "revenue_null").alias("h"),
+    )
+    spec = [("stg_events", "event_timestamp", "a"), ("stg_events", "event_name", "b"),
+            ("stg_events", "user_pseudo_id", "c"), ("int_touchpoints", "touchpoint_ts", "d"),
+            ("int_touchpoints", "channel", "e"), ("int_conversions", "conversion_id", "f"),
+            ("int_conversions", "conversion_ts", "g"), ("int_conversions", "purchase_revenue", "h")]
+    rows = F.array(*[F.struct(F.lit(r).alias("relation"), F.lit(c).alias("column_name"),
+                              F.col(k).alias("failures")) for r, c, k in spec])
+    return row.select(F.inline(rows))
+
+
+def accepted_values_staged(profile: DataFrame, daily: DataFrame) -> DataFrame:
+    """Q3 from the profile (event names) and the daily mart (models)."""
+    names = (profile.where(~F.col("event_name").isin(*C.ACCEPTED_EVENT_NAMES))
+             .select(F.lit("stg_events").alias("relation"), F.lit("event_name").alias("column_name"),
+                     F.col("event_name").alias("value"), F.col("n").alias("n_rows")))
+    models = (daily.where(~F.col("attribution_model").isin(*C.MODELS)).groupBy("attribution_model").count()
+              .select(F.lit("mart_channel_daily").alias("relation"), F.lit("attribution_model").alias("column_name"),
+                      F.col("attribution_model").alias("value"), F.col("count").alias("n_rows")))
+    return names.unionByName(models)
+
+
+def freshness_staged(profile: DataFrame, as_of_us: int) -> DataFrame:
+    """Q6 from the profile's newest event time."""
+    return freshness(profile.select(F.col("newest").alias("event_timestamp")), as_of_us)
+
+
 def duplicate_keys(df: DataFrame, relation: str, key: str) -> DataFrame:
     """Q2 detail: key values present more than once (NULL keys excluded)."""
     return (df.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1")

@@ -23,7 +23,7 @@ from touchcredit.operators import quality as dq
 from touchcredit.operators import reports as rp
 from touchcredit.operators import staging
 from touchcredit.plans.pipeline import AS_OF, Pipeline, driver_inputs
-from touchcredit.session import ensure_utc, shared_dir
+from touchcredit.session import cut_lineage, ensure_utc, shared_dir
 from touchcredit.sources import csv_flat
 from touchcredit.sources import events_adapter as ea
 from touchcredit.streaming import ingest, live
@@ -217,7 +217,9 @@ def q_stg_csv_clean(spark, sf_dir):
 # --- quality --------------------------------------------------------------------
 
 def q_dq_not_null(spark, sf_dir):
-    return dq.not_null(pipeline(spark, sf_dir).with_written_credit().relations())
+    p = pipeline(spark, sf_dir).with_written_credit()
+    marts_only = {k: v for k, v in p.relations().items() if k.startswith("mart_")}
+    return dq.not_null_staged(dq.staging_profile(p.stg)).unionByName(dq.not_null(marts_only))
 
 
 def q_dq_unique(spark, sf_dir):
@@ -226,7 +228,7 @@ def q_dq_unique(spark, sf_dir):
 
 def q_dq_accepted_values(spark, sf_dir):
     p = pipeline(spark, sf_dir)
-    return dq.accepted_values(p.stg, p.channel_daily)
+    return dq.accepted_values_staged(dq.staging_profile(p.stg), p.channel_daily)
 
 
 def _last_only(p: Pipeline) -> DataFrame:
@@ -259,7 +261,7 @@ def q_dq_stream_keys(spark, sf_dir):
 
 
 def q_dq_freshness(spark, sf_dir):
-    return dq.freshness(pipeline(spark, sf_dir).stg, AS_OF_US)
+    return dq.freshness_staged(dq.staging_profile(pipeline(spark, sf_dir).stg), AS_OF_US)
 
 
 def q_dq_rowcount_7d(spark, sf_dir):
@@ -269,10 +271,14 @@ def q_dq_rowcount_7d(spark, sf_dir):
 def q_dq_summary(spark, sf_dir):
     p = pipeline(spark, sf_dir).with_written_credit()
     rel = p.relations()
+    # every staging-level rule from one pass (written: several checks read it)
+    profile = cut_lineage(dq.staging_profile(p.stg), "staging_profile")
+    marts_only = {k: v for k, v in rel.items() if k.startswith("mart_")}
+    not_null = dq.not_null_staged(profile).unionByName(dq.not_null(marts_only))
     return dq.summary(
-        dq.not_null(rel), dq.unique(rel), dq.accepted_values(p.stg, p.channel_daily),
+        not_null, dq.unique(rel), dq.accepted_values_staged(profile, p.channel_daily),
         dq.orphan_rate(p.conversions, p.mart(C.LAST_CLICK)), dq.revenue_conserved(p.channel_daily, p.credited),
-        dq.freshness(p.stg, AS_OF_US),
+        dq.freshness_staged(profile, AS_OF_US),
         dq.repeated_param_keys(staging.param_lookup(p.inputs.batch_raw)),
         dq.rowcount_vs_trailing(p.channel_daily, AS_OF),
     )

@@ -66,19 +66,23 @@ def run_batch(spark: SparkSession, export_path: str, stream_table_path: str | No
 
     convs = spark.read.parquet(paths["conversions"])
     rel = {
-        "stg_events": stg,
-        "int_touchpoints": journeys.touchpoints(stg),
         "int_conversions": convs,
         "mart_attribution_first_click": cr.mart(att, C.FIRST_CLICK),
         "mart_attribution_last_click": cr.mart(att, C.LAST_CLICK),
         "mart_channel_daily": daily,
     }
+    # all staging-level rules from one pass over the export
+    paths["staging_profile"] = f"{out_dir}/staging_profile"
+    marts.write_mart(quality.staging_profile(stg), paths["staging_profile"])
+    profile = spark.read.parquet(paths["staging_profile"])
     as_of_us = int(_dt.datetime(as_of.year, as_of.month, as_of.day,
                                 tzinfo=_dt.timezone.utc).timestamp()) * 1_000_000
+    marts_only = {k: v for k, v in rel.items() if k.startswith("mart_")}
     summary = quality.summary(
-        quality.not_null(rel), quality.unique(rel), quality.accepted_values(stg, daily),
-        quality.orphan_rate(convs, rel["mart_attribution_last_click"]), quality.revenue_conserved(daily),
-        quality.freshness(stg, as_of_us), quality.repeated_param_keys(staging.param_lookup(raw)),
+        quality.not_null_staged(profile).unionByName(quality.not_null(marts_only)), quality.unique(rel),
+        quality.accepted_values_staged(profile, daily),
+        quality.orphan_rate(convs, rel["mart_attribution_last_click"]), quality.revenue_conserved(daily, att),
+        quality.freshness_staged(profile, as_of_us), quality.repeated_param_keys(staging.param_lookup(raw)),
         quality.rowcount_vs_trailing(daily, as_of),
     )
     marts.write_mart(summary, paths["dq_summary"])
