@@ -50,9 +50,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
+        if not root:  # unset: only in local tests
             root = tempfile.mkdtemp(prefix="touchcredit-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", root)
         if sc is not None:
             sc.setCheckpointDir(root)
             root = sc.getCheckpointDir() or root
