@@ -113,7 +113,7 @@ def asof_core(u: DataFrame, chunk_us: int, hot: DataFrame | None = None,
     hot one ``floor(t / fine_us)`` in ``[c * R, c * R + R)``, so ids stay
     ordered and contiguous in time per key and results do not change."""
     if hot is None:
-        u = u.withColumn(_CH, _chunk(F.col(_T), chunk_us))
+        u = u.select("*", _chunk(F.col(_T), chunk_us).alias(_CH))
     else:
         fine_us = int(fine_us or max(1, chunk_us // 60))
         if chunk_us % fine_us:
@@ -122,16 +122,15 @@ def asof_core(u: DataFrame, chunk_us: int, hot: DataFrame | None = None,
         flagged = hot.select(_KEY, "_cc", F.lit(True).alias("_hot"))
         u = (u.withColumn("_cc", _chunk(F.col(_T), chunk_us))
               .join(F.broadcast(flagged), [_KEY, "_cc"], "left")
-              .withColumn(_CH, F.when(F.col("_hot"), _floor_div(F.col(_T), fine_us))
-                          .otherwise(F.col("_cc") * F.lit(ratio)))
-              .drop("_cc", "_hot"))
+              .select(*u.columns, F.when(F.col("_hot"), _floor_div(F.col(_T), fine_us))
+                      .otherwise(F.col("_cc") * F.lit(ratio)).alias(_CH)))
 
     local_up = Window.partitionBy(_KEY, _CH).orderBy(F.col(_T).asc()) \
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     local_down = Window.partitionBy(_KEY, _CH).orderBy(F.col(_T).desc()) \
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    win = (u.withColumn("_back", F.max("_mx").over(local_up))
-            .withColumn("_fore", F.min("_mn").over(local_down)))
+    win = u.select("*", F.max("_mx").over(local_up).alias("_back"),
+                   F.min("_mn").over(local_down).alias("_fore"))
 
     # One row per active (key, chunk): its best points. Partial aggregation
     # before the (small) shuffle.
@@ -146,7 +145,7 @@ def asof_core(u: DataFrame, chunk_us: int, hot: DataFrame | None = None,
         F.min("_cmin").over(later).alias("_carry_fore"),
     )
 
-    hits = win.where(F.col(_P).isNotNull()).select(_KEY, _CH, _P, "_back", "_fore")
+    hits = win.where(F.col(_P).isNotNull())
     joined = hits.join(carry, [_KEY, _CH], "inner")
     match = F.when(
         F.col(f"{_P}.__fwd"),

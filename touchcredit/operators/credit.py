@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchcredit import config as C
 from touchcredit.functions import columns as fc
@@ -109,8 +110,15 @@ def _credit_union(both: DataFrame, L: int, chunk_us: int, models, hot_rows, fine
 
     # One pass over the aggregate: each (user, micros) row yields its point
     # row and its probes (NULL entries are dropped after ``inline``).
-    pay_t = grouped.schema["_mx"].dataType
-    c_t = grouped.schema["_c"].dataType
+    in_schema = both.schema  # one analysis; the aggregate keeps these types
+    pay_t = in_schema["_m"].dataType
+    c_t = in_schema["_c"].dataType
+    probe_type = T.StructType([
+        T.StructField("__fwd", T.BooleanType(), False),
+        T.StructField("attribution_model", T.StringType(), False),
+        T.StructField("conversion_us", T.LongType(), True),
+        T.StructField("c", c_t, True),
+    ])
 
     def probe(model: str, fwd: bool, at):
         p = F.struct(F.lit(fwd).alias("__fwd"), F.lit(model).alias("attribution_model"),
@@ -124,7 +132,6 @@ def _credit_union(both: DataFrame, L: int, chunk_us: int, models, hot_rows, fine
         kinds.append(probe(C.FIRST_CLICK, True, F.col("_t") - F.lit(L)))
     if C.LAST_CLICK in models:
         kinds.append(probe(C.LAST_CLICK, False, F.col("_t")))
-    probe_type = grouped.select(kinds[0].alias("x")).schema["x"].dataType["_p"].dataType
     point = F.when(F.col("_mx").isNotNull(), F.struct(
         F.col("_t").alias("_t"), F.col("_mx").alias("_mx"), F.col("_mn").alias("_mn"),
         F.lit(None).cast(probe_type).alias("_p")))
