@@ -39,3 +39,30 @@ def test_scale_conf_grows_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 200
     assert int(big["spark.sql.shuffle.partitions"]) > 100_000
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_run_batch_writes_report_bundle(spark, scratch):
+    import json
+    ev = ea.load_events(spark, SF)
+    export = os.path.join(scratch, "export")
+    batch_src.write_export(ea.raw_batch(ev), export)
+    cfg = AttributionConfig(lookback_days=30, as_of=dt.date(2024, 1, 31), batch_window_days=60)
+    paths = run_batch(spark, export, None, cfg, os.path.join(scratch, "out"))
+    doc = json.loads(spark.read.text(paths["report_bundle"]).collect()[0].value)
+    assert set(doc["totals"]) == {"first_click", "last_click"} and doc["live_events"] == []
+
+
+def test_run_csv_matches_export_pipeline(spark, scratch):
+    from touchcredit.operators import staging
+    from touchcredit.plans.run import run_csv
+    from touchcredit.sources import csv_flat
+    ev = ea.load_events(spark, SF)
+    csv_path = os.path.join(scratch, "events_csv")
+    csv_flat.write_csv(staging.stg_events(ea.raw_batch(ev)), csv_path)
+    cfg = AttributionConfig(lookback_days=30)
+    out = read_outputs(spark, run_csv(spark, csv_path, cfg, os.path.join(scratch, "csv_out")))
+    want = catalogue.queries()["channel_daily"](spark, SF)
+    cols = marts.DAILY_KEYS + ["conversions", "revenue"]
+    assert out["mart_channel_daily"].select(*cols).exceptAll(want.select(*cols)).count() == 0
+    assert out["mart_channel_daily"].count() == want.count()
+    assert out["disagreement_sample"].count() == 5

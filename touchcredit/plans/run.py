@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from touchcredit import config as C
 from touchcredit.config import AttributionConfig
@@ -86,8 +87,44 @@ def run_batch(spark: SparkSession, export_path: str, stream_table_path: str | No
         quality.rowcount_vs_trailing(daily, as_of),
     )
     marts.write_mart(summary, paths["dq_summary"])
+    # report document (one small JSON row) from the written tables
+    paths["report_bundle"] = f"{out_dir}/report_bundle"
+    live = (reports.latest_events(stream, 20) if stream is not None
+            else spark.createDataFrame([], "event_id string, event_name string, user_pseudo_id string, "
+                                           "source string, medium string, purchase_revenue double, "
+                                           "ingested_at string"))
+    reports.bundle(spark.read.parquet(paths["model_totals"]), spark.read.parquet(paths["channel_breakdown"]),
+                   spark.read.parquet(paths["trend"]), live, generated_at=as_of.isoformat(),
+                   daily_path=paths["mart_channel_daily"]) \
+        .coalesce(1).write.mode("overwrite").text(paths["report_bundle"])  # one row, one file
+    return paths
+
+
+def run_csv(spark: SparkSession, csv_path: str, config: AttributionConfig,
+            out_dir: str | None = None) -> dict[str, str]:
+    """The flat-file pipeline: header CSV -> cleaned staging -> credit ->
+    marts, plus the validation report (totals per model, last-click
+    breakdown, a sample of conversions the models credit differently)."""
+    from touchcredit.sources import csv_flat
+
+    ensure_utc(spark)
+    out_dir = out_dir or shared_dir(spark, "touchcredit", "csv_marts")
+    stg = csv_flat.to_staging(csv_flat.clean(csv_flat.read_csv(spark, csv_path)))
+    credited = cr.credit_events(stg, config.lookback_us, chunk_us=config.chunk_us)
+    paths = {k: f"{out_dir}/{k}" for k in ("attribution", "mart_channel_daily", "model_totals",
+                                            "last_click_breakdown", "disagreement_sample")}
+    marts.write_mart(credited.select(*cr.MART_COLUMNS), paths["attribution"], partition_by=["attribution_model"])
+    att = spark.read.parquet(paths["attribution"])
+    marts.write_mart(marts.channel_daily(att), paths["mart_channel_daily"],
+                     sort_within=["conversion_date", "attribution_model", "attributed_channel"])
+    marts.write_mart(reports.model_totals(att), paths["model_totals"])
+    marts.write_mart(reports.channel_breakdown(cr.mart(att, C.LAST_CLICK).withColumn(
+        "attribution_model", F.lit(C.LAST_CLICK))), paths["last_click_breakdown"])
+    marts.write_mart(reports.disagreement_sample(reports.model_disagreement(att), 5), paths["disagreement_sample"])
     return paths
 
 
 def read_outputs(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
-    return {k: spark.read.parquet(v) for k, v in paths.items()}
+    """Written outputs as DataFrames (the report document is JSON text)."""
+    return {k: (spark.read.text(v) if k == "report_bundle" else spark.read.parquet(v))
+            for k, v in paths.items()}

@@ -56,3 +56,15 @@ def clean(text_rows: DataFrame) -> DataFrame:
         fc.blank_to_null("campaign").alias("campaign"),
         fc.text_to_double(F.coalesce(F.col("purchase_revenue"), F.lit(""))).alias("purchase_revenue"),
     )
+
+
+def to_staging(clean_rows: DataFrame) -> DataFrame:
+    """Cleaned CSV rows -> the staging relation (same columns as the
+    export path; the flat file is a batch feed)."""
+    from touchcredit import config as C
+    from touchcredit.sources.schemas import STG_COLUMNS
+    return clean_rows.select(
+        *[c for c in clean_rows.columns if c != "event_ts_seconds"],
+        fc.micros_to_ts("event_timestamp").alias("event_ts"),
+        F.lit(C.BATCH_TAG).alias("_source"),
+    ).select(*STG_COLUMNS)
