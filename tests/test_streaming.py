@@ -124,3 +124,48 @@ def test_stop_mid_stream_and_restart(spark, scratch):
     _run(spark, src, target, ckpt, max_files=3)  # restart from the checkpoint
     t = ingest.read_target(spark, target)
     assert t.count() == expect.count() == t.select("event_id").distinct().count()
+
+
+def test_late_touchpoint_recredits_live(spark, scratch):
+    """A conversion credited (or orphaned) before a touchpoint that should
+    win it arrives is re-credited when that touchpoint arrives."""
+    import datetime as dt
+
+    from touchcredit.config import AttributionConfig
+    from touchcredit.operators import journeys, staging
+    from touchcredit.sources.schemas import RAW_BATCH
+
+    day = 86_400_000_000
+    c0 = 1_706_000_000_000_000
+    ts = dt.datetime(2024, 1, 20)
+
+    def row(key, name, user, us, src=None, med=None, rev=None):
+        return (key, "20240123", us, name, user, 1, src, med, None, rev, ts)
+    target, credits = os.path.join(scratch, "target"), os.path.join(scratch, "credits")
+    empty = staging.stg_events(spark.createDataFrame([], RAW_BATCH))
+    touch_t, conv_t = journeys.touchpoints(empty), journeys.conversions(empty)
+    cfg = AttributionConfig(lookback_days=30)
+    b1 = spark.createDataFrame([
+        row("k1", "session_start", "u", c0 - 5 * day, "early", "cpc"),
+        row("k2", "purchase", "u", c0, rev=10.0),
+        row("k3", "purchase", "w", c0, rev=3.0),        # orphan for now
+    ], STREAM_FLAT)
+    for version, batch in ((0, b1),):
+        ingest.merge_batch(batch, target)
+        live.credit_micro_batch(spark, ingest.one_per_key(batch), touch_t, conv_t, target, credits, cfg, version)
+    now = {(r.conversion_id, r.attribution_model): r.attributed_channel
+           for r in live.latest_credits(credits, spark).collect()}
+    assert now[(f"u-{c0}", "last_click")] == "early / cpc" and (f"w-{c0}", "last_click") not in now
+    b2 = spark.createDataFrame([
+        row("k4", "session_start", "u", c0 - day, "late", "email"),    # later than 'early', before c0
+        row("k5", "session_start", "w", c0 - 2 * day, "wlate", "social"),
+    ], STREAM_FLAT)
+    ingest.merge_batch(b2, target)
+    live.credit_micro_batch(spark, ingest.one_per_key(b2), touch_t, conv_t, target, credits, cfg, 1)
+    live.credit_micro_batch(spark, ingest.one_per_key(b2), touch_t, conv_t, target, credits, cfg, 1)  # retry
+    now = {(r.conversion_id, r.attribution_model): r.attributed_channel
+           for r in live.latest_credits(credits, spark).collect()}
+    assert now[(f"u-{c0}", "last_click")] == "late / email"
+    assert now[(f"u-{c0}", "first_click")] == "early / cpc"
+    assert now[(f"w-{c0}", "last_click")] == "wlate / social"
+    assert spark.read.parquet(credits).count() == 2 + 1 + 2  # first pass, changed last click, new orphan credit

@@ -293,13 +293,17 @@ def q_stream_attribution(spark, sf_dir):
     root = shared_dir(spark, "touchcredit", f"stream_attribution-{uuid.uuid4().hex[:12]}")
     write_delivery_files(_deliveries(spark, sf_dir), f"{root}/incoming")
     ev = ea.load_events(spark, sf_dir)
-    batch_touch = journeys.touchpoints(staging.stg_events(ea.raw_batch(ev, "batch")))
+    batch_stg = staging.stg_events(ea.raw_batch(ev, "batch"))
     cfg = AttributionConfig(lookback_days=C.DEFAULT_LOOKBACK_DAYS, as_of=AS_OF)
     q = live.start_live_credit(
         flat_event_stream(spark, f"{root}/incoming/batch_id=*/*.parquet", max_files_per_trigger=64),
-        batch_touch, f"{root}/stream_table", f"{root}/live_credit", f"{root}/checkpoint", cfg)
+        journeys.touchpoints(batch_stg), journeys.conversions(batch_stg),
+        f"{root}/stream_table", f"{root}/live_credit", f"{root}/checkpoint", cfg)
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/live_credit").select(*cr.MART_COLUMNS)
+    return live.latest_credits(f"{root}/live_credit", spark) \
+        .join(ingest.read_target(spark, f"{root}/stream_table").where(F.col("event_name") == C.CONVERSION_EVENT)
+              .select(fc.conversion_id().alias("conversion_id")).distinct(), "conversion_id", "left_semi") \
+        .select(*cr.MART_COLUMNS)
 
 
 def queries() -> dict[str, Query]:

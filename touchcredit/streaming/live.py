@@ -4,18 +4,18 @@ X3: after the stream is merged, rebuild the marts in batch from the export
 and the streaming table; the result is written (lineage cut) and the
 reports read the written tables.
 
-X6: in the same ``foreachBatch`` as the idempotent merge, credit the
-micro-batch's new conversions right away with the as-of operator. Only the
-touchpoints that can matter are read: the days of ``[min(c) - L, max(c)]``
-(partition pruning on the compact touchpoint table the batch run writes and
-on the stream table), times within that range (pushed to the reader), and
-users of this micro-batch (a list bounded by the trigger's rate limit,
-broadcast after a size check). Credits are
-appended idempotently (anti-join on conversion and model), so a retried
-batch adds nothing. A touchpoint that arrives after the conversion it would
-win is not seen by the live credit; the batch refresh (X3) stays the record
-and corrects it. Conversions are credited against touchpoints from both
-feeds, so no watermark is needed and no event is dropped for lateness.
+X6: in the same ``foreachBatch`` as the idempotent merge, credit with the
+as-of operator the micro-batch's conversions and every known conversion
+that its new touchpoints can change (same user, conversion within the
+lookback after the touchpoint), orphans included, so a touchpoint that
+arrives late still wins the conversions it should. Only what can matter is
+read: the days involved (partition pruning on the compact touchpoint and
+conversion tables the batch run writes and on the stream table), the time
+range (pushed to the reader) and the users involved (broadcast after a size
+check; a micro-batch is bounded by the trigger's rate limit). Credits are
+appended as versions (the batch id) and read through ``latest_credits``;
+rows equal to the current credit are skipped, so a retried batch adds
+nothing. No watermark is needed and no event is dropped for lateness.
 """
 
 from __future__ import annotations
@@ -53,47 +53,85 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return ingest._target_exists(spark, path)
 
 
-def _only_users(touches: DataFrame, users: DataFrame) -> DataFrame:
-    n = users.count()
-    side = F.broadcast(users) if n <= BROADCAST_USER_LIMIT else users
-    return touches.join(side, "user_pseudo_id", "left_semi")
-
-
 def _day(us: int) -> str:
     import datetime as _dt
     return (_dt.datetime(1970, 1, 1) + _dt.timedelta(microseconds=int(us))).strftime("%Y%m%d")
 
 
-def credit_new_conversions(spark: SparkSession, batch_rows: DataFrame, touch_table: DataFrame,
-                           target_path: str, credit_path: str, config: AttributionConfig) -> int:
-    """Credit the conversions of one (deduplicated) micro-batch; append the
-    new credits; return how many were appended.
+def latest_credits(credit_path: str, spark: SparkSession) -> DataFrame:
+    """The live credit view: for each (conversion, model) the row of the
+    highest version (partial aggregate, so a much re-credited conversion
+    never gathers in one task)."""
+    rows = spark.read.parquet(credit_path)
+    best = F.max(F.struct("version", *LIVE_COLUMNS)).alias("_b")
+    return rows.groupBy("conversion_id", "attribution_model").agg(best) \
+        .select(*[F.col(f"_b.{c}").alias(c) for c in LIVE_COLUMNS])
 
-    ``touch_table`` holds the batch feed's touchpoints with a ``touch_date``
-    column (the batch run writes it partitioned by that day); it and the
-    stream table (partitioned by ``event_day``) are pruned to the days of
-    ``[min(c) - L, max(c)]`` before anything else."""
+
+def _bounded_users(users: DataFrame) -> DataFrame:
+    n = users.count()
+    return F.broadcast(users) if n <= BROADCAST_USER_LIMIT else users
+
+
+def credit_micro_batch(spark: SparkSession, batch_rows: DataFrame, touch_table: DataFrame,
+                       conv_table: DataFrame, target_path: str, credit_path: str,
+                       config: AttributionConfig, version: int) -> int:
+    """Credit one (deduplicated, already merged) micro-batch; return how many
+    credit rows were appended.
+
+    Probes: the batch's own conversions, plus every known conversion that
+    the batch's new touchpoints can change (same user, conversion time in
+    ``[min(t), max(t) + L]``), including earlier orphans. Known conversions
+    come from ``conv_table`` (the batch feed, with ``conversion_date``) and
+    the stream table; touchpoints from ``touch_table`` (with ``touch_date``)
+    and the stream table. Every read is pruned to the days involved, to the
+    time range (pushed to the reader) and to the users involved (broadcast
+    after a size check; a micro-batch is bounded by the trigger's rate
+    limit). Results are appended with ``version``; rows equal to the latest
+    known credit are skipped, so a retried batch appends nothing."""
     L = config.lookback_us
-    conv = journeys.conversions(staging.flatten_stream(batch_rows))
-    bounds = conv.agg(F.min("conversion_us").alias("lo"), F.max("conversion_us").alias("hi")).first()
-    if bounds is None or bounds["lo"] is None:
+    flat = staging.flatten_stream(batch_rows)
+    new_conv = journeys.conversions(flat)
+    new_touch = journeys.touchpoints(flat)
+    b = flat.agg(
+        F.min(F.when(F.col("event_name") == "purchase", F.col("event_timestamp"))).alias("c_lo"),
+        F.max(F.when(F.col("event_name") == "purchase", F.col("event_timestamp"))).alias("c_hi"),
+        F.min(F.when(F.col("event_name") == "session_start", F.col("event_timestamp"))).alias("t_lo"),
+        F.max(F.when(F.col("event_name") == "session_start", F.col("event_timestamp"))).alias("t_hi"),
+    ).first()
+    probes = new_conv
+    stream = spark.read.schema(ingest.TARGET_SCHEMA).parquet(target_path)
+    if b["t_lo"] is not None:
+        lo, hi = b["t_lo"], b["t_hi"] + L
+        users = _bounded_users(new_touch.select("user_pseudo_id").where(F.col("user_pseudo_id").isNotNull())
+                               .distinct())
+        cols = ["conversion_id", "user_pseudo_id", "conversion_date", "conversion_us", "purchase_revenue"]
+        known_stream = journeys.conversions(staging.flatten_stream(
+            stream.where(F.col("event_day").between(_day(lo), _day(hi))).select(*ingest.FLAT_COLUMNS)))
+        known = (conv_table.where(F.col("conversion_date").between(_day(lo), _day(hi))).select(*cols)
+                 .unionByName(known_stream.select(*cols))
+                 .where(F.col("conversion_us").between(lo, hi))
+                 .join(users, "user_pseudo_id", "left_semi"))
+        probes = new_conv.select(*cols).unionByName(known.select(*cols))
+    if b["c_lo"] is None and b["t_lo"] is None:
         return 0
-    lo, hi = bounds["lo"] - L, bounds["hi"]
-    d_lo, d_hi = _day(lo), _day(hi)
-    users = conv.select("user_pseudo_id").where(F.col("user_pseudo_id").isNotNull()).distinct()
-    stream = (spark.read.schema(ingest.TARGET_SCHEMA).parquet(target_path)
-              .where(F.col("event_day").between(d_lo, d_hi)).select(*ingest.FLAT_COLUMNS))
-    stream_touch = journeys.touchpoints(staging.flatten_stream(stream))
-    batch_touch = touch_table.where(F.col("touch_date").between(d_lo, d_hi))
+    c_lo = min(x for x in (b["c_lo"], b["t_lo"]) if x is not None)
+    c_hi = max(x for x in (b["c_hi"], (b["t_hi"] + L) if b["t_hi"] is not None else None) if x is not None)
+    lo, hi = c_lo - L, c_hi
+    users = _bounded_users(probes.select("user_pseudo_id").where(F.col("user_pseudo_id").isNotNull()).distinct())
+    stream_touch = journeys.touchpoints(staging.flatten_stream(
+        stream.where(F.col("event_day").between(_day(lo), _day(hi))).select(*ingest.FLAT_COLUMNS)))
     need = ["user_pseudo_id", "ga_session_id", "touchpoint_us", "channel"]
-    touch = batch_touch.select(*need).unionByName(stream_touch.select(*need)) \
-        .where(F.col("touchpoint_us").between(lo, hi))
-    touch = _only_users(touch, users)
-    new = cr.credit(touch, conv, L, chunk_us=config.chunk_us).select(*LIVE_COLUMNS)
+    touch = (touch_table.where(F.col("touch_date").between(_day(lo), _day(hi))).select(*need)
+             .unionByName(stream_touch.select(*need))
+             .where(F.col("touchpoint_us").between(lo, hi))
+             .join(users, "user_pseudo_id", "left_semi"))
+    new = cr.credit(touch, probes, L, chunk_us=config.chunk_us).select(*LIVE_COLUMNS)
     if _exists(spark, credit_path):
-        done = spark.read.parquet(credit_path).select("conversion_id", "attribution_model")
-        new = new.join(done, ["conversion_id", "attribution_model"], "left_anti")
-    new = new.persist()
+        ids = new.select("conversion_id").distinct()
+        current = latest_credits(credit_path, spark).join(ids, "conversion_id", "left_semi")
+        new = new.join(current, LIVE_COLUMNS, "left_anti")  # unchanged: nothing to add
+    new = new.withColumn("version", F.lit(int(version)).cast("bigint")).persist()
     n = new.count()
     if n:
         new.write.mode("append").parquet(credit_path)
@@ -101,10 +139,12 @@ def credit_new_conversions(spark: SparkSession, batch_rows: DataFrame, touch_tab
     return n
 
 
-def start_live_credit(source: DataFrame, touch_table: DataFrame, target_path: str, credit_path: str,
-                      checkpoint_path: str, config: AttributionConfig = AttributionConfig(),
+def start_live_credit(source: DataFrame, touch_table: DataFrame, conv_table: DataFrame, target_path: str,
+                      credit_path: str, checkpoint_path: str, config: AttributionConfig = AttributionConfig(),
                       trigger: dict | None = None):
-    """X1 + X6 in one ``foreachBatch``: merge, then credit the batch."""
+    """X1 + X6 in one ``foreachBatch``: merge, then credit the batch (its
+    conversions and the known conversions its touchpoints affect). Read the
+    result with ``latest_credits``."""
 
     def _sink(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
@@ -112,8 +152,8 @@ def start_live_credit(source: DataFrame, touch_table: DataFrame, target_path: st
         df = df.persist()
         try:
             ingest.merge_batch(df, target_path)
-            credit_new_conversions(spark, ingest.one_per_key(df), touch_table, target_path,
-                                   credit_path, config)
+            credit_micro_batch(spark, ingest.one_per_key(df), touch_table, conv_table, target_path,
+                               credit_path, config, version=batch_id)
         finally:
             df.unpersist()
 
