@@ -66,3 +66,27 @@ def test_run_csv_matches_export_pipeline(spark, scratch):
     assert out["mart_channel_daily"].select(*cols).exceptAll(want.select(*cols)).count() == 0
     assert out["mart_channel_daily"].count() == want.count()
     assert out["disagreement_sample"].count() == 5
+
+
+def test_batch_outputs_feed_the_live_credit(spark, scratch):
+    from touchcredit.operators import credit as cr
+    from touchcredit.streaming import live
+    from touchcredit.streaming.source import flat_event_stream, write_delivery_files
+    ev = ea.load_events(spark, SF)
+    export = os.path.join(scratch, "export")
+    batch_src.write_export(ea.raw_batch(ev, "batch"), export)
+    cfg = AttributionConfig(lookback_days=30, as_of=dt.date(2024, 1, 31), batch_window_days=60)
+    paths = run_batch(spark, export, None, cfg, os.path.join(scratch, "out"))
+    incoming = os.path.join(scratch, "in")
+    write_delivery_files(ea.stream_deliveries(ev), incoming)
+    q = live.start_live_credit(
+        flat_event_stream(spark, f"{incoming}/batch_id=*/*.parquet", max_files_per_trigger=40),
+        spark.read.parquet(paths["touchpoints"]), spark.read.parquet(paths["conversions"]),
+        os.path.join(scratch, "stream_table"), os.path.join(scratch, "credits"),
+        os.path.join(scratch, "ckpt"), cfg)
+    q.awaitTermination()
+    got = live.latest_credits(os.path.join(scratch, "credits"), spark).select(*cr.MART_COLUMNS)
+    want = catalogue.queries()["attribution_first_click_30d"](spark, SF).unionByName(
+        catalogue.queries()["attribution_last_click_30d"](spark, SF))
+    assert got.count() > 0
+    assert got.exceptAll(want).count() == 0  # every live credit equals the full batch credit
