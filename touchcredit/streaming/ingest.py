@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from touchcredit.functions import columns as fc
 from touchcredit.sources.schemas import STREAM_FLAT
 
+BROADCAST_KEY_LIMIT = 2_000_000  # batch keys broadcast for the existence check
 TARGET_SCHEMA = T.StructType(list(STREAM_FLAT.fields) + [T.StructField("event_day", T.StringType())])
 FLAT_COLUMNS = [f.name for f in STREAM_FLAT.fields]
 _ORDER = ["ingested_at"] + [c for c in FLAT_COLUMNS if c not in ("event_id", "ingested_at")]
@@ -94,7 +95,13 @@ def merge_batch(batch: DataFrame, target_path: str) -> dict:
         new = with_event_day(one_per_key(batch))
         if _target_exists(spark, target_path):
             days = [r[0] for r in new.select("event_day").distinct().collect()]  # a few days per batch
-            new = new.join(existing_keys(spark, target_path, days), "event_id", "left_anti")
+            # Keys of this batch, broadcast after a size check (a micro-batch is
+            # bounded by the trigger's rate limit): the target's key column is
+            # filtered map-side instead of being shuffled every trigger.
+            keys = new.select("event_id")
+            keys = F.broadcast(keys) if n_in <= BROADCAST_KEY_LIMIT else keys
+            seen = existing_keys(spark, target_path, days).join(keys, "event_id", "left_semi")
+            new = new.join(seen, "event_id", "left_anti")
         new = new.persist()
         n_new = new.count()
         if n_new:

@@ -58,19 +58,24 @@ def _day(us: int) -> str:
     return (_dt.datetime(1970, 1, 1) + _dt.timedelta(microseconds=int(us))).strftime("%Y%m%d")
 
 
-def latest_credits(credit_path: str, spark: SparkSession) -> DataFrame:
+def latest_credits(credit_path: str, spark: SparkSession, only_ids: DataFrame | None = None) -> DataFrame:
     """The live credit view: for each (conversion, model) the row of the
     highest version (partial aggregate, so a much re-credited conversion
-    never gathers in one task)."""
+    never gathers in one task). ``only_ids`` (a bounded key list, already
+    size-checked by the caller) restricts the read before the aggregate."""
     rows = spark.read.parquet(credit_path)
+    if only_ids is not None:
+        rows = rows.join(only_ids, "conversion_id", "left_semi")
     best = F.max(F.struct("version", *LIVE_COLUMNS)).alias("_b")
     return rows.groupBy("conversion_id", "attribution_model").agg(best) \
         .select(*[F.col(f"_b.{c}").alias(c) for c in LIVE_COLUMNS])
 
 
-def _bounded_users(users: DataFrame) -> DataFrame:
-    n = users.count()
-    return F.broadcast(users) if n <= BROADCAST_USER_LIMIT else users
+def _bounded_users(keys: DataFrame) -> DataFrame:
+    """Broadcast a micro-batch's key list (users or conversion ids) only
+    after checking its size; otherwise let the join shuffle it."""
+    n = keys.count()
+    return F.broadcast(keys) if n <= BROADCAST_USER_LIMIT else keys
 
 
 def credit_micro_batch(spark: SparkSession, batch_rows: DataFrame, touch_table: DataFrame,
@@ -128,8 +133,9 @@ def credit_micro_batch(spark: SparkSession, batch_rows: DataFrame, touch_table:
              .join(users, "user_pseudo_id", "left_semi"))
     new = cr.credit(touch, probes, L, chunk_us=config.chunk_us).select(*LIVE_COLUMNS)
     if _exists(spark, credit_path):
-        ids = new.select("conversion_id").distinct()
-        current = latest_credits(credit_path, spark).join(ids, "conversion_id", "left_semi")
+        ids = _bounded_users(probes.select("conversion_id").where(F.col("conversion_id").isNotNull())
+                             .distinct())
+        current = latest_credits(credit_path, spark, only_ids=ids)
         new = new.join(current, LIVE_COLUMNS, "left_anti")  # unchanged: nothing to add
     new = new.withColumn("version", F.lit(int(version)).cast("bigint")).persist()
     n = new.count()
