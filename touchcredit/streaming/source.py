@@ -37,8 +37,10 @@ def write_delivery_files(deliveries: DataFrame, path: str, order_col: str = "bat
     spread = F.pmod(F.xxhash64("event_id"), F.lit(FILES_PER_BATCH))
     deliveries.select(*cols, order_col).repartition(F.col(order_col), spread) \
         .write.mode("overwrite").partitionBy(order_col).parquet(path)
-    if not path.startswith("/"):
-        return
+    local = path[len("file:"):] if path.startswith("file:") else path
+    if not local.startswith("/"):
+        return  # not a local file system: arrival order is the writer's
+    path = local
     folders = sorted(d for d in os.listdir(path) if d.startswith(f"{order_col}="))
     base = 1_600_000_000
     for i, d in enumerate(folders):
