@@ -53,9 +53,13 @@ def main() -> None:
 
     times: dict[str, float] = {}
     cold: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in names:
-        cold[name] = round(run(name), 3)
-        times[name] = round(min(run(name) for _ in range(max(1, reps))), 3)
+        try:
+            cold[name] = round(run(name), 3)
+            times[name] = round(min(run(name) for _ in range(max(1, reps))), 3)
+        except Exception as e:  # noqa: BLE001 - report and keep measuring the rest
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     spark.stop()
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
@@ -68,6 +72,7 @@ def main() -> None:
         "cold_queries": cold,
         "mode": f"warm, best of {max(1, reps)} after one untimed run",
         "sf": sf,
+        **({"errors": errors} if errors else {}),
     }))
 
 
