@@ -19,7 +19,8 @@ REVIEW = """## Scale review (what each shuffle is, and why it holds at 1000x)
   one user-hour, a user with a third of all rows spreads over its hours (optional minute split for bursts);
   (3) `(user, chunk)` summary, partial aggregate, then `user` exchange of one row per active chunk
   (a user's chunks, ~1,440 for 60 days); (4) equi-join probes to carry on `(user, chunk)`, summary side
-  unique (broadcast at run time only when AQE measures it small); (5) daily mart, partial aggregate.
+  unique (broadcast only when the planner's estimate or AQE's measured size is under the
+  broadcast threshold, else sort-merge); (5) daily mart, partial aggregate.
   No step forms pairs; work is O(n log n) in the rows of the busiest user-hour.
 * **Staging**: projections over the scan, no shuffle; window and event-name predicates reach the reader.
 * **Streaming batch forms** (`stream_dedupe`, `stream_replay_counts`): partial aggregates on `event_id`
