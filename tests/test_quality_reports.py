@@ -121,3 +121,18 @@ def test_strict_conservation_uses_unrounded_totals(spark):
     assert r.ref_violation is False and r.strict_violation is False
     cred2 = cred.where("attribution_model = 'first_click'")
     assert quality.revenue_conserved(daily, cred2).collect()[0].strict_violation is True
+
+
+def test_mart_checks_from_credit_relation(spark):
+    cred = spark.createDataFrame(
+        [("c1", "20240101", 5.0, "A", "first_click"), ("c1", "20240101", 5.0, "A", "first_click"),
+         ("c2", "20240101", None, None, "last_click"), (None, "20240101", 1.0, "B", "last_click")],
+        "conversion_id string, conversion_date string, purchase_revenue double, attributed_channel string, "
+        "attribution_model string")
+    nn = {(r.relation, r.column_name): r.failures for r in quality.not_null_credit(cred).collect()}
+    assert nn[("mart_attribution_last_click", "attributed_channel")] == 1
+    assert nn[("mart_attribution_last_click", "purchase_revenue")] == 1
+    assert nn[("mart_attribution_last_click", "conversion_id")] == 1
+    assert nn[("mart_attribution_first_click", "conversion_id")] == 0
+    un = {r.relation: r.failures for r in quality.unique_credit(cred).collect()}
+    assert un == {"mart_attribution_first_click": 1, "mart_attribution_last_click": 0}

@@ -111,6 +111,33 @@ def freshness_staged(profile: DataFrame, as_of_us: int) -> DataFrame:
     return freshness(profile.select(F.col("newest").alias("event_timestamp")), as_of_us)
 
 
+_MART_OF = {C.FIRST_CLICK: "mart_attribution_first_click", C.LAST_CLICK: "mart_attribution_last_click"}
+
+
+def not_null_credit(credited: DataFrame) -> DataFrame:
+    """Q1 rows of both attribution marts from one aggregate over the credit
+    relation (the marts are its two model slices)."""
+    cols = NOT_NULL[_MART_OF[C.FIRST_CLICK]]
+    model = F.col("attribution_model")
+    agg = credited.agg(*[F.count_if((model == m) & F.col(c).isNull()).alias(f"{m}|{c}")
+                         for m in C.MODELS for c in cols])
+    rows = F.array(*[F.struct(F.lit(_MART_OF[m]).alias("relation"), F.lit(c).alias("column_name"),
+                              F.col(f"`{m}|{c}`").cast("bigint").alias("failures"))
+                     for m in C.MODELS for c in cols])
+    return agg.select(F.inline(rows))
+
+
+def unique_credit(credited: DataFrame) -> DataFrame:
+    """Q2 rows of both attribution marts from one grouping of the credit
+    relation by (key, model)."""
+    dup = (credited.where(F.col("conversion_id").isNotNull())
+           .groupBy("conversion_id", "attribution_model").count().where("count > 1"))
+    agg = dup.agg(*[F.count_if(F.col("attribution_model") == m).alias(m) for m in C.MODELS])
+    rows = F.array(*[F.struct(F.lit(_MART_OF[m]).alias("relation"), F.lit("conversion_id").alias("column_name"),
+                              F.col(m).cast("bigint").alias("failures")) for m in C.MODELS])
+    return agg.select(F.inline(rows))
+
+
 def duplicate_keys(df: DataFrame, relation: str, key: str) -> DataFrame:
     """Q2 detail: key values present more than once (NULL keys excluded)."""
     return (df.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1")
@@ -119,9 +146,12 @@ def duplicate_keys(df: DataFrame, relation: str, key: str) -> DataFrame:
 
 
 def unique(relations: dict[str, DataFrame]) -> DataFrame:
-    """Q2 summary: number of duplicated key values per relation."""
+    """Q2 summary: number of duplicated key values per relation (for the
+    relations given)."""
     out = None
     for rel, key in UNIQUE.items():
+        if rel not in relations:
+            continue
         d = duplicate_keys(relations[rel], rel, key)
         part = d.agg(F.count(F.lit(1)).alias("failures")).select(
             F.lit(rel).alias("relation"), F.lit(key).alias("column_name"), F.col("failures").cast("bigint"))

@@ -273,10 +273,12 @@ def q_dq_summary(spark, sf_dir):
     rel = p.relations()
     # every staging-level rule from one pass (written: several checks read it)
     profile = cut_lineage(dq.staging_profile(p.stg), "staging_profile")
-    marts_only = {k: v for k, v in rel.items() if k.startswith("mart_")}
-    not_null = dq.not_null_staged(profile).unionByName(dq.not_null(marts_only))
+    # both attribution marts are slices of the credit relation: one pass each
+    not_null = (dq.not_null_staged(profile).unionByName(dq.not_null_credit(p.credited))
+                .unionByName(dq.not_null({"mart_channel_daily": p.channel_daily})))
+    unique = dq.unique({"int_conversions": p.conversions}).unionByName(dq.unique_credit(p.credited))
     return dq.summary(
-        not_null, dq.unique(rel), dq.accepted_values_staged(profile, p.channel_daily),
+        not_null, unique, dq.accepted_values_staged(profile, p.channel_daily),
         dq.orphan_rate(p.conversions, p.mart(C.LAST_CLICK)), dq.revenue_conserved(p.channel_daily, p.credited),
         dq.freshness_staged(profile, AS_OF_US),
         dq.repeated_param_keys(staging.param_lookup(p.inputs.batch_raw)),
