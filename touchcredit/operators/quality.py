@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchcredit import config as C
+from touchcredit.functions import columns as fc
 
 # --- fixed values: the columns each relation must not leave NULL -------------
 NOT_NULL = {
@@ -55,8 +56,7 @@ def staging_profile(stg: DataFrame) -> DataFrame:
     Touchpoints and conversions are filters of staging, so their rules are
     the same counts restricted to their event name."""
     ts, user = F.col("event_timestamp"), F.col("user_pseudo_id")
-    channel = F.concat(F.coalesce("source", F.lit(C.DEFAULT_SOURCE)), F.lit(C.CHANNEL_SEPARATOR),
-                       F.coalesce("medium", F.lit(C.DEFAULT_MEDIUM)))
+    channel = fc.channel_label("source", "medium")
     return stg.groupBy("event_name").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(ts.isNull()).alias("ts_null"),
