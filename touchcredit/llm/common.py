@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -34,6 +36,20 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package: send it along, once a session, unless PYTHONPATH names its folder."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped or root in map(os.path.abspath, os.environ.get("PYTHONPATH", "").split(os.pathsep)):
+        return
+    to = os.path.join(tempfile.mkdtemp(prefix="llm-package-"), "touchcredit")
+    sc.addPyFile(shutil.make_archive(to, "zip", root, "touchcredit"))
+    _shipped.add(sc.applicationId)
+
+
 def cut(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, a lost executor costs no recomputation."""
     spark, path = df.sparkSession, shared_dir(df.sparkSession)
@@ -92,26 +108,27 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_powers = np.ones(1, np.uint64)
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def powers(n: int) -> np.ndarray:
-    """BASE to the powers 0 to n - 1, kept for the next batch."""
-    global _powers
-    if len(_powers) < n:
+def powers(n: int) -> list[np.ndarray]:
+    """BASE and its inverse modulo 2^64 to the powers 0 to n - 1 at least, kept for the next batch."""
+    if len(_powers[0]) < n:
         size = max(n, SLICE_BYTES + 1)
+        inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
         with np.errstate(over="ignore"):
-            _powers = np.concatenate([np.ones(1, np.uint64), np.multiply.accumulate(np.full(size, BASE))])
+            for k, base in enumerate((BASE, inverse)):
+                _powers[k] = np.concatenate([np.ones(1, np.uint64), np.multiply.accumulate(np.full(size, base))])
     return _powers
 
 
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span of bytes, by a rolling polynomial: a few operations a byte."""
     n = len(raw)
-    p = powers(n + 1)
+    p, inverse = powers(n + 1)
     with np.errstate(over="ignore"):
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE_CODE[raw] * p[:n], dtype=np.uint64)])
-        value = (sums[ends] - sums[starts]) * p[n - starts]
+        value = (sums[ends] - sums[starts]) * inverse[starts]
         return mix(value + (ends - starts).astype(np.uint64))
 
 

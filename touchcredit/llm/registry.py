@@ -6,15 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchcredit.llm import chat, lines, mixing
+from touchcredit.llm import chat, lines, minhash, mixing, tokens
+from touchcredit.llm.common import ship
 
+Query = Callable[[SparkSession, str], DataFrame]
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+
+def _ready(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+def queries() -> dict[str, Query]:
+    named = {
         "op5_pareto_mix": mixing.op5_pareto_mix,
+        "op6_near_dedup": minhash.op6_near_dedup,
+        "op8_token_output": tokens.op8_token_output,
         "op9_chat_format": chat.op9_chat_format,
         "op10_line_dedup": lines.op10_line_dedup,
     }
+    return {name: _ready(query) for name, query in named.items()}
 
 
 def oracle_sql() -> dict[str, str]:
