@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchcredit.llm import chat, lines, minhash, mixing, tokens
+from touchcredit.llm import chat, langid, lines, minhash, mixing, tokens, toxicity
 from touchcredit.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,8 @@ def _ready(query: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     named = {
+        "op1_toxicity": toxicity.op1_toxicity,
+        "op2_language_id": langid.op2_language_id,
         "op5_pareto_mix": mixing.op5_pareto_mix,
         "op6_near_dedup": minhash.op6_near_dedup,
         "op8_token_output": tokens.op8_token_output,
