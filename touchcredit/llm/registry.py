@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchcredit.llm import chat, langid, lines, minhash, mixing, tokens, toxicity
+from touchcredit.llm import chat, decontam, langid, lines, minhash, mixing, tokens, toxicity
 from touchcredit.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,7 @@ def queries() -> dict[str, Query]:
     named = {
         "op1_toxicity": toxicity.op1_toxicity,
         "op2_language_id": langid.op2_language_id,
+        "op3_decontamination": decontam.op3_decontamination,
         "op5_pareto_mix": mixing.op5_pareto_mix,
         "op6_near_dedup": minhash.op6_near_dedup,
         "op8_token_output": tokens.op8_token_output,
@@ -35,6 +36,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_decontamination": decontam.OP3_SQL,
         "op5_pareto_mix": mixing.OP5_SQL,
         "op9_chat_format": chat.OP9_SQL,
         "op10_line_dedup": lines.OP10_SQL,
