@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchcredit.llm import chat, decontam, langid, lines, minhash, mixing, tokens, toxicity
+from touchcredit.llm import chat, decontam, langid, lines, minhash, mixing, neighbours, tokens, toxicity
 from touchcredit.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,7 @@ def queries() -> dict[str, Query]:
         "op3_decontamination": decontam.op3_decontamination,
         "op5_pareto_mix": mixing.op5_pareto_mix,
         "op6_near_dedup": minhash.op6_near_dedup,
+        "op7_nn_descent": neighbours.op7_nn_descent,
         "op8_token_output": tokens.op8_token_output,
         "op9_chat_format": chat.op9_chat_format,
         "op10_line_dedup": lines.op10_line_dedup,
