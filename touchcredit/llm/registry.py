@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchcredit.llm import chat, decontam, langid, lines, minhash, mixing, neighbours, tokens, toxicity
+from touchcredit.llm import chat, decontam, langid, lines, lm, minhash, mixing, neighbours, tokens, toxicity
 from touchcredit.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,7 @@ def queries() -> dict[str, Query]:
         "op1_toxicity": toxicity.op1_toxicity,
         "op2_language_id": langid.op2_language_id,
         "op3_decontamination": decontam.op3_decontamination,
+        "op4_context_mixing": lm.op4_context_mixing,
         "op5_pareto_mix": mixing.op5_pareto_mix,
         "op6_near_dedup": minhash.op6_near_dedup,
         "op7_nn_descent": neighbours.op7_nn_descent,
