@@ -29,9 +29,12 @@ from pyspark.sql import functions as F
 from touchcredit.llm.common import LOWER, fold, mix, slices, table, text_bytes
 
 DIM = 1 << 13
+PARTS, HELD = 4, 2
 SAMPLE = 1600
 TRAIN_BYTES = 4000
 UNKNOWN = "und"
+#: Below this no language of the learned ones is likelier than another.
+REJECTED_BELOW = 0.25
 #: Families of common languages by ISO 639-1 code; any other language is a family of its own.
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is af fy lb yi fo",
@@ -201,11 +204,22 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held = fold(F.col("doc_id"), 4) == 2
+    held = fold(F.col("doc_id"), PARTS) == HELD
     out = predict(docs, fit(docs.where(~held)))
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that the method rejects: those whose text is null or has no letter."""
-    return docs.where(has_letter(F.col("text")))
+def keep_known(docs: DataFrame, model: dict, least: float = REJECTED_BELOW) -> DataFrame:
+    """``docs`` without the rows whose language is not known: ``und``, or a score below ``least``."""
+    run = _predictor(model)
+
+    @F.pandas_udf("lang_pred string, score double")
+    def judged(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for text, letter in parts:
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array(np.zeros(len(text), np.int64)), pa.array(text, pa.string()), pa.array(letter, pa.bool_())], ["doc_id", "text", "letter"])
+            found = [b.select(["lang_pred", "score"]).to_pandas() for b in run(iter([batch]))]
+            yield pd.concat(found, ignore_index=True) if found else pd.DataFrame({"lang_pred": [], "score": []})
+
+    known = docs.withColumn("__p", judged(F.col("text"), has_letter(F.col("text"))))
+    return known.where((F.col("__p.lang_pred") != UNKNOWN) & (F.col("__p.score") >= least)).select(*docs.columns)

@@ -131,8 +131,8 @@ def op5_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def repeat(docs: DataFrame) -> DataFrame:
     """The mixed corpus: each document as many times as it was taken, with its own columns."""
-    mixed = mix_documents(docs)
-    return mixed.where("copies > 0").withColumn("__i", F.explode(F.expr("sequence(1L, copies)"))).select(*docs.columns)
+    mixed = mix_documents(docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("__row")))
+    return mixed.where("copies > 0").withColumn("__i", F.explode(F.expr("sequence(1L, copies)"))).select("__row.*")
 
 
 OP5_SQL = rf"""
