@@ -7,7 +7,7 @@ are filled, so that small sets compare as well as large ones. Registers in bands
 collision-corrected estimate drops the unlikely, and the full sets decide.
 
 Work is kept linear in the size of a group. Documents of equal sets form one class first. In each band
-a class is compared with the smallest class of its bucket only; of these, each class checks its likeliest
+a class is compared with one class of its bucket only, the one with most company; of these, each class checks its likeliest
 on the full sets. Components of the links found leave few buckets with classes of different components;
 only there all proposed pairs of different components are compared (registers, in blocks of bounded size)
 and checked. A pair inside a component needs no check, as it could not change the result.
@@ -35,8 +35,8 @@ SIMILARITY = 80
 BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
 MANTISSA = 10
-#: How far an estimate may lie below the similarity: six standard deviations of REGISTERS registers at 0.8.
-SLACK = 0.19
+#: How far an estimate may lie below the similarity: nearly five standard deviations of REGISTERS registers at 0.8.
+SLACK = 0.15
 BLOCK = 1024
 
 _rule = mix(np.arange(REGISTERS * 256, dtype=np.uint64), 21).reshape(REGISTERS, 256) % np.uint64(REGISTERS)
@@ -220,14 +220,20 @@ def near_components(docs: DataFrame, width: int = WORDS) -> DataFrame:
                                            F.min("doc_id").alias("doc_id")))
     bands = classes.select("node", "regs").mapInArrow(_bands, "band bigint, node binary")
     bands = cut(bands)
-    buckets = bands.groupBy("band").agg(F.min("node").alias("first"), F.count("*").alias("size")).where("size > 1")
-    shared = cut(bands.join(buckets, "band"))
+    sizes = bands.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    shared = cut(bands.join(sizes, "band"))
     sketch = classes.select("node", "regs", "n")
 
-    stars = shared.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    # a bucket's centre is the class that shares most buckets with most others: of a group of edited copies, most
+    # likely their original, which is nearer to them than they are to each other
+    central = shared.groupBy("node").agg(F.sum("size").alias("central"))
+    centres = (shared.join(central, "node").groupBy("band")
+               .agg(F.max_by("node", F.struct("central", "node")).alias("first")))
+    stars = shared.join(centres, "band").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     stars = (stars.join(sketch.toDF("a", "ra", "na"), "a").join(sketch.toDF("b", "rb", "nb"), "b")
              .select("a", "b", "ra", "rb", "na", "nb").mapInArrow(_estimates, "a binary, b binary, est double"))
-    best = cut(stars.groupBy("b").agg(F.max_by("a", F.struct("est", "a")).alias("a")).select("a", "b"))
+    best = stars.groupBy("b").agg(F.max_by("a", F.struct("est", "a")).alias("a"))
+    best = cut(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
     involved = shared.select("node").distinct().join(classes.select("node", "doc_id"), "node")
     wanted = involved.select(F.col("doc_id").alias("__d")).distinct()
