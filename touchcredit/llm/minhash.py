@@ -9,8 +9,8 @@ collision-corrected estimate drops the unlikely, and the full sets decide.
 Work is kept linear in the size of a group. Documents of equal sets form one class first. In each band
 a class is compared with one class of its bucket only, the one with most company; of these, each class checks its likeliest
 on the full sets. Components of the links found leave few buckets with classes of different components;
-only there all proposed pairs of different components are compared (registers, in blocks of bounded size)
-and checked. A pair inside a component needs no check, as it could not change the result.
+only there all proposed pairs of different components are compared, registers first, then full sets, in blocks
+of bounded size, and only links come out. A pair inside a component needs no check, as it could not change the result.
 
 Defined results: null or empty text has the empty set, links with nothing, and is a component of its own;
 a document with fewer words than a shingle has its whole sequence as one shingle; equal rows have the
@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +38,9 @@ REGISTERS = BANDS * ROWS
 MANTISSA = 10
 #: How far an estimate may lie below the similarity: nearly five standard deviations of REGISTERS registers at 0.8.
 SLACK = 0.15
-BLOCK = 1024
+#: Rows of a block of a bucket, and shingles that a group of blocks checks together, about.
+BLOCK = 512
+GROUP_WORDS = 1 << 20
 
 _rule = mix(np.arange(REGISTERS * 256, dtype=np.uint64), 21).reshape(REGISTERS, 256) % np.uint64(REGISTERS)
 DONORS = _rule.astype(np.int64)
@@ -151,7 +154,8 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k in range(ROWS):
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + regs[:, :, k], 61)
         node = batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), BANDS)))
-        yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), node], ["band", "node"])
+        place = np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows)
+        yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(place), node], ["band", "place", "node"])
 
 
 def _arrays(regs: pa.Array) -> np.ndarray:
@@ -166,22 +170,46 @@ def _estimates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([a, b, pa.array(est)], ["a", "b", "est"]).filter(pa.array(ok))
 
 
-def _within(pdf):
-    """Pairs of different components in the blocks of a group, by their registers."""
-    import pandas as pd
-
-    found = []
-    regs, n = np.frombuffer(b"".join(pdf["regs"]), np.uint16).reshape(-1, REGISTERS), pdf["n"].to_numpy()
-    node, comp = pdf["node"].to_numpy(), pdf["comp"].to_numpy()
+def _likely(pdf: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row with the other rows of its block pair that are likely links to other components, by their registers.
+    A pair that shares several buckets is taken in the first of them only."""
+    regs, n = _arrays(pa.array(pdf["regs"], pa.binary())), pdf["n"].to_numpy()
+    comp, block, place = pdf["comp"].to_numpy(), pdf["block"].to_numpy(), pdf["place"].to_numpy()
     for (_, i, j), at in pdf.groupby(["band", "i", "j"], sort=False).indices.items():
-        block = pdf["block"].to_numpy()[at]
-        left, right = at[block == i], at[block == j]
+        left, right = at[block[at] == i], at[block[at] == j]
+        bands = regs[right].reshape(-1, BANDS, ROWS)
         for x in left:
-            other = right[(comp[right] != comp[x]) & ((i != j) | (right > x))]
-            if len(other):
-                est = estimate(regs[x], regs[other], n[[x]], n[other])
-                found += [(min(node[x], node[y]), max(node[x], node[y])) for y in other[est >= SIMILARITY / 100 - SLACK]]
-    return pd.DataFrame(sorted(set(found)), columns=["a", "b"])
+            other = (comp[right] != comp[x]) & ((i != j) | (right > x))
+            if other.any():
+                shared = (bands[other] == regs[x].reshape(BANDS, ROWS)).all(axis=2)
+                other = right[other][shared.argmax(axis=1) == place[x]]
+                other = other[estimate(regs[x], regs[other], n[[x]], n[other]) >= SIMILARITY / 100 - SLACK]
+                if len(other):
+                    yield x, other
+
+
+def _with_partner(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The rows that have a likely link."""
+    keep = np.zeros(len(pdf), bool)
+    for x, other in _likely(pdf):
+        keep[x] = True
+        keep[other] = True
+    return pdf[keep]
+
+
+def _verified(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links of the likely pairs whose full sets are similar enough."""
+    sets, node, found = pdf["shingles"].to_numpy(), pdf["node"].to_numpy(), []
+    sizes = np.array([len(s) for s in sets])
+    for x, others in _likely(pdf):
+        most = np.minimum(sizes[x], sizes[others]) / np.maximum(sizes[x], sizes[others])
+        own = np.sort(sets[x])
+        for y in others[100 * most >= SIMILARITY]:
+            at = np.minimum(np.searchsorted(own, sets[y]), len(own) - 1)
+            common = int((own[at] == sets[y]).sum())
+            if 100 * common >= SIMILARITY * (sizes[x] + sizes[y] - common):
+                found.append((min(node[x], node[y]), max(node[x], node[y])))
+    return pd.DataFrame(found, columns=["a", "b"])
 
 
 def _sets(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -218,7 +246,7 @@ def near_components(docs: DataFrame, width: int = WORDS) -> DataFrame:
     full = sketches.where("node is not null")
     classes = cut(full.groupBy("node").agg(F.first("regs").alias("regs"), F.first("n").alias("n"),
                                            F.min("doc_id").alias("doc_id")))
-    bands = classes.select("node", "regs").mapInArrow(_bands, "band bigint, node binary")
+    bands = classes.select("node", "regs").mapInArrow(_bands, "band bigint, place int, node binary")
     bands = cut(bands)
     sizes = bands.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     shared = cut(bands.join(sizes, "band"))
@@ -245,7 +273,7 @@ def near_components(docs: DataFrame, width: int = WORDS) -> DataFrame:
     links = cut(linked(best, sets))
     labels = components(links)
     members = shared.join(labels, "node", "left").withColumn("comp", F.coalesce("label", "node"))
-    members = cut(members.select("band", "node", "comp", "size"))
+    members = cut(members.select("band", "place", "node", "comp", "size"))
     open_bands = (members.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
                   .where("x <> y").select("band"))
     rest = members.join(open_bands, "band", "left_semi").join(sketch, "node")
@@ -253,12 +281,19 @@ def near_components(docs: DataFrame, width: int = WORDS) -> DataFrame:
     rest = (rest.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
             .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other"))
-    rest = cut(rest)
-    groups = max(1, rest.count() // (2 * BLOCK))
-    more = (rest.withColumn("g", F.pmod(F.xxhash64("band", "i", "j"), F.lit(groups))).groupBy("g")
-            .applyInPandas(_within, "a binary, b binary").distinct())
-    more = more.join(best, ["a", "b"], "left_anti")
-    links = cut(links.unionByName(linked(more, sets)))
+    rest = cut(rest.select("band", "place", "node", "comp", "regs", "n", "block", "i", "j"))
+    pair = F.xxhash64("band", "i", "j")
+
+    def dealt(rows: DataFrame, groups: int) -> DataFrame:
+        return rows.withColumn("g", F.pmod(pair, F.lit(groups)))
+
+    groups = dealt(rest, max(1, rest.count() // (2 * BLOCK))).groupBy("g")
+    schema = "band bigint, place int, node binary, comp binary, regs binary, n bigint, block int, i int, j int, g bigint"
+    likely = cut(groups.applyInPandas(_with_partner, schema))
+    words = likely.agg(F.sum("n")).first()[0] or 0
+    checked = dealt(likely, max(1, words // GROUP_WORDS)).join(sets, "node")
+    more = checked.groupBy("g").applyInPandas(_verified, "a binary, b binary")
+    links = cut(links.unionByName(more))
     labels = cut(components(links))
     per_class = full.groupBy("node").agg(F.min("doc_id").alias("least"))
     per_class = per_class.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
