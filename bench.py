@@ -14,6 +14,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -30,6 +31,7 @@ HEADLINE = [
     "trend_14",
     "dq_orphan_rate",
     "dq_summary",
+    "stream_attribution",
 ]
 
 
@@ -41,6 +43,7 @@ def main() -> None:
 
     n = int(cpus) if cpus.isdigit() else 8
     spark = local_session(cpus, shuffle_partitions=max(4, n))
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="touchcredit-bench-"))
     qs = catalogue.queries()
     names = [q for q in (sys.argv[1:] or HEADLINE) if q in qs]
 

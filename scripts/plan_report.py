@@ -8,6 +8,7 @@ from __future__ import annotations
 import os
 import re
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -55,6 +56,7 @@ def main() -> None:
     from touchcredit.plans import catalogue
     from touchcredit.session import local_session
     spark = local_session(8, 8)
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="touchcredit-plans-"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # static plan: what the optimizer chose
     qs = catalogue.queries()
     out = ["# Physical plans (static, AQE off, sf0.01)", "",

@@ -79,11 +79,25 @@ def test_split_hot_chunks_equals_brute_force(spark, seed):
     t = spark.createDataFrame(touches, TOUCH_SCHEMA)
     c = spark.createDataFrame(convs, CONV_SCHEMA)
     got = {(r.conversion_id, r.attribution_model): (r.attributed_channel, r.purchase_revenue)
-           for r in credit(t, c, L, chunk_us=hour, hot_rows=20, fine_us=60_000_000,
-                           hot_fraction=1.0).collect()}
+           for r in credit(t, c, L, chunk_us=hour).collect()}
     assert got == expect
-    from touchcredit.operators.asof import hot_chunks
-    from pyspark.sql import functions as F
-    u = t.select(F.col("user_pseudo_id").alias("_k"), F.col("touchpoint_us").alias("_t"))
-    hot = hot_chunks(u, hour, 20, fraction=1.0)
-    assert hot is not None and {r._k for r in hot.collect()} == {"hot"}
+    finer = {(r.conversion_id, r.attribution_model): (r.attributed_channel, r.purchase_revenue)
+             for r in credit(t, c, L, chunk_us=hour, fine_us=1_000_000).collect()}
+    assert finer == expect
+
+
+def test_one_hour_with_most_rows_is_windowed_by_minutes(spark):
+    """The largest window group of the default path holds a minute's rows, not the hour's."""
+    from touchcredit.operators.asof import fine_width
+
+    hour, base = 3_600_000_000, 1_700_000_400_000_000 // 3_600_000_000 * 3_600_000_000
+    touches = [("hot", 1, base + i * 900_000, "AB"[i % 2]) for i in range(4000)]
+    touches += [("x", 1, base + i * 3_000_000, "C") for i in range(200)]
+    convs = [conv_row("hot", base + i * 60_000_000 + 7) for i in range(60)]
+    t, c = spark.createDataFrame(touches, TOUCH_SCHEMA), spark.createDataFrame(convs, CONV_SCHEMA)
+    got = {(r.conversion_id, r.attribution_model): (r.attributed_channel, r.purchase_revenue)
+           for r in credit(t, c, hour, chunk_us=hour).collect()}
+    assert got == brute_force(touches, convs, hour)
+    fine = fine_width(hour)
+    sizes = t.groupBy("user_pseudo_id", (t.touchpoint_us - t.touchpoint_us % fine).alias("f")).count()
+    assert sizes.agg({"count": "max"}).first()[0] <= 4000 // 60 + 1

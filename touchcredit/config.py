@@ -56,9 +56,7 @@ class AttributionConfig:
     as_of: _dt.date | None = None
     batch_window_days: int | None = DEFAULT_BATCH_WINDOW_DAYS
     chunk_us: int = 3_600 * MICROS_PER_SECOND
-    # Optional burst guard: split (user, chunk) groups estimated above this
-    # many rows into minute sub-chunks (None = off; costs one sampled scan).
-    split_hot_rows: int | None = None
+    # Windows run over (user, fine chunk) groups; chunk_us is a multiple of it.
     fine_us: int = 60 * MICROS_PER_SECOND
 
     @property

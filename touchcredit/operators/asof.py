@@ -19,14 +19,17 @@ Plan (no shuffle carries pairs):
    is windowed by key in chunk order: the carry is the best payload of all earlier chunks
    (backward) or of all later chunks (forward). One row per active
    ``(key, chunk)``, so a key's history is never gathered in one task.
+   Chunks have two widths: rows are windowed by the fine one (a minute by
+   default), summaries within the coarse one (an hour), and the sums of
+   those by key. So a burst inside one hour is split too, always and
+   without a list of hot keys.
 3. Probes meet their carry with an equi-join on ``(key, chunk)``; the
    summary side is unique per key, so the join cannot fan out.
 
 Cost is one sort of the data per direction, independent of how many points
 fall inside any interval. ``chunk_us`` bounds the rows a single window task
 sees for one key (a hot key spreads over its chunks); results do not depend
-on it. Bursts inside one chunk can be split further (``hot_chunks`` and the
-``hot`` argument of ``asof_core``). Rows with a NULL key are dropped first: a window would group NULL
+on it. Rows with a NULL key are dropped first: a window would group NULL
 keys together while an equi-join never matches them.
 """
 
@@ -53,24 +56,14 @@ def _chunk(t: Column, chunk_us: int) -> Column:
     return _floor_div(t, chunk_us)
 
 
-def hot_chunks(u: DataFrame, chunk_us: int, hot_rows: int, max_hot: int = 100_000,
-               fraction: float = 0.01, seed: int = 17) -> DataFrame | None:
-    """(key, chunk) groups estimated to hold more than ``hot_rows`` rows,
-    from a map-side sample (no shuffle of the data). At most ``max_hot``
-    groups are taken (a bounded take, so the list has a proven size and can
-    be broadcast); beyond that the list is truncated, which only leaves some
-    hot groups unsplit. Returns None when there is none."""
-    spark = u.sparkSession
-    cc = _chunk(F.col(_T), chunk_us)
-    est = (u.sample(fraction=fraction, seed=seed)
-           .groupBy(F.col(_KEY).alias(_KEY), cc.alias("_cc")).count()
-           .where(F.col("count") * F.lit(1.0 / fraction) > F.lit(hot_rows))
-           .select(_KEY, "_cc").limit(max_hot))
-    rows = est.collect()
-    if not rows:
-        return None
-    key_type = u.schema[_KEY].dataType.simpleString()
-    return spark.createDataFrame([(r[0], r[1]) for r in rows], f"{_KEY} {key_type}, _cc bigint")
+def fine_width(chunk_us: int, fine_us: int | None = None) -> int:
+    """Width of the chunks that windows run over: a sixtieth of ``chunk_us`` unless given (``chunk_us``
+    itself where that is no whole number)."""
+    if fine_us is None:
+        return chunk_us // 60 if chunk_us % 60 == 0 else chunk_us
+    if chunk_us % int(fine_us):
+        raise ValueError("chunk_us must be a multiple of fine_us")
+    return int(fine_us)
 
 
 def asof_match(points: DataFrame, probes: DataFrame, *, key: str, time: str,
@@ -100,30 +93,14 @@ def asof_match(points: DataFrame, probes: DataFrame, *, key: str, time: str,
     return matched.select(*[F.col(f"{_P}.{c}").alias(c) for c in probe_cols], "_match")
 
 
-def asof_core(u: DataFrame, chunk_us: int, hot: DataFrame | None = None,
-              fine_us: int | None = None) -> DataFrame:
+def asof_core(u: DataFrame, chunk_us: int, fine_us: int | None = None) -> DataFrame:
     """Steps 1–3 on a prepared union: rows ``(_k, _t, _mx, _mn, _p)`` where
     point rows carry the max/min payload at ``(_k, _t)`` (unique per pair)
     and probe rows carry ``_p`` (a struct whose first field ``__fwd`` is the
-    direction). Returns the probe rows as ``(_p, _match)``.
-
-    ``hot`` (key, ``_cc``) lists coarse chunks to split into ``fine_us``
-    sub-chunks (``chunk_us`` must be a multiple of ``fine_us``). Chunk ids
-    live in the fine index space: a plain chunk ``c`` becomes ``c * R``, a
-    hot one ``floor(t / fine_us)`` in ``[c * R, c * R + R)``, so ids stay
-    ordered and contiguous in time per key and results do not change."""
-    if hot is None:
-        u = u.select("*", _chunk(F.col(_T), chunk_us).alias(_CH))
-    else:
-        fine_us = int(fine_us or max(1, chunk_us // 60))
-        if chunk_us % fine_us:
-            raise ValueError("chunk_us must be a multiple of fine_us")
-        ratio = chunk_us // fine_us
-        flagged = hot.select(_KEY, "_cc", F.lit(True).alias("_hot"))
-        u = (u.withColumn("_cc", _chunk(F.col(_T), chunk_us))
-              .join(F.broadcast(flagged), [_KEY, "_cc"], "left")
-              .select(*u.columns, F.when(F.col("_hot"), _floor_div(F.col(_T), fine_us))
-                      .otherwise(F.col("_cc") * F.lit(ratio)).alias(_CH)))
+    direction). Returns the probe rows as ``(_p, _match)``."""
+    fine = fine_width(int(chunk_us), fine_us)
+    ratio = int(chunk_us) // fine
+    u = u.select("*", _chunk(F.col(_T), fine).alias(_CH))
 
     local_up = Window.partitionBy(_KEY, _CH).orderBy(F.col(_T).asc()) \
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -135,15 +112,18 @@ def asof_core(u: DataFrame, chunk_us: int, hot: DataFrame | None = None,
     # One row per active (key, chunk): its best points. Partial aggregation
     # before the (small) shuffle.
     summary = u.groupBy(_KEY, _CH).agg(F.max("_mx").alias("_cmax"), F.min("_mn").alias("_cmin"))
-    earlier = Window.partitionBy(_KEY).orderBy(F.col(_CH).asc()) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy(_KEY).orderBy(F.col(_CH).desc()) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(
-        _KEY, _CH,
-        F.max("_cmax").over(earlier).alias("_carry_back"),
-        F.min("_cmin").over(later).alias("_carry_fore"),
-    )
+    carry = _carry(summary, [_KEY], _CH)
+    if ratio > 1:
+        # chunks before this one in its hour, and the hours before
+        hour = _floor_div(F.col(_CH), ratio).alias("_hour")
+        summary = summary.select("*", hour)
+        near = _carry(summary, [_KEY, "_hour"], _CH)
+        hours = summary.groupBy(_KEY, "_hour").agg(F.max("_cmax").alias("_cmax"), F.min("_cmin").alias("_cmin"))
+        far = _carry(hours, [_KEY], "_hour").select(
+            _KEY, "_hour", F.col("_carry_back").alias("_far_back"), F.col("_carry_fore").alias("_far_fore"))
+        carry = near.join(far, [_KEY, "_hour"], "inner").select(
+            _KEY, _CH, F.greatest("_carry_back", "_far_back").alias("_carry_back"),
+            F.least("_carry_fore", "_far_fore").alias("_carry_fore"))
 
     hits = win.where(F.col(_P).isNotNull())
     joined = hits.join(carry, [_KEY, _CH], "inner")
@@ -152,3 +132,13 @@ def asof_core(u: DataFrame, chunk_us: int, hot: DataFrame | None = None,
         F.least(F.col("_fore"), F.col("_carry_fore")),
     ).otherwise(F.greatest(F.col("_back"), F.col("_carry_back")))
     return joined.select(_P, match.alias("_match"))
+
+
+def _carry(summary: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The best payload of all earlier rows and of all later rows of the same keys."""
+    before = Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    return summary.select(
+        *dict.fromkeys([*keys, order]),
+        F.max("_cmax").over(before.orderBy(F.col(order).asc())).alias("_carry_back"),
+        F.min("_cmin").over(before.orderBy(F.col(order).desc())).alias("_carry_fore"),
+    )

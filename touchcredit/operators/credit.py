@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from touchcredit import config as C
 from touchcredit.functions import columns as fc
-from touchcredit.operators.asof import asof_core, hot_chunks
+from touchcredit.operators.asof import asof_core
 
 CREDIT_COLUMNS = [
     "conversion_id", "conversion_date", "purchase_revenue", "attributed_channel",
@@ -34,8 +34,7 @@ MART_COLUMNS = ["conversion_id", "conversion_date", "purchase_revenue",
 
 def credit(touch: DataFrame, conv: DataFrame, lookback_us: int,
            chunk_us: int = 3_600_000_000, models: tuple[str, ...] = C.MODELS,
-           hot_rows: int | None = None, fine_us: int | None = None,
-           hot_fraction: float = 0.01) -> DataFrame:
+           fine_us: int | None = None) -> DataFrame:
     """One row per credited (conversion, model).
 
     Touchpoints and conversions go through one partial aggregate keyed by
@@ -45,9 +44,7 @@ def credit(touch: DataFrame, conv: DataFrame, lookback_us: int,
     same shuffle. Each kept conversion then becomes a last-click probe at
     ``c`` and a first-click probe at ``c - L``.
 
-    ``hot_rows`` (optional) guards against bursts: (user, chunk) groups that
-    a ``hot_fraction`` sample of the input estimates above ``hot_rows`` rows
-    are split into ``fine_us`` sub-chunks (default chunk / 60).
+    Windows run over (user, ``fine_us``) groups (default chunk / 60).
     """
     L = int(lookback_us)
     payload = F.struct(
@@ -65,12 +62,12 @@ def credit(touch: DataFrame, conv: DataFrame, lookback_us: int,
     cvs = conv.where(F.col("conversion_id").isNotNull()) \
         .select(F.col("user_pseudo_id").alias("_k"), F.col("conversion_us").alias("_t"), pick.alias("_c"))
     both = pts.unionByName(cvs, allowMissingColumns=True)
-    return _credit_union(both, L, chunk_us, models, hot_rows, fine_us, hot_fraction)
+    return _credit_union(both, L, chunk_us, models, fine_us)
 
 
 def credit_events(stg: DataFrame, lookback_us: int, chunk_us: int = 3_600_000_000,
-                  models: tuple[str, ...] = C.MODELS, hot_rows: int | None = None,
-                  fine_us: int | None = None, hot_fraction: float = 0.01) -> DataFrame:
+                  models: tuple[str, ...] = C.MODELS,
+                  fine_us: int | None = None) -> DataFrame:
     """Same as ``credit(touchpoints(stg), conversions(stg), ...)`` from a
     single pass over the staging relation: one ``event_name IN (...)``
     filter (pushed to the reader) instead of one scan per role."""
@@ -92,18 +89,16 @@ def credit_events(stg: DataFrame, lookback_us: int, chunk_us: int = 3_600_000_00
                     F.when(is_touch, payload).alias("_m"),
                     F.when(is_conv & cid.isNotNull(), pick).alias("_c"))
             .where(F.col("_m").isNotNull() | F.col("_c").isNotNull()))
-    return _credit_union(both, int(lookback_us), chunk_us, models, hot_rows, fine_us, hot_fraction)
+    return _credit_union(both, int(lookback_us), chunk_us, models, fine_us)
 
 
-def _credit_union(both: DataFrame, L: int, chunk_us: int, models, hot_rows, fine_us,
-                  hot_fraction) -> DataFrame:
+def _credit_union(both: DataFrame, L: int, chunk_us: int, models, fine_us) -> DataFrame:
     """Rows ``(_k, _t, _m touch payload | NULL, _c conversion pick | NULL)``
     -> credited rows."""
     for m in models:
         if m not in C.MODELS:
             raise ValueError(f"unknown model {m!r}")
     both = both.where(F.col("_k").isNotNull() & F.col("_t").isNotNull())
-    hot = hot_chunks(both, chunk_us, hot_rows, fraction=hot_fraction) if hot_rows else None
     grouped = (both
                .groupBy("_k", "_t")
                .agg(F.max("_m").alias("_mx"), F.min("_m").alias("_mn"), F.max("_c").alias("_c")))
@@ -136,7 +131,7 @@ def _credit_union(both: DataFrame, L: int, chunk_us: int, models, hot_rows, fine
         F.col("_t").alias("_t"), F.col("_mx").alias("_mx"), F.col("_mn").alias("_mn"),
         F.lit(None).cast(probe_type).alias("_p")))
     rows = grouped.select("_k", F.inline(F.array(point, *kinds))).where(F.col("_t").isNotNull())
-    matched = asof_core(rows, chunk_us, hot=hot, fine_us=fine_us)
+    matched = asof_core(rows, chunk_us, fine_us)
     p, m = F.col("_p"), F.col("_match")
     c_us = p["conversion_us"]
     eligible = m.isNotNull() & F.when(p["__fwd"], m["t"] <= c_us).otherwise(m["t"] >= c_us - F.lit(L))

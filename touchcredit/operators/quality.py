@@ -227,15 +227,16 @@ def stream_keys(deliveries: DataFrame, target: DataFrame) -> DataFrame:
 
 def freshness(stg: DataFrame, as_of_us: int, warn_hours: int = C.FRESHNESS_WARN_HOURS,
               error_hours: int = C.FRESHNESS_ERROR_HOURS) -> DataFrame:
-    """Q6: hours since the newest event against ``as_of``; warn / error."""
+    """Q6: hours since the newest event against ``as_of``; warn / error. A
+    feed without events has no newest time and is an error."""
     newest = F.max("event_timestamp")
     hours = (F.lit(int(as_of_us)) - newest) / F.lit(3_600_000_000.0)
     t = stg.agg(newest.alias("newest_event_us"), F.round(hours, 3).alias("hours_since"))
     return t.withColumn(
         "status",
-        F.when(F.col("hours_since") > error_hours, F.lit("error"))
-        .when(F.col("hours_since") > warn_hours, F.lit("warn"))
-        .otherwise(F.lit("pass")),
+        F.when(F.col("hours_since") <= warn_hours, F.lit("pass"))
+        .when(F.col("hours_since") <= error_hours, F.lit("warn"))
+        .otherwise(F.lit("error")),
     )
 
 

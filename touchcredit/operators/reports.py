@@ -50,10 +50,10 @@ def channel_compare(credited: DataFrame) -> DataFrame:
 def channel_scaled(compare: DataFrame) -> DataFrame:
     """A6 + T6: each side as a percentage of the largest channel revenue of
     either model (at least 1), one decimal; ordered by last-click revenue.
-    The maximum is a window over the aggregated frame (one row per
-    channel), so the credit relation behind it is computed once."""
-    top = F.greatest(F.lit(1.0), F.max(F.greatest("fc_revenue", "lc_revenue")).over(Window.partitionBy(F.lit(1))))
-    return compare.select(
+    The maximum is a one-row aggregate (partial + final), not a window that
+    would gather every channel in one task; ties are ordered by channel."""
+    top = F.greatest(F.lit(1.0), compare.agg(F.max(F.greatest("fc_revenue", "lc_revenue")).alias("m")).scalar())
+    return compare.orderBy(F.col("lc_revenue").desc(), "attributed_channel").select(
         "attributed_channel", "fc_revenue", "lc_revenue",
         F.round(F.col("fc_revenue") / top * 100, 1).alias("fc_pct"),
         F.round(F.col("lc_revenue") / top * 100, 1).alias("lc_pct"),
@@ -73,7 +73,7 @@ def trend(daily: DataFrame, n_dates: int = 14) -> DataFrame:
                              F.lit(0)).cast("bigint").alias(m) for m in C.MODELS])
            .orderBy(F.col("conversion_date").desc()).limit(n_dates))
     top = F.max(F.greatest(*[F.col(m) for m in C.MODELS])).over(Window.partitionBy(F.lit(1)))
-    return per.withColumn("chart_max", F.greatest(F.lit(1), top).cast("bigint"))
+    return per.withColumn("chart_max", F.greatest(F.lit(1), top).cast("bigint")).orderBy("conversion_date")
 
 
 def model_disagreement(credited: DataFrame) -> DataFrame:
@@ -101,14 +101,15 @@ def latest_events(stream_table: DataFrame, n: int = 20) -> DataFrame:
 
 def stream_lag(stream_table: DataFrame, now_us: int, alert_seconds: int = 300) -> DataFrame:
     """X5 + A8: rows in the stream table, newest ingest time, lag against
-    ``now`` (passed in, never read from the clock) and an alert flag."""
+    ``now`` (passed in, never read from the clock) and an alert flag; an
+    empty table has no newest time and alerts."""
     newest = F.max(F.unix_micros("ingested_at"))
     lag = (F.lit(int(now_us)) - newest) / F.lit(1_000_000.0)
     return stream_table.agg(
         F.count(F.lit(1)).alias("n_rows"),
         newest.alias("newest_ingested_us"),
         F.round(lag, 3).alias("lag_seconds"),
-    ).withColumn("status", F.when(F.col("lag_seconds") > alert_seconds, F.lit("alert")).otherwise(F.lit("ok")))
+    ).withColumn("status", F.when(F.col("lag_seconds") <= alert_seconds, F.lit("ok")).otherwise(F.lit("alert")))
 
 
 def ordered_daily(daily: DataFrame) -> DataFrame:

@@ -90,12 +90,11 @@ def _attribution(model: str, days: int, chunk_us: int | None = None) -> Query:
 
 
 def q_attribution_split_hot_7d(spark, sf_dir):
-    """Both models, 7 days, with the burst guard forced on (every sampled
-    (user, hour) with more than one row is split into minutes): must equal
-    the plain credit."""
+    """Both models, 7 days, with hours split into seconds instead of
+    minutes: must equal the plain credit."""
     p = pipeline(spark, sf_dir, lookback_days=7)
     return cr.credit(p.touchpoints, p.conversions, p.config.lookback_us, chunk_us=p.config.chunk_us,
-                     hot_rows=1, fine_us=60_000_000, hot_fraction=0.5).select(*cr.MART_COLUMNS)
+                     fine_us=1_000_000).select(*cr.MART_COLUMNS)
 
 
 def q_channel_daily_hot_user(spark, sf_dir):

@@ -70,7 +70,7 @@ class Pipeline:
     @cached_property
     def credited(self) -> DataFrame:
         return cr.credit_events(self.stg, self.config.lookback_us,
-                                chunk_us=self.config.chunk_us, hot_rows=self.config.split_hot_rows,
+                                chunk_us=self.config.chunk_us,
                                 fine_us=self.config.fine_us)
 
     def mart(self, model: str) -> DataFrame:

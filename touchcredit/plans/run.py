@@ -42,7 +42,7 @@ def run_batch(spark: SparkSession, export_path: str, stream_table_path: str | No
     stg = staging.stg_events(raw, stream)
     conv = journeys.conversions(stg)
     credited = cr.credit_events(stg, config.lookback_us, chunk_us=config.chunk_us,
-                                hot_rows=config.split_hot_rows, fine_us=config.fine_us)
+                                fine_us=config.fine_us)
 
     paths = {k: f"{out_dir}/{k}" for k in (
         "attribution", "mart_channel_daily", "conversions", "touchpoints", "model_totals",

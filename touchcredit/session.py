@@ -4,7 +4,6 @@ shared folder for lineage cuts and streaming state."""
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -40,8 +39,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's checkpoint dir (``spark.checkpoint.dir``).
 
-    The cluster names that shared folder; we only pick our own (a fresh temp
-    folder) when it is unset, which is the case in local tests.
+    The cluster names that shared folder. Unset is an error: executors and
+    driver share no local disk, so none can be picked here.
     """
     try:
         sc = spark.sparkContext
@@ -50,11 +49,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:  # unset: only in local tests
-            root = tempfile.mkdtemp(prefix="touchcredit-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(root)
-            root = sc.getCheckpointDir() or root
+    if not root:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = root.rstrip("/")
     for p in parts:
         path = f"{path}/{p}"
@@ -96,7 +92,7 @@ def scale_conf(total_input_bytes: int, shuffle_fraction: float = 0.3) -> dict[st
     input after projection) starts at ~1 target per partition, and AQE
     coalesces from there. Skew splitting stays on."""
     shuffle_bytes = max(1, int(total_input_bytes * shuffle_fraction))
-    parts = max(200, min(200_000, shuffle_bytes // TARGET_TASK_BYTES + 1))
+    parts = max(200, shuffle_bytes // TARGET_TASK_BYTES + 1)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
