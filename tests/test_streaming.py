@@ -169,3 +169,67 @@ def test_late_touchpoint_recredits_live(spark, scratch):
     assert now[(f"u-{c0}", "first_click")] == "early / cpc"
     assert now[(f"w-{c0}", "last_click")] == "wlate / social"
     assert spark.read.parquet(credits).count() == 2 + 1 + 2  # first pass, changed last click, new orphan credit
+
+
+DAY = 86_400_000_000
+C0 = 1_706_000_000_000_000
+
+
+def _row(key, name, user, us, src=None, med=None, rev=None):
+    import datetime as dt
+    return (key, "20240123", us, name, user, 1, src, med, None, rev, dt.datetime(2024, 1, 20))
+
+
+def _journeys(spark, rows=()):
+    from touchcredit.operators import journeys, staging
+    stg = staging.flatten_stream(spark.createDataFrame(list(rows), STREAM_FLAT))
+    return journeys.touchpoints(stg), journeys.conversions(stg)
+
+
+def _live(spark, scratch, batches, touch, conv):
+    """Each batch merged and credited, as the stream's sink does; the live view."""
+    from touchcredit.config import AttributionConfig
+    target, credits = os.path.join(scratch, "target"), os.path.join(scratch, "credits")
+    for batch in batches:
+        df = spark.createDataFrame(batch, STREAM_FLAT)
+        ingest.merge_batch(df, target)
+        live.credit_micro_batch(spark, ingest.held_rows(spark, df, target), touch, conv, target, credits,
+                                AttributionConfig(lookback_days=30))
+    return {(r.conversion_id, r.attribution_model): r for r in live.latest_credits(credits, spark).collect()}
+
+
+def test_skipped_copy_does_not_change_credit(spark, scratch):
+    touch, conv = _journeys(spark)
+    first = [_row("k1", "session_start", "u", C0 - DAY, "s", "m"), _row("k2", "purchase", "u", C0, rev=10.0)]
+    now = _live(spark, scratch, [first, [_row("k2", "purchase", "u", C0, rev=99.0)]], touch, conv)
+    assert {r.purchase_revenue for r in now.values()} == {10.0} and len(now) == 2
+
+
+def test_stated_day_does_not_prune_known_rows(spark, scratch):
+    """The batch feed's day follows its own zone, here a day early; the credit goes by time."""
+    touch, conv = _journeys(spark, [_row("b1", "session_start", "u", C0 - 30 * DAY, "edge", "m")])
+    touch = touch.withColumn("touch_date", F.lit("20231223"))
+    now = _live(spark, scratch, [[_row("k2", "purchase", "u", C0, rev=1.0)]], touch, conv)
+    assert {r.attributed_channel for r in now.values()} == {"edge / m"} and len(now) == 2
+
+
+def test_versions_go_on_after_a_new_checkpoint(spark, scratch):
+    touch, conv = _journeys(spark)
+    batches = [[_row("k1", "session_start", "u", C0 - 5 * DAY, "early", "m"), _row("k2", "purchase", "u", C0, rev=None)],
+               [_row("k3", "session_start", "u", C0 - 3 * DAY, "later", "m")],
+               [_row("k4", "session_start", "u", C0 - DAY, "latest", "m")]]
+    now = _live(spark, scratch, batches, touch, conv)
+    assert now[(f"u-{C0}", "last_click")].attributed_channel == "latest / m"
+    versions = spark.read.parquet(os.path.join(scratch, "credits")).groupBy("attribution_model").agg(F.count("*").alias("n"))
+    assert {r.attribution_model: r.n for r in versions.collect()} == {"first_click": 1, "last_click": 3}
+
+
+def test_key_alone_decides(spark, scratch):
+    """A key without a time, or sent again with another time, is stored once."""
+    target = os.path.join(scratch, "target")
+    assert ingest.read_target(spark, target).count() == 0  # absent: empty
+    batch = spark.createDataFrame([_row("n", "purchase", "u", None), _row("m", "purchase", "u", C0)], STREAM_FLAT)
+    assert ingest.merge_batch(batch, target)["n_new"] == 2
+    again = spark.createDataFrame([_row("n", "purchase", "u", None), _row("m", "purchase", "u", C0 + 9 * DAY)], STREAM_FLAT)
+    assert ingest.merge_batch(again, target) == {"n_in": 2, "n_new": 0, "n_skipped": 2}
+    assert ingest.read_target(spark, target).count() == 2

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from touchcredit import config as C
 from touchcredit.config import AttributionConfig
+from touchcredit.functions import columns as fc
 from touchcredit.operators import credit as cr
 from touchcredit.operators import journeys, marts, quality, reports, staging
 from touchcredit.session import apply_scale_conf, ensure_utc, input_bytes, shared_dir
@@ -48,14 +49,16 @@ def run_batch(spark: SparkSession, export_path: str, stream_table_path: str | No
         "attribution", "mart_channel_daily", "conversions", "touchpoints", "model_totals",
         "channel_breakdown", "channel_compare", "trend", "dq_summary")}
     # compact touchpoint table by day: what the live credit reads per micro-batch
-    marts.write_mart(journeys.touchpoints(stg).drop("touchpoint_ts"), paths["touchpoints"],
-                     partition_by=["touch_date"])
+    touch = journeys.touchpoints(stg).drop("touchpoint_ts")
+    marts.write_mart(touch.withColumn("touch_day", fc.micros_to_day("touchpoint_us")), paths["touchpoints"],
+                     partition_by=["touch_day"])
     marts.write_mart(credited.select(*cr.MART_COLUMNS, "touchpoint_us"), paths["attribution"],
                      partition_by=["attribution_model"])
     # conversions are written too: the orphan check and Q1/Q2 read them
     marts.write_mart(conv.select("conversion_id", "user_pseudo_id", "conversion_date", "conversion_us",
-                                 "conversion_ts", "purchase_revenue"), paths["conversions"],
-                     partition_by=["conversion_date"])
+                                 "conversion_ts", "purchase_revenue",
+                                 fc.micros_to_day("conversion_us").alias("conversion_day")), paths["conversions"],
+                     partition_by=["conversion_day"])
     att = spark.read.parquet(paths["attribution"])
     marts.write_mart(marts.channel_daily(att), paths["mart_channel_daily"],
                      partition_by=["attribution_model"], sort_within=["conversion_date", "attributed_channel"])

@@ -11,13 +11,16 @@ No watermark in front of the merge: it would drop late events, which the
 streaming table accepts, and it would forget keys, which never expire here.
 
 The target is Parquet partitioned by ``event_day``, the UTC day of
-``event_timestamp`` (part of the key, so every copy of an event lands in the
-same day). The anti-join reads only the ``event_id`` column of the days a
-batch touches.
+``event_timestamp``, for the readers that need a range of days. The key alone
+decides, so a copy with another or no timestamp is a copy all the same: the
+merge looks for a batch's keys in the whole target, of which it reads the
+``event_id`` column only, and keeps the matches before anything is shuffled
+whenever the batch's keys are small enough to be broadcast.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +28,6 @@ from pyspark.sql import types as T
 from touchcredit.functions import columns as fc
 from touchcredit.sources.schemas import STREAM_FLAT
 
-BROADCAST_KEY_LIMIT = 2_000_000  # batch keys broadcast for the existence check
 TARGET_SCHEMA = T.StructType(list(STREAM_FLAT.fields) + [T.StructField("event_day", T.StringType())])
 FLAT_COLUMNS = [f.name for f in STREAM_FLAT.fields]
 _ORDER = ["ingested_at"] + [c for c in FLAT_COLUMNS if c not in ("event_id", "ingested_at")]
@@ -69,40 +71,42 @@ def with_event_day(df: DataFrame) -> DataFrame:
     return df.withColumn("event_day", fc.micros_to_day("event_timestamp"))
 
 
-def _target_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+def stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The Parquet table at ``path``; without rows where nothing was written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
-def existing_keys(spark: SparkSession, target_path: str, days: list[str]) -> DataFrame:
-    """Keys already in the target for the given days: partition-pruned to
-    those day folders, reading the ``event_id`` column only."""
-    return (spark.read.schema(TARGET_SCHEMA).parquet(target_path)
-            .where(F.col("event_day").isin(days)).select("event_id"))
+def held_rows(spark: SparkSession, batch: DataFrame, target_path: str) -> DataFrame:
+    """What the target holds for a merged batch's keys, of the days of the
+    batch's own copies: every row the batch added, also in an earlier try,
+    as the target has it. A copy that the merge skipped does not show."""
+    days = batch.agg(F.min(fc.micros_to_day("event_timestamp")).alias("lo"),
+                     F.max(fc.micros_to_day("event_timestamp")).alias("hi")).first()
+    keys = batch.select("event_id").distinct()
+    return (stored(spark, target_path, TARGET_SCHEMA)
+            .where(F.col("event_day").between(F.lit(days["lo"]), F.lit(days["hi"])))
+            .join(keys, "event_id", "left_semi").select(*FLAT_COLUMNS))
 
 
 def merge_batch(batch: DataFrame, target_path: str) -> dict:
     """Merge one micro-batch into the target; return the A7 counters.
 
     Meant for ``foreachBatch``: the batch is persisted for the two counts and
-    the write, then released."""
+    the write, then released. Its measured size decides whether its keys are
+    broadcast to the target's key column or both are shuffled."""
     spark = batch.sparkSession
     batch = batch.select(*FLAT_COLUMNS).persist()
     try:
         n_in = batch.count()
         new = with_event_day(one_per_key(batch))
-        if _target_exists(spark, target_path):
-            days = [r[0] for r in new.select("event_day").distinct().collect()]  # a few days per batch
-            # Keys of this batch, broadcast after a size check (a micro-batch is
-            # bounded by the trigger's rate limit): the target's key column is
-            # filtered map-side instead of being shuffled every trigger.
-            keys = new.select("event_id")
-            keys = F.broadcast(keys) if n_in <= BROADCAST_KEY_LIMIT else keys
-            seen = existing_keys(spark, target_path, days).join(keys, "event_id", "left_semi")
-            new = new.join(seen, "event_id", "left_anti")
-        new = new.persist()
+        seen = stored(spark, target_path, TARGET_SCHEMA).select("event_id") \
+            .join(batch.select("event_id"), "event_id", "left_semi")
+        new = new.join(seen, "event_id", "left_anti").persist()
         n_new = new.count()
         if n_new:
             new.write.mode("append").partitionBy("event_day").parquet(target_path)
@@ -143,6 +147,5 @@ def start_ingest(source: DataFrame, target_path: str, checkpoint_path: str,
 
 
 def read_target(spark: SparkSession, target_path: str) -> DataFrame:
-    """S3: the deduplicated streaming table (flat columns)."""
-    return spark.read.schema(TARGET_SCHEMA).parquet(target_path) \
-        .select(*FLAT_COLUMNS)
+    """The deduplicated streaming table (flat columns); no rows before the first merge."""
+    return stored(spark, target_path, TARGET_SCHEMA).select(*FLAT_COLUMNS)

@@ -5,31 +5,39 @@ and the streaming table; the result is written (lineage cut) and the
 reports read the written tables.
 
 X6: in the same ``foreachBatch`` as the idempotent merge, credit with the
-as-of operator the micro-batch's conversions and every known conversion
-that its new touchpoints can change (same user, conversion within the
-lookback after the touchpoint), orphans included, so a touchpoint that
-arrives late still wins the conversions it should. Only what can matter is
-read: the days involved (partition pruning on the compact touchpoint and
-conversion tables the batch run writes and on the stream table), the time
-range (pushed to the reader) and the users involved (broadcast after a size
-check; a micro-batch is bounded by the trigger's rate limit). Credits are
-appended as versions (the batch id) and read through ``latest_credits``;
-rows equal to the current credit are skipped, so a retried batch adds
-nothing. No watermark is needed and no event is dropped for lateness.
+as-of operator what the target holds for the micro-batch's keys: its
+conversions, and every known conversion that its touchpoints can change
+(same user, conversion within the lookback after the touchpoint), orphans
+included, so a touchpoint that arrives late still wins the conversions it
+should. A copy that the merge skipped changes nothing. Only what can matter is
+read: the time range (by UTC day, never by the day that the producer states,
+which follows its own zone) and the users involved. Credits are
+appended as versions, numbered on from what the table holds for those days,
+so that a new checkpoint goes on where the last ended, and read through
+``latest_credits``; rows equal to the current credit are skipped, so a retried
+batch adds nothing. No watermark is needed and no event is dropped for
+lateness.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchcredit.config import AttributionConfig
+from touchcredit.functions import columns as fc
 from touchcredit.operators import credit as cr
 from touchcredit.operators import journeys, marts, staging
 from touchcredit.streaming import ingest
 
-BROADCAST_USER_LIMIT = 2_000_000  # users per micro-batch kept in a broadcast semi-join
 LIVE_COLUMNS = cr.MART_COLUMNS + ["touchpoint_us"]
+CREDIT_SCHEMA = T.StructType([T.StructField(name, kind) for name, kind in (
+    ("conversion_id", T.StringType()), ("conversion_date", T.StringType()), ("purchase_revenue", T.DoubleType()),
+    ("attributed_channel", T.StringType()), ("attribution_model", T.StringType()),
+    ("touchpoint_us", T.LongType()), ("version", T.LongType()), ("credit_day", T.StringType()))])
 
 
 def refresh_marts(batch_raw: DataFrame, stream_table: DataFrame | None, out_dir: str,
@@ -49,50 +57,44 @@ def refresh_marts(batch_raw: DataFrame, stream_table: DataFrame | None, out_dir:
     return paths
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    return ingest._target_exists(spark, path)
-
-
 def _day(us: int) -> str:
-    import datetime as _dt
     return (_dt.datetime(1970, 1, 1) + _dt.timedelta(microseconds=int(us))).strftime("%Y%m%d")
 
 
-def latest_credits(credit_path: str, spark: SparkSession, only_ids: DataFrame | None = None) -> DataFrame:
-    """The live credit view: for each (conversion, model) the row of the
-    highest version (partial aggregate, so a much re-credited conversion
-    never gathers in one task). ``only_ids`` (a bounded key list, already
-    size-checked by the caller) restricts the read before the aggregate."""
-    rows = spark.read.parquet(credit_path)
-    if only_ids is not None:
-        rows = rows.join(only_ids, "conversion_id", "left_semi")
+def _between(table: DataFrame, time: str, day: str, lo: int, hi: int) -> DataFrame:
+    """Rows of ``time`` (micros) in [lo, hi]; pruned by ``day``, its UTC day, where the table is stored by it."""
+    if day in table.columns:
+        table = table.where(F.col(day).between(_day(lo), _day(hi)))
+    return table.where(F.col(time).between(lo, hi))
+
+
+def _latest(rows: DataFrame) -> DataFrame:
     best = F.max(F.struct("version", *LIVE_COLUMNS)).alias("_b")
     return rows.groupBy("conversion_id", "attribution_model").agg(best) \
         .select(*[F.col(f"_b.{c}").alias(c) for c in LIVE_COLUMNS])
 
 
-def _bounded_users(keys: DataFrame) -> DataFrame:
-    """Broadcast a micro-batch's key list (users or conversion ids) only
-    after checking its size; otherwise let the join shuffle it."""
-    n = keys.count()
-    return F.broadcast(keys) if n <= BROADCAST_USER_LIMIT else keys
+def latest_credits(credit_path: str, spark: SparkSession) -> DataFrame:
+    """The live credit view: for each (conversion, model) the row of the
+    highest version (partial aggregate, so a much re-credited conversion
+    never gathers in one task)."""
+    return _latest(ingest.stored(spark, credit_path, CREDIT_SCHEMA))
 
 
 def credit_micro_batch(spark: SparkSession, batch_rows: DataFrame, touch_table: DataFrame,
                        conv_table: DataFrame, target_path: str, credit_path: str,
-                       config: AttributionConfig, version: int) -> int:
-    """Credit one (deduplicated, already merged) micro-batch; return how many
-    credit rows were appended.
-
-    Probes: the batch's own conversions, plus every known conversion that
-    the batch's new touchpoints can change (same user, conversion time in
-    ``[min(t), max(t) + L]``), including earlier orphans. Known conversions
-    come from ``conv_table`` (the batch feed, with ``conversion_date``) and
-    the stream table; touchpoints from ``touch_table`` (with ``touch_date``)
-    and the stream table. Every read is pruned to the days involved, to the
-    time range (pushed to the reader) and to the users involved (broadcast
-    after a size check; a micro-batch is bounded by the trigger's rate
-    limit). Results are appended with ``version``; rows equal to the latest
+                       config: AttributionConfig, version: int = 0) -> int:
+    """Credit one merged micro-batch; return how many credit rows were appended.
+
+    ``batch_rows`` are the target's rows for the batch's keys (``ingest.held_rows``).
+    Probes: their conversions, plus every known conversion that their touchpoints
+    can change (same user, conversion time in ``[min(t), max(t) + L]``),
+    including earlier orphans. Known conversions come from ``conv_table`` (the
+    batch feed; stored by ``conversion_day``) and the stream table;
+    touchpoints from ``touch_table`` (stored by ``touch_day``) and the stream
+    table. Every read is pruned to the UTC days and the time range, and
+    semi-joined to the users involved. Results are appended with a version above those
+    of the same days, at least ``version``, stored by the UTC day of the conversion; rows equal to the latest
     known credit are skipped, so a retried batch appends nothing."""
     L = config.lookback_us
     flat = staging.flatten_stream(batch_rows)
@@ -104,43 +106,47 @@ def credit_micro_batch(spark: SparkSession, batch_rows: DataFrame, touch_table:
         F.min(F.when(F.col("event_name") == "session_start", F.col("event_timestamp"))).alias("t_lo"),
         F.max(F.when(F.col("event_name") == "session_start", F.col("event_timestamp"))).alias("t_hi"),
     ).first()
+    if b["c_lo"] is None and b["t_lo"] is None:
+        return 0
+    stream = ingest.stored(spark, target_path, ingest.TARGET_SCHEMA)
+
+    def streamed(lo: int, hi: int) -> DataFrame:
+        return staging.flatten_stream(_between(stream, "event_timestamp", "event_day", lo, hi)
+                                      .select(*ingest.FLAT_COLUMNS))
+
     probes = new_conv
-    stream = spark.read.schema(ingest.TARGET_SCHEMA).parquet(target_path)
     if b["t_lo"] is not None:
         lo, hi = b["t_lo"], b["t_hi"] + L
-        users = _bounded_users(new_touch.select("user_pseudo_id").where(F.col("user_pseudo_id").isNotNull())
-                               .distinct())
+        users = new_touch.select("user_pseudo_id").distinct()
         cols = ["conversion_id", "user_pseudo_id", "conversion_date", "conversion_us", "purchase_revenue"]
-        known_stream = journeys.conversions(staging.flatten_stream(
-            stream.where(F.col("event_day").between(_day(lo), _day(hi))).select(*ingest.FLAT_COLUMNS)))
-        known = (conv_table.where(F.col("conversion_date").between(_day(lo), _day(hi))).select(*cols)
-                 .unionByName(known_stream.select(*cols))
-                 .where(F.col("conversion_us").between(lo, hi))
+        known = (_between(conv_table, "conversion_us", "conversion_day", lo, hi).select(*cols)
+                 .unionByName(journeys.conversions(streamed(lo, hi)).select(*cols))
                  .join(users, "user_pseudo_id", "left_semi"))
         probes = new_conv.select(*cols).unionByName(known.select(*cols))
-    if b["c_lo"] is None and b["t_lo"] is None:
-        return 0
     c_lo = min(x for x in (b["c_lo"], b["t_lo"]) if x is not None)
     c_hi = max(x for x in (b["c_hi"], (b["t_hi"] + L) if b["t_hi"] is not None else None) if x is not None)
-    lo, hi = c_lo - L, c_hi
-    users = _bounded_users(probes.select("user_pseudo_id").where(F.col("user_pseudo_id").isNotNull()).distinct())
-    stream_touch = journeys.touchpoints(staging.flatten_stream(
-        stream.where(F.col("event_day").between(_day(lo), _day(hi))).select(*ingest.FLAT_COLUMNS)))
+    users = probes.select("user_pseudo_id").distinct()
     need = ["user_pseudo_id", "ga_session_id", "touchpoint_us", "channel"]
-    touch = (touch_table.where(F.col("touch_date").between(_day(lo), _day(hi))).select(*need)
-             .unionByName(stream_touch.select(*need))
-             .where(F.col("touchpoint_us").between(lo, hi))
+    touch = (_between(touch_table, "touchpoint_us", "touch_day", c_lo - L, c_hi).select(*need)
+             .unionByName(journeys.touchpoints(streamed(c_lo - L, c_hi)).select(*need))
              .join(users, "user_pseudo_id", "left_semi"))
-    new = cr.credit(touch, probes, L, chunk_us=config.chunk_us).select(*LIVE_COLUMNS)
-    if _exists(spark, credit_path):
-        ids = _bounded_users(probes.select("conversion_id").where(F.col("conversion_id").isNotNull())
-                             .distinct())
-        current = latest_credits(credit_path, spark, only_ids=ids)
-        new = new.join(current, LIVE_COLUMNS, "left_anti")  # unchanged: nothing to add
+    new = cr.credit(touch, probes, L, chunk_us=config.chunk_us) \
+        .select(*LIVE_COLUMNS, fc.micros_to_day("conversion_us").alias("credit_day"))
+    held = ingest.stored(spark, credit_path, CREDIT_SCHEMA) \
+        .where(F.col("credit_day").between(_day(c_lo), _day(c_hi)))
+    last = held.agg(F.max("version")).first()[0]
+    if last is not None:
+        current = _latest(held.join(probes.select("conversion_id").distinct(), "conversion_id", "left_semi"))
+        # unchanged: nothing to add; a missing revenue equals a missing revenue
+        old = current.toDF(*[f"_{c}" for c in LIVE_COLUMNS])
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in LIVE_COLUMNS if c not in ("conversion_id", "attribution_model")]
+        key = [F.col(c) == F.col(f"_{c}") for c in ("conversion_id", "attribution_model")]
+        new = new.join(old, key + same, "left_anti")
+        version = max(version, last + 1)
     new = new.withColumn("version", F.lit(int(version)).cast("bigint")).persist()
     n = new.count()
     if n:
-        new.write.mode("append").parquet(credit_path)
+        new.write.mode("append").partitionBy("credit_day").parquet(credit_path)
     new.unpersist()
     return n
 
@@ -158,8 +164,9 @@ def start_live_credit(source: DataFrame, touch_table: DataFrame, conv_table: Dat
         df = df.persist()
         try:
             ingest.merge_batch(df, target_path)
-            credit_micro_batch(spark, ingest.one_per_key(df), touch_table, conv_table, target_path,
-                               credit_path, config, version=batch_id)
+            held = ingest.held_rows(spark, df, target_path).persist()
+            credit_micro_batch(spark, held, touch_table, conv_table, target_path, credit_path, config)
+            held.unpersist()
         finally:
             df.unpersist()
 
