@@ -4,6 +4,8 @@ An item of n words is compared with windows of n words. Each side is its five-wo
 (weights). A 64-bit SimHash stands for it; fingerprints are cut into RADIUS + 1 blocks, and two fingerprints
 that differ in at most RADIUS bits share a block, so that joining on blocks finds all of them. Pairs
 within the radius are checked exactly: sum of smaller counts over sum of larger ones, ``SIMILARITY`` or more.
+A document with fewer shingles than the item is its own, only window: the whole of it is compared, exactly and
+without fingerprints, so an item that lost words at either end is found as well.
 
 A window needs a fingerprint only if it can reach that similarity: of the item's n - 4 shingles it must hold
 ``SIMILARITY`` or more, so windows are taken where that many places have a shingle of the item. That is
@@ -70,11 +72,23 @@ def _of_width(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
     known = counts.select("key", "n", F.col("h").alias("ih"))
     if known.count() <= BROADCAST_ROWS:
         known = F.broadcast(known)
-    said = docs.select("doc_id", "tid", F.posexplode(shingles(F.col("words"), width)).alias("p", "h"))
-    hits = cut(said.join(known, F.col("h") == F.col("ih")).select("doc_id", "tid", "key", "n", "p"))
+    said = docs.withColumn("m", F.size("words") - (width - 1))
+    said = said.select("doc_id", "tid", "m", F.posexplode(shingles(F.col("words"), width)).alias("p", "h"))
+    need = F.ceil(F.col("n") * F.lit(SIMILARITY) - F.lit(1e-9))
+    whole = F.col("m") < F.col("n")
+    said = said.join(known, F.col("h") == F.col("ih")).where(~whole | (F.col("m") >= need))
+    said = cut(said.select("doc_id", "tid", "m", "key", "n", "p", F.when(whole, F.col("h")).alias("h")))
+
+    # whole documents with fewer shingles than the item
+    short = said.where(whole).distinct().groupBy("doc_id", "tid", "m", "key", "n", "h").agg(F.count("*").alias("cw"))
+    short = short.join(counts.drop("n"), ["key", "h"])
+    short = short.groupBy("doc_id", "tid", "m", "key", "n").agg(F.sum(F.least("cw", "ci")).alias("common"))
+    short = short.withColumn("similarity", F.col("common") / (F.col("n") + F.col("m") - F.col("common")))
+    short = short.where(F.col("similarity") >= SIMILARITY).select(
+        "doc_id", "tid", "key", F.lit(0).alias("start"), "similarity", F.lit(None).cast("int").alias("distance"))
+    hits = said.where(~whole).drop("m", "h")
 
     # windows that hold enough places with a shingle of the item
-    need = F.ceil(F.col("n") * F.lit(SIMILARITY) - F.lit(1e-9))
     pairs = (hits.groupBy("doc_id", "tid", "key", "n").agg(F.count("*").alias("places")).where(F.col("places") >= need)
              .select(F.col("doc_id").alias("d"), F.col("tid").alias("t"), F.col("key").alias("k")))
     rich = hits.join(pairs, hits["doc_id"].eqNullSafe(pairs["d"]) & (hits["tid"] == pairs["t"]) & (hits["key"] == pairs["k"]), "left_semi")
@@ -102,12 +116,13 @@ def _of_width(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
             .select("x.*", "y.h", "y.cw").join(counts.drop("n"), ["key", "h"]))
     found = both.groupBy(*keys, "key", "distance").agg(F.sum(F.least("cw", "ci")).alias("common"))
     found = found.withColumn("similarity", F.col("common") / (2 * F.col("n") - F.col("common")))
-    return found.where(F.col("similarity") >= SIMILARITY).select("doc_id", "tid", "key", "start", "similarity", "distance")
+    found = found.where(F.col("similarity") >= SIMILARITY).select("doc_id", "tid", "key", "start", "similarity", "distance")
+    return found.unionByName(short)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, tid (hash of the text), item_id, start (first word of the window), similarity, distance: the best
-    window (then the first) of every document's text and benchmark item that match."""
+    """doc_id, tid (hash of the text), item_id, start (first word of the window), similarity, distance (null for a
+    document shorter than the item): the best window (then the first) of every document's text and benchmark item that match."""
     docs = docs.select("doc_id", F.xxhash64("text").alias("tid"), text_words(F.col("text")).alias("words"))
     items = benchmark.select("item_id", text_words(F.col("text")).alias("words")).where(F.size("words") > 0).distinct()
     width = F.least(F.size("words"), F.lit(WORDS))
