@@ -3,7 +3,8 @@
 Equal vectors are one node. The graph starts from exact neighbours within small blocks of vectors that share
 their nearest pivot (``SETS`` sets of pivots; a block has about ``BLOCK`` vectors, larger ones are dealt out by
 hash). Each round joins a sample of every node's neighbours, in both directions, with each other (neighbours of
-neighbours) and keeps the best ``DEGREE`` for each node, until few change. A search holds a beam of the best nodes seen for
+neighbours) and keeps the best ``DEGREE`` for each node, until less than the share ``STOP`` of them changes, however
+many rounds that takes (a list only ever improves, so the rounds end). A search holds a beam of the best nodes seen for
 each query; in each round the beam's unexpanded nodes are joined with their neighbours. All rounds are Spark
 joins; pivots, at most ``PIVOTS`` vectors, are all that comes to the driver.
 
@@ -32,7 +33,6 @@ DEGREE = 32
 #: Neighbours of each direction that a round joins, drawn anew, and pairs that each of them may gain there.
 SAMPLED = 14
 GAINED = 8
-ROUNDS = 3
 STOP = 0.02
 SETS = 6
 BLOCK = 2000
@@ -144,7 +144,8 @@ def build_graph(nodes: DataFrame) -> tuple[DataFrame, list[tuple[int, bytes]]]:
              .applyInPandas(_block_neighbours, "u bigint, w bigint, sim float"))
     best_first = [F.col("sim").desc(), F.col("w")]
     graph = cut(_top(found.distinct(), "u", best_first, DEGREE))
-    for k in range(ROUNDS):
+    k, changed = 0, DEGREE * n
+    while changed >= STOP * DEGREE * n:
         drawn = [F.xxhash64("u", "w", F.lit(k)), F.col("w")]
         near = _top(graph.select("u", "w"), "u", drawn, SAMPLED)
         back = _top(near.select(F.col("w").alias("u"), F.col("u").alias("w")), "u", drawn, SAMPLED)
@@ -159,9 +160,7 @@ def build_graph(nodes: DataFrame) -> tuple[DataFrame, list[tuple[int, bytes]]]:
         merged = merged.groupBy("u", "w").agg(F.max("sim").alias("sim"), F.max("old").alias("old"))
         graph = cut(_top(merged, "u", best_first, DEGREE))
         changed = graph.where("old = 0").count()
-        graph = graph.drop("old")
-        if changed < STOP * DEGREE * n:
-            break
+        graph, k = graph.drop("old"), k + 1
     return graph, sets[0]
 
 
