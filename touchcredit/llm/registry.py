@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchcredit.llm import chat, decontam, langid, lines, lm, minhash, mixing, neighbours, tokens, toxicity
+from touchcredit.llm import audit, chat, decontam, langid, lines, lm, minhash, mixing, neighbours, pieces, resample, tokens, toxicity
 from touchcredit.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,9 @@ def queries() -> dict[str, Query]:
         "op8_token_output": tokens.op8_token_output,
         "op9_chat_format": chat.op9_chat_format,
         "op10_line_dedup": lines.op10_line_dedup,
+        "op11_sentencepiece": pieces.op11_sentencepiece,
+        "op12_importance_resampling": resample.op12_importance_resampling,
+        "op13_filter_audit": audit.op13_filter_audit,
     }
     return {name: _ready(query) for name, query in named.items()}
 
@@ -42,4 +45,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_pareto_mix": mixing.OP5_SQL,
         "op9_chat_format": chat.OP9_SQL,
         "op10_line_dedup": lines.OP10_SQL,
+        "op12_importance_resampling": resample.OP12_SQL,
+        "op13_filter_audit": audit.OP13_SQL,
     }
