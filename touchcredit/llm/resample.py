@@ -380,15 +380,15 @@ texts as (
 listed as (
     select side, r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from texts),
-runs as (
+runs as materialized (
     select side, r, unnest(list_transform(range(1, greatest(len(w) - n + 2, 1)), lambda i: array_to_string(w[i:i + n - 1], ' '))) f
     from listed, (values (1), (2), (3)) o(n)),
-spelled as (select f, encode(f) b from (select distinct f from runs)),
+spelled as materialized (select f, encode(f) b from (select distinct f from runs)),
 steps as (
     select i, i as reg, 0 as k from range(256) t(i)
     union all
     select i, case when reg & 1 = 1 then xor(reg >> 1, 3988292384) else reg >> 1 end, k + 1 from steps where k < 8),
-step as (select list(reg order by i) t from steps where k = 8),
+step as materialized (select list(reg order by i) t from steps where k = 8),
 crc as (
     select f, b, 0::bigint k, 4294967295::bigint reg from spelled
     union all
