@@ -76,11 +76,14 @@ def test_chunks_encode_as_the_library(spark, sf_dir):
         for (k, i, t), n in want.items()})
 
 
-def test_each_distinct_chunk_is_segmented_once(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(3)
-    _, parts = pieces.dictionary_blocks(docs, pieces.split_chunks, "string", block_bytes=5000)
-    table = pieces.chunk_table(parts, pieces.model_path())
-    assert table.count() == table.select("chunk").distinct().count() == parts.select("part").distinct().count()
+def test_each_distinct_chunk_of_a_block_is_segmented_once(monkeypatch):
+    seen = []
+    sp = pieces.processor(pieces.model_path())
+    monkeypatch.setattr(pieces, "segment", lambda sp, chunks: seen.append(chunks) or (pa.array([[1]] * len(chunks), pa.list_(pa.int32())),
+                                                                                   pa.array(chunks, pa.large_string())))
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([k for k, _ in ROWS], pa.int64()), "text": pa.array([t for _, t in ROWS])})
+    out = list(pieces._encode(pieces.model_path(), True, 1 << 30)([batch]))
+    assert sp and len(seen) == 1 and len(seen[0]) == len(set(seen[0])) and out[0].num_rows == len(ROWS)
 
 
 def test_run_buckets_are_crc32(spark):
