@@ -19,7 +19,7 @@ def test_run_batch_matches_catalogue(spark, scratch):
     export = os.path.join(scratch, "export")
     batch_src.write_export(ea.raw_batch(ev, "batch"), export)
     target = os.path.join(scratch, "stream_table")
-    ingest.merge_batch(ea.stream_deliveries(ev).select(*ingest.FLAT_COLUMNS), target)
+    ingest.merge_batch(ea.stream_deliveries(ev, "streaming").select(*ingest.FLAT_COLUMNS), target)
     cfg = AttributionConfig(lookback_days=30, as_of=dt.date(2024, 1, 31), batch_window_days=60)
     out = read_outputs(spark, run_batch(spark, export, target, cfg, os.path.join(scratch, "out")))
     want = catalogue.queries()["channel_daily"](spark, SF)
@@ -78,7 +78,7 @@ def test_batch_outputs_feed_the_live_credit(spark, scratch):
     cfg = AttributionConfig(lookback_days=30, as_of=dt.date(2024, 1, 31), batch_window_days=60)
     paths = run_batch(spark, export, None, cfg, os.path.join(scratch, "out"))
     incoming = os.path.join(scratch, "in")
-    write_delivery_files(ea.stream_deliveries(ev), incoming)
+    write_delivery_files(ea.stream_deliveries(ev, "streaming"), incoming)
     q = live.start_live_credit(
         flat_event_stream(spark, f"{incoming}/batch_id=*/*.parquet", max_files_per_trigger=40),
         spark.read.parquet(paths["touchpoints"]), spark.read.parquet(paths["conversions"]),

@@ -48,7 +48,7 @@ def test_no_params_gives_null_session_and_defaults(spark):
 def test_union_keeps_both_feeds(spark):
     ev = ea.load_events(spark, SF)
     raw = ea.raw_batch(ev, "batch")
-    stream = ea.stream_rows(ev)
+    stream = ea.stream_rows(ev, "streaming")
     stg = staging.stg_events(raw, stream)
     n_all = ev.count()
     assert stg.count() == n_all

@@ -49,15 +49,16 @@ class AttributionConfig:
     ``lookback_days`` is exact elapsed time (``days * 86400`` seconds), never
     calendar days in a session zone. ``chunk_us`` is the width of the time
     chunks the as-of credit operator sorts within; it bounds the rows one
-    window task sees for a single user and does not change results.
+    window task sees for a single user and does not change results. With minutes, a user's carry has at most
+    1,440 rows a day of history, whatever the number of events. ``fine_us`` splits the chunks again, for bursts within them.
     """
 
     lookback_days: int = DEFAULT_LOOKBACK_DAYS
     as_of: _dt.date | None = None
     batch_window_days: int | None = DEFAULT_BATCH_WINDOW_DAYS
-    chunk_us: int = 3_600 * MICROS_PER_SECOND
-    # Windows run over (user, fine chunk) groups; chunk_us is a multiple of it.
-    fine_us: int = 60 * MICROS_PER_SECOND
+    chunk_us: int = 60 * MICROS_PER_SECOND
+    # Where given, windows run over (user, fine chunk) groups; chunk_us is a multiple of it.
+    fine_us: int | None = None
 
     @property
     def lookback_us(self) -> int:

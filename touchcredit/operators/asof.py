@@ -19,10 +19,9 @@ Plan (no shuffle carries pairs):
    is windowed by key in chunk order: the carry is the best payload of all earlier chunks
    (backward) or of all later chunks (forward). One row per active
    ``(key, chunk)``, so a key's history is never gathered in one task.
-   Chunks have two widths: rows are windowed by the fine one (a minute by
-   default), summaries within the coarse one (an hour), and the sums of
-   those by key. So a burst inside one hour is split too, always and
-   without a list of hot keys.
+   With minutes a key has at most 1,440 summary rows a day of history, however many points it has. Where a finer width is
+   given too, chunks have two widths: rows are windowed by the fine one, summaries within the coarse one, and
+   the sums of those by key; so a burst inside one chunk is split without a list of hot keys.
 3. Probes meet their carry with an equi-join on ``(key, chunk)``; the
    summary side is unique per key, so the join cannot fan out.
 
@@ -57,10 +56,9 @@ def _chunk(t: Column, chunk_us: int) -> Column:
 
 
 def fine_width(chunk_us: int, fine_us: int | None = None) -> int:
-    """Width of the chunks that windows run over: a sixtieth of ``chunk_us`` unless given (``chunk_us``
-    itself where that is no whole number)."""
+    """Width of the chunks that windows run over: ``chunk_us`` unless a finer one is given."""
     if fine_us is None:
-        return chunk_us // 60 if chunk_us % 60 == 0 else chunk_us
+        return chunk_us
     if chunk_us % int(fine_us):
         raise ValueError("chunk_us must be a multiple of fine_us")
     return int(fine_us)

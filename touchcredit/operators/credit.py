@@ -33,7 +33,7 @@ MART_COLUMNS = ["conversion_id", "conversion_date", "purchase_revenue",
 
 
 def credit(touch: DataFrame, conv: DataFrame, lookback_us: int,
-           chunk_us: int = 3_600_000_000, models: tuple[str, ...] = C.MODELS,
+           chunk_us: int = 60_000_000, models: tuple[str, ...] = C.MODELS,
            fine_us: int | None = None) -> DataFrame:
     """One row per credited (conversion, model).
 
@@ -44,7 +44,7 @@ def credit(touch: DataFrame, conv: DataFrame, lookback_us: int,
     same shuffle. Each kept conversion then becomes a last-click probe at
     ``c`` and a first-click probe at ``c - L``.
 
-    Windows run over (user, ``fine_us``) groups (default chunk / 60).
+    Windows run over (user, ``chunk_us``) groups, or (user, ``fine_us``) groups where that is given.
     """
     L = int(lookback_us)
     payload = F.struct(
@@ -65,7 +65,7 @@ def credit(touch: DataFrame, conv: DataFrame, lookback_us: int,
     return _credit_union(both, L, chunk_us, models, fine_us)
 
 
-def credit_events(stg: DataFrame, lookback_us: int, chunk_us: int = 3_600_000_000,
+def credit_events(stg: DataFrame, lookback_us: int, chunk_us: int = 60_000_000,
                   models: tuple[str, ...] = C.MODELS,
                   fine_us: int | None = None) -> DataFrame:
     """Same as ``credit(touchpoints(stg), conversions(stg), ...)`` from a

@@ -50,14 +50,14 @@ def not_null(relations: dict[str, DataFrame]) -> DataFrame:
 
 
 def staging_profile(stg: DataFrame) -> DataFrame:
-    """One pass over staging for every staging-level check: per event name
+    """One pass over staging for every staging-level check: per feed and event name
     (a handful of rows) the row count, the NULL counts that the staging,
     touchpoint and conversion rules need, and the newest event time.
     Touchpoints and conversions are filters of staging, so their rules are
     the same counts restricted to their event name."""
     ts, user = F.col("event_timestamp"), F.col("user_pseudo_id")
     channel = fc.channel_label("source", "medium")
-    return stg.groupBy("event_name").agg(
+    return stg.groupBy("_source", "event_name").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(ts.isNull()).alias("ts_null"),
         F.count_if(user.isNull()).alias("user_null"),
@@ -98,6 +98,7 @@ def not_null_staged(profile: DataFrame) -> DataFrame:
 def accepted_values_staged(profile: DataFrame, daily: DataFrame) -> DataFrame:
     """Q3 from the profile (event names) and the daily mart (models)."""
     names = (profile.where(~F.col("event_name").isin(*C.ACCEPTED_EVENT_NAMES))
+             .groupBy("event_name").agg(F.sum("n").alias("n"))
              .select(F.lit("stg_events").alias("relation"), F.lit("event_name").alias("column_name"),
                      F.col("event_name").alias("value"), F.col("n").alias("n_rows")))
     models = (daily.where(~F.col("attribution_model").isin(*C.MODELS)).groupBy("attribution_model").count()
@@ -106,9 +107,9 @@ def accepted_values_staged(profile: DataFrame, daily: DataFrame) -> DataFrame:
     return names.unionByName(models)
 
 
-def freshness_staged(profile: DataFrame, as_of_us: int) -> DataFrame:
-    """Q6 from the profile's newest event time."""
-    return freshness(profile.select(F.col("newest").alias("event_timestamp")), as_of_us)
+def freshness_staged(profile: DataFrame, as_of_us: int, feeds: tuple[str, ...] = (C.BATCH_TAG,)) -> DataFrame:
+    """Q6 from the profile's newest event times."""
+    return freshness(profile.select("_source", F.col("newest").alias("event_timestamp")), as_of_us, feeds=feeds)
 
 
 _MART_OF = {C.FIRST_CLICK: "mart_attribution_first_click", C.LAST_CLICK: "mart_attribution_last_click"}
@@ -226,12 +227,16 @@ def stream_keys(deliveries: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def freshness(stg: DataFrame, as_of_us: int, warn_hours: int = C.FRESHNESS_WARN_HOURS,
-              error_hours: int = C.FRESHNESS_ERROR_HOURS) -> DataFrame:
-    """Q6: hours since the newest event against ``as_of``; warn / error. A
-    feed without events has no newest time and is an error."""
-    newest = F.max("event_timestamp")
-    hours = (F.lit(int(as_of_us)) - newest) / F.lit(3_600_000_000.0)
-    t = stg.agg(newest.alias("newest_event_us"), F.round(hours, 3).alias("hours_since"))
+              error_hours: int = C.FRESHNESS_ERROR_HOURS, feeds: tuple[str, ...] = (C.BATCH_TAG,)) -> DataFrame:
+    """Q6: for each expected feed the hours since its newest event against
+    ``as_of``; warn / error. The expected feeds are a relation of their own,
+    so a feed that brings nothing has no newest time and is an error, however
+    live the others are. Feeds that nobody expects are not judged."""
+    newest = stg.groupBy("_source").agg(F.max("event_timestamp").alias("newest_event_us"))
+    expected = stg.sparkSession.createDataFrame([(f,) for f in feeds], "feed string")
+    hours = (F.lit(int(as_of_us)) - F.col("newest_event_us")) / F.lit(3_600_000_000.0)
+    t = expected.join(newest, F.col("feed") == F.col("_source"), "left") \
+        .select("feed", "newest_event_us", F.round(hours, 3).alias("hours_since"))
     return t.withColumn(
         "status",
         F.when(F.col("hours_since") <= warn_hours, F.lit("pass"))
@@ -301,7 +306,7 @@ def summary(not_null_df: DataFrame, unique_df: DataFrame, accepted_df: DataFrame
         .select("check_name", F.col("failures").cast("bigint").alias("failures"))
     counted = counted.withColumn("status", st(F.col("failures")))
     fresh = fresh_df.select(
-        F.lit("source_freshness").alias("check_name"),
+        F.concat(F.lit("source_freshness:"), "feed").alias("check_name"),
         F.when(F.col("status") == "pass", F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("failures"),
         F.col("status"),
     )

@@ -63,7 +63,7 @@ def channel_scaled(compare: DataFrame) -> DataFrame:
 def trend(daily: DataFrame, n_dates: int = 14) -> DataFrame:
     """A5 + T3 + A9: conversions per model on the last ``n_dates`` dates
     that have data (not calendar days), zero-filled, plus the chart scale
-    (largest value, at least 1).
+    (largest value, at least 1) and the MM/DD label of each date.
 
     One branch: the mart is folded per date (partial + final aggregate),
     the top ``n_dates`` dates are taken (a bounded top-k), and the scale is
@@ -73,7 +73,9 @@ def trend(daily: DataFrame, n_dates: int = 14) -> DataFrame:
                              F.lit(0)).cast("bigint").alias(m) for m in C.MODELS])
            .orderBy(F.col("conversion_date").desc()).limit(n_dates))
     top = F.max(F.greatest(*[F.col(m) for m in C.MODELS])).over(Window.partitionBy(F.lit(1)))
-    return per.withColumn("chart_max", F.greatest(F.lit(1), top).cast("bigint")).orderBy("conversion_date")
+    label = F.concat(F.substring("conversion_date", 5, 2), F.lit("/"), F.substring("conversion_date", 7, 2))
+    return per.withColumn("chart_max", F.greatest(F.lit(1), top).cast("bigint")).withColumn("label", label) \
+        .orderBy("conversion_date")
 
 
 def model_disagreement(credited: DataFrame) -> DataFrame:

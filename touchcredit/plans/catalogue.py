@@ -54,8 +54,12 @@ def pipeline(spark: SparkSession, sf_dir: str, lookback_days: int = C.DEFAULT_LO
 
 # --- staging and journeys --------------------------------------------------------
 
+def _staged(p: Pipeline) -> DataFrame:
+    return p.stg.select(*STG_OUT, F.date_format("event_ts", rp.ISO_MICROS).alias("event_ts"))
+
+
 def q_stg_events(spark, sf_dir):
-    return pipeline(spark, sf_dir).stg.select(*STG_OUT)
+    return _staged(pipeline(spark, sf_dir))
 
 
 def q_stg_param_lookup(spark, sf_dir):
@@ -68,7 +72,7 @@ def q_stg_source_fallback(spark, sf_dir):
 
 def q_stg_batch_window(spark, sf_dir):
     """S1 with a 14-day trailing window up to ``as_of`` (prunes days)."""
-    return pipeline(spark, sf_dir, batch_window_days=14).stg.select(*STG_OUT)
+    return _staged(pipeline(spark, sf_dir, batch_window_days=14))
 
 
 def q_touchpoints(spark, sf_dir):
@@ -90,8 +94,8 @@ def _attribution(model: str, days: int, chunk_us: int | None = None) -> Query:
 
 
 def q_attribution_split_hot_7d(spark, sf_dir):
-    """Both models, 7 days, with hours split into seconds instead of
-    minutes: must equal the plain credit."""
+    """Both models, 7 days, with two levels of chunks, minutes split into
+    seconds: must equal the plain credit."""
     p = pipeline(spark, sf_dir, lookback_days=7)
     return cr.credit(p.touchpoints, p.conversions, p.config.lookback_us, chunk_us=p.config.chunk_us,
                      fine_us=1_000_000).select(*cr.MART_COLUMNS)
@@ -168,9 +172,10 @@ def q_report_bundle(spark, sf_dir):
 
 # --- stream ---------------------------------------------------------------------
 
-def _deliveries(spark, sf_dir) -> DataFrame:
+def _deliveries(spark, sf_dir, feed: str = "all") -> DataFrame:
+    """Every event as a stream delivery, with replays; or the streaming part of the feed split."""
     ensure_utc(spark)
-    return ea.stream_deliveries(ea.load_events(spark, sf_dir))
+    return ea.stream_deliveries(ea.load_events(spark, sf_dir), feed)
 
 
 def _stream_table(spark, sf_dir) -> DataFrame:
@@ -263,6 +268,12 @@ def q_dq_freshness(spark, sf_dir):
     return dq.freshness_staged(dq.staging_profile(pipeline(spark, sf_dir).stg), AS_OF_US)
 
 
+def q_dq_freshness_feeds(spark, sf_dir):
+    """Both feeds of the split, and one that is expected and brings nothing."""
+    stg = pipeline(spark, sf_dir, split_feeds=True).stg
+    return dq.freshness(stg, AS_OF_US, feeds=(C.BATCH_TAG, C.STREAM_TAG, "backfill")).drop("newest_event_us")
+
+
 def q_dq_rowcount_7d(spark, sf_dir):
     return dq.rowcount_vs_trailing(pipeline(spark, sf_dir).with_written_credit().channel_daily, AS_OF)
 
@@ -292,7 +303,7 @@ def q_stream_attribution(spark, sf_dir):
     live credits of the streamed conversions are returned."""
     ensure_utc(spark)
     root = shared_dir(spark, "touchcredit", f"stream_attribution-{uuid.uuid4().hex[:12]}")
-    write_delivery_files(_deliveries(spark, sf_dir), f"{root}/incoming")
+    write_delivery_files(_deliveries(spark, sf_dir, "streaming"), f"{root}/incoming")
     ev = ea.load_events(spark, sf_dir)
     batch_stg = staging.stg_events(ea.raw_batch(ev, "batch"))
     cfg = AttributionConfig(lookback_days=C.DEFAULT_LOOKBACK_DAYS, as_of=AS_OF)
@@ -320,10 +331,10 @@ def queries() -> dict[str, Query]:
     for model in C.MODELS:
         for days in (1, 7, 30):
             out[f"attribution_{model}_{days}d"] = _attribution(model, days)
-    # Same credit with one-minute chunks: exercises the cross-chunk carry on
-    # nearly every conversion; must equal the hourly-chunk result.
-    out["attribution_first_click_7d_fine_chunks"] = _attribution(C.FIRST_CLICK, 7, chunk_us=60_000_000)
-    out["attribution_last_click_7d_fine_chunks"] = _attribution(C.LAST_CLICK, 7, chunk_us=60_000_000)
+    # Same credit with one-second chunks: exercises the cross-chunk carry on
+    # nearly every conversion; must equal the result of the usual chunks.
+    out["attribution_first_click_7d_fine_chunks"] = _attribution(C.FIRST_CLICK, 7, chunk_us=1_000_000)
+    out["attribution_last_click_7d_fine_chunks"] = _attribution(C.LAST_CLICK, 7, chunk_us=1_000_000)
     # ... and with chunks as wide as the lookback: nearly all work in-chunk.
     out["attribution_first_asof_7d"] = _attribution(C.FIRST_CLICK, 7, chunk_us=7 * C.MICROS_PER_DAY)
     out["attribution_last_asof_7d"] = _attribution(C.LAST_CLICK, 7, chunk_us=7 * C.MICROS_PER_DAY)
@@ -361,6 +372,7 @@ def queries() -> dict[str, Query]:
         "dq_orphan_rate_7d": _orphan_rate(7),
         "dq_revenue_conserved": q_dq_revenue_conserved,
         "dq_freshness": q_dq_freshness,
+        "dq_freshness_feeds": q_dq_freshness_feeds,
         "dq_stream_keys": q_dq_stream_keys,
         "dq_rowcount_7d": q_dq_rowcount_7d,
         "dq_summary": q_dq_summary,

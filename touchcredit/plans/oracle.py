@@ -7,7 +7,7 @@ literal join + ``row_number`` form (pairs are fine at test scale).
 
 from __future__ import annotations
 
-from touchcredit.sources.events_adapter import CHANNELS, EVENT_NAMES
+from touchcredit.sources.events_adapter import EVENT_NAMES, acquisition
 
 MICROS_PER_DAY = 86_400_000_000
 
@@ -16,9 +16,9 @@ def _lit(v) -> str:
     return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
 
 
-def _channels_values() -> str:
-    rows = ", ".join(f"({i}, {_lit(s)}, {_lit(m)}, {_lit(c)})" for i, (s, m, c) in enumerate(CHANNELS))
-    return f"ch(idx, source, medium, campaign) AS (VALUES {rows})"
+def _acquired(j: str, alias: str) -> str:
+    """The three acquisition values of ``j`` as columns (the mapping rule is given, not part of what is checked)."""
+    return ", ".join(f"{sql} AS {alias}_{name}" for name, sql in acquisition(j).items())
 
 
 def _event_name_case() -> str:
@@ -32,7 +32,6 @@ def base_ctes(feed: str = "all", window: tuple[str, str] | None = None, hot_user
     feed_pred = {"all": "TRUE", "batch": "event_id % 10 <> 0", "streaming": "event_id % 10 = 0"}[feed]
     win = "TRUE" if window is None else f"event_date BETWEEN '{window[0]}' AND '{window[1]}'"
     return f"""
-{_channels_values()},
 ev AS (
   SELECT event_id, ts, {user} AS user_id, event_type, value,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
@@ -45,15 +44,15 @@ raw AS (
          {_event_name_case()} AS event_name,
          'user_' || CAST(ev.user_id AS VARCHAR) AS user_pseudo_id,
          ev.event_id AS ga_session_id,
-         CASE WHEN ev.k % 2 = 0 THEN p.source END AS p_source,
-         CASE WHEN ev.k % 2 = 0 THEN p.medium END AS p_medium,
-         CASE WHEN ev.k % 2 = 0 THEN p.campaign END AS p_campaign,
-         CASE WHEN ev.k % 10 = 1 THEN NULL ELSE t.source END AS t_source,
-         CASE WHEN ev.k % 10 = 1 THEN NULL ELSE t.medium END AS t_medium,
-         CASE WHEN ev.k % 10 = 1 THEN NULL ELSE t.campaign END AS t_name,
+         CASE WHEN ev.k % 2 = 0 THEN a_source END AS p_source,
+         CASE WHEN ev.k % 2 = 0 THEN a_medium END AS p_medium,
+         CASE WHEN ev.k % 2 = 0 THEN a_campaign END AS p_campaign,
+         CASE WHEN ev.k % 10 = 1 THEN NULL ELSE b_source END AS t_source,
+         CASE WHEN ev.k % 10 = 1 THEN NULL ELSE b_medium END AS t_medium,
+         CASE WHEN ev.k % 10 = 1 THEN NULL ELSE b_campaign END AS t_name,
          CASE WHEN ev.event_type = 'purchase' THEN ev.value END AS purchase_revenue,
          ev.k AS k, ev.event_id AS src_event_id, ev.ts AS ts
-  FROM ev JOIN ch p ON p.idx = ev.k % 6 JOIN ch t ON t.idx = (ev.k // 6) % 6
+  FROM (SELECT *, {_acquired('k', 'a')}, {_acquired('k // 7', 'b')} FROM ev) ev
 ),
 stg AS (
   SELECT event_date, event_timestamp, event_name, user_pseudo_id, ga_session_id,
@@ -133,9 +132,10 @@ STREAM = """s AS (
          coalesce(r.p_source, r.t_source) AS source, coalesce(r.p_medium, r.t_medium) AS medium,
          coalesce(r.p_campaign, r.t_name) AS campaign, r.purchase_revenue,
          r.ts + to_seconds(r.k) AS ingested_ts, r.src_event_id
-  FROM raw r WHERE r.src_event_id % 10 = 0
+  FROM raw r
 )"""
 ISO = "'%Y-%m-%dT%H:%M:%S.%f'"
+STG = f"\nSELECT *, strftime(make_timestamp(event_timestamp), {ISO}) AS event_ts FROM stg"
 DAILY_CTE = "daily AS (" + DAILY + ")"
 
 
@@ -188,10 +188,13 @@ FROM (SELECT round(sum(revenue) FILTER (WHERE attribution_model = 'first_click')
       FROM daily),
      (SELECT (SELECT sum(purchase_revenue) FROM fc) AS uf, (SELECT sum(purchase_revenue) FROM lc) AS ul)"""
 
-FRESH_SQL = f"""SELECT newest_event_us, hours_since,
-       CASE WHEN hours_since > 50 THEN 'error' WHEN hours_since > 26 THEN 'warn' ELSE 'pass' END AS status
-FROM (SELECT max(event_timestamp) AS newest_event_us,
-             round(({AS_OF_US} - max(event_timestamp)) / 3600000000.0, 3) AS hours_since FROM stg)"""
+def fresh_sql(*feeds: str) -> str:
+    listed = ", ".join(f"('{f}')" for f in feeds)
+    return f"""SELECT feed, newest_event_us, hours_since,
+       CASE WHEN hours_since <= 26 THEN 'pass' WHEN hours_since <= 50 THEN 'warn' ELSE 'error' END AS status
+FROM (SELECT feed, max(event_timestamp) AS newest_event_us, round(({AS_OF_US} - max(event_timestamp)) / 3600000000.0, 3) AS hours_since
+      FROM (VALUES {listed}) f(feed) LEFT JOIN stg ON _source = feed GROUP BY feed)"""
+
 
 ROWCOUNT_SQL = """SELECT strftime(cal.d, '%Y%m%d') AS conversion_date,
        CAST(coalesce(pd.n_rows, 0) AS BIGINT) AS n_rows,
@@ -210,11 +213,11 @@ PD_CTE = "pd AS (SELECT CAST(strptime(conversion_date, '%Y%m%d') AS DATE) AS d,
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     b = with_(base_ctes())
-    out["stg_events"] = b + "\nSELECT * FROM stg"
+    out["stg_events"] = b + STG
     out["stg_param_lookup"] = b + """
 SELECT event_timestamp, user_pseudo_id, ga_session_id,
        p_source AS param_source, p_medium AS param_medium, p_campaign AS param_campaign,
-       CAST(CASE WHEN k % 2 <> 0 THEN 1 WHEN p_campaign IS NULL THEN 3 ELSE 4 END AS INTEGER) AS n_params,
+       CAST(1 + (p_source IS NOT NULL)::INT + (p_medium IS NOT NULL)::INT + (p_campaign IS NOT NULL)::INT AS INTEGER) AS n_params,
        FALSE AS has_repeated_key
 FROM raw"""
     out["stg_source_fallback"] = b + """
@@ -226,7 +229,7 @@ SELECT event_timestamp, user_pseudo_id, ga_session_id,
        coalesce(p_campaign, t_name) AS campaign,
        CASE WHEN p_campaign IS NOT NULL THEN 'param' WHEN t_name IS NOT NULL THEN 'traffic' END AS campaign_from
 FROM raw"""
-    out["stg_batch_window"] = with_(base_ctes(window=("20240117", "20240131"))) + "\nSELECT * FROM stg"
+    out["stg_batch_window"] = with_(base_ctes(window=("20240117", "20240131"))) + STG
     out["touchpoints"] = b + "\nSELECT * FROM tp"
     out["conversions"] = b + "\nSELECT * FROM cv"
     for days in (1, 7, 30):
@@ -264,7 +267,8 @@ per AS (SELECT conversion_date,
    CAST(coalesce(sum(conversions) FILTER (WHERE attribution_model = 'first_click'), 0) AS BIGINT) AS first_click,
    CAST(coalesce(sum(conversions) FILTER (WHERE attribution_model = 'last_click'), 0) AS BIGINT) AS last_click
  FROM daily WHERE conversion_date IN (SELECT conversion_date FROM d) GROUP BY 1)
-SELECT *, CAST((SELECT greatest(1, max(greatest(first_click, last_click))) FROM per) AS BIGINT) AS chart_max FROM per"""
+SELECT *, CAST((SELECT greatest(1, max(greatest(first_click, last_click))) FROM per) AS BIGINT) AS chart_max,
+       strftime(strptime(conversion_date, '%Y%m%d'), '%m/%d') AS label FROM per"""
     dis = """SELECT f.conversion_id, f.attributed_channel AS first_channel, l.attributed_channel AS last_channel
 FROM fc f JOIN lc l ON f.conversion_id = l.conversion_id
 WHERE f.attributed_channel <> l.attributed_channel"""
@@ -327,7 +331,9 @@ WHERE NOT EXISTS (SELECT 1 FROM lc m WHERE m.conversion_id = c.conversion_id)"""
         w = with_(base_ctes(), credit_cte("lc", "last_click", days))
         out[f"dq_orphan_rate{suffix}"] = w + "\n" + ORPHAN_RATE_SQL
     out["dq_revenue_conserved"] = c30 + f", {DAILY_CTE}\n" + CONSERVED_SQL
-    out["dq_freshness"] = b + "\n" + FRESH_SQL
+    out["dq_freshness"] = b + "\n" + fresh_sql("batch")
+    out["dq_freshness_feeds"] = b.replace("'batch' AS _source", "CASE WHEN src_event_id % 10 = 0 THEN 'streaming' ELSE 'batch' END AS _source") \
+        + "\nSELECT feed, hours_since, status FROM (" + fresh_sql("batch", "streaming", "backfill") + ")"
     out["dq_stream_keys"] = sb + """
 SELECT CAST(0 AS BIGINT) AS null_keys,
        CAST((SELECT count(*) FROM (SELECT event_id FROM s GROUP BY event_id HAVING count(*) > 1)) AS BIGINT)
@@ -339,7 +345,7 @@ un AS ({_unique_sql()}),
 acc AS ({ACCEPTED_SQL}),
 orr AS ({ORPHAN_RATE_SQL}),
 cons AS ({CONSERVED_SQL}),
-fr AS ({FRESH_SQL}),
+fr AS ({fresh_sql('batch')}),
 rc AS ({ROWCOUNT_SQL}),
 counted AS (
   SELECT 'not_null:' || relation || '.' || column_name AS check_name, failures FROM nn
@@ -356,5 +362,5 @@ counted AS (
 )
 SELECT check_name, failures, CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status FROM counted
 UNION ALL
-SELECT 'source_freshness', CAST(CASE WHEN status = 'pass' THEN 0 ELSE 1 END AS BIGINT), status FROM fr"""
+SELECT 'source_freshness:' || feed, CAST(CASE WHEN status = 'pass' THEN 0 ELSE 1 END AS BIGINT), status FROM fr"""
     return out

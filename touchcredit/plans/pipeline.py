@@ -47,7 +47,7 @@ def driver_inputs(spark: SparkSession, sf_dir: str, split_feeds: bool = False,
     raw = batch_src.restrict_window(raw, as_of, batch_window_days)
     if not split_feeds:
         return Inputs(raw)
-    return Inputs(raw, ingest.dedupe_deliveries(ea.stream_deliveries(ev)))
+    return Inputs(raw, ingest.dedupe_deliveries(ea.stream_deliveries(ev, "streaming")))
 
 
 @dataclass

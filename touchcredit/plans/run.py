@@ -81,13 +81,14 @@ def run_batch(spark: SparkSession, export_path: str, stream_table_path: str | No
     profile = spark.read.parquet(paths["staging_profile"])
     as_of_us = int(_dt.datetime(as_of.year, as_of.month, as_of.day,
                                 tzinfo=_dt.timezone.utc).timestamp()) * 1_000_000
+    feeds = (C.BATCH_TAG, C.STREAM_TAG) if stream is not None else (C.BATCH_TAG,)
     summary = quality.summary(
         quality.not_null_staged(profile).unionByName(quality.not_null_credit(att))
         .unionByName(quality.not_null({"mart_channel_daily": daily})),
         quality.unique({"int_conversions": convs}).unionByName(quality.unique_credit(att)),
         quality.accepted_values_staged(profile, daily),
         quality.orphan_rate(convs, rel["mart_attribution_last_click"]), quality.revenue_conserved(daily, att),
-        quality.freshness_staged(profile, as_of_us), quality.repeated_param_keys(staging.param_lookup(raw)),
+        quality.freshness_staged(profile, as_of_us, feeds), quality.repeated_param_keys(staging.param_lookup(raw)),
         quality.rowcount_vs_trailing(daily, as_of),
     )
     marts.write_mart(summary, paths["dq_summary"])

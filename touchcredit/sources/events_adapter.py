@@ -3,16 +3,18 @@ props) onto the two feeds the pipeline reads.
 
 Pure column expressions over a Parquet scan: no shuffle, and every filter on
 ``ts`` or ``event_id`` is pushed to the scan. The rule, per row, with
-``k`` = the integer in ``props`` and ``CHANNELS`` below:
+``k`` = the integer in ``props``:
 
 * event_date = UTC day of ts 'yyyyMMdd'; event_timestamp = micros of ts (UTC)
 * event_name from event_type (``EVENT_NAMES``); user_pseudo_id = 'user_' || user_id
-* event_params: ga_session_id = event_id; source / medium = CHANNELS[k % 6]
-  only when k is even; campaign likewise, only when that channel has one
-* traffic_source = CHANNELS[floor(k / 6) % 6], all fields NULL when k % 10 = 1
+* acquisition values come from a number j by arithmetic (``acquisition``): the source has 5 values and is absent where
+  j % 4 = 3, the medium has 3 and is absent where j % 5 = 4, the campaign has 2 and is present where j % 3 = 1. So every
+  mixture of present and absent fields occurs (a medium without source, a campaign alone, nothing)
+* event_params: ga_session_id = event_id; when k is even also the values of j = k, those that are present
+* traffic_source = the values of j = floor(k / 7), all NULL when k % 10 = 1
 * ecommerce.purchase_revenue = value on purchases, else NULL
 * feed split: event_id % 10 = 0 goes to the streaming feed, the rest to batch
-* replay: streaming rows with event_id % 20 = 0 are delivered twice in their
+* replay: rows of the stream with event_id % 20 = 0 are delivered twice in their
   own day's file and once more in the next day's file
 * ingested_at = ts + k seconds
 """
@@ -25,15 +27,6 @@ from pyspark.sql import functions as F
 from touchcredit.functions import columns as fc
 
 # --- values of our own mapping ---------------------------------------------
-# (source, medium, campaign), in this order; index = k % 6 or floor(k/6) % 6.
-CHANNELS = [
-    ("harbor-search.example", "organic", None),
-    ("harbor-search.example", "paid", "spring_launch"),
-    ("(direct)", "(none)", None),
-    ("circle.example", "community", "creator_series"),
-    ("digest", "email", "monthly_digest"),
-    ("docs.example", "referral", None),
-]
 # event_type -> event_name ('error' is kept on purpose: it violates the
 # accepted values of the staging relation).
 EVENT_NAMES = {
@@ -61,15 +54,20 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
-def _sql_lit(v) -> str:
-    return "CAST(NULL AS STRING)" if v is None else "'" + str(v).replace("'", "''") + "'"
+def _sql_lit(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+def acquisition(j: str) -> dict[str, str]:
+    """Source, medium and campaign of the number ``j``, as SQL that Spark and the oracle's engine both read."""
+    return {
+        "source": f"CASE WHEN ({j}) % 4 <> 3 THEN concat('origin', ({j}) % 5) END",
+        "medium": f"CASE WHEN ({j}) % 5 <> 4 THEN concat('kind', ({j}) % 3) END",
+        "campaign": f"CASE WHEN ({j}) % 3 = 1 THEN concat('push', ({j}) % 2) END",
+    }
 
 
-# The channel table and the name map as SQL literals, built from the fixed
-# values above (one parse on the JVM instead of many Column round trips).
-_CHANNELS_SQL = "array(" + ", ".join(
-    f"named_struct('source', {_sql_lit(s)}, 'medium', {_sql_lit(m)}, 'campaign', {_sql_lit(c)})"
-    for s, m, c in CHANNELS) + ")"
+# The name map as a SQL literal (one parse on the JVM instead of many Column round trips).
 _EVENT_NAME_SQL = "CASE event_type " + " ".join(
     f"WHEN {_sql_lit(a)} THEN {_sql_lit(b)}" for a, b in EVENT_NAMES.items()) + " END"
 
@@ -80,22 +78,16 @@ def _param_sql(key: str, string_value: str = "CAST(NULL AS STRING)", int_value:
 
 
 _SID = _param_sql("ga_session_id", int_value="event_id")
-_SRC = _param_sql("source", string_value="_pch.source")
-_MED = _param_sql("medium", string_value="_pch.medium")
-_CAMP = _param_sql("campaign", string_value="_pch.campaign")
+_LISTED = ", ".join(f"CASE WHEN _k % 2 = 0 AND _p_{name} IS NOT NULL THEN {_param_sql(name, string_value='_p_' + name)} END"
+                    for name in ("source", "medium", "campaign"))
 _RAW_SQL = [
     "date_format(timestamp_micros(_us), 'yyyyMMdd') AS event_date",
     "_us AS event_timestamp",
     f"{_EVENT_NAME_SQL} AS event_name",
     "concat('user_', CAST(user_id AS STRING)) AS user_pseudo_id",
-    f"""CASE WHEN _k % 2 <> 0 THEN array({_SID})
-             WHEN _pch.campaign IS NULL THEN array({_SID}, {_SRC}, {_MED})
-             ELSE array({_SID}, {_SRC}, {_MED}, {_CAMP}) END AS event_params""",
-    """CASE WHEN _k % 10 = 1
-             THEN named_struct('source', CAST(NULL AS STRING), 'medium', CAST(NULL AS STRING),
-                               'name', CAST(NULL AS STRING))
-             ELSE named_struct('source', _tch.source, 'medium', _tch.medium, 'name', _tch.campaign)
-        END AS traffic_source""",
+    f"array_compact(array({_SID}, {_LISTED})) AS event_params",
+    """named_struct('source', CASE WHEN _k % 10 <> 1 THEN _t_source END, 'medium', CASE WHEN _k % 10 <> 1 THEN _t_medium END,
+                    'name', CASE WHEN _k % 10 <> 1 THEN _t_campaign END) AS traffic_source""",
     "named_struct('purchase_revenue', CASE WHEN event_type = 'purchase' THEN CAST(value AS DOUBLE) END) AS ecommerce",
 ]
 
@@ -133,8 +125,8 @@ def _raw_with(events: DataFrame, feed: str, extra: list[str]) -> DataFrame:
         "unix_micros(CAST(ts AS TIMESTAMP)) AS _us",
     ).selectExpr(
         "*",
-        f"element_at({_CHANNELS_SQL}, _k % 6 + 1) AS _pch",
-        f"element_at({_CHANNELS_SQL}, CAST(floor(_k / 6) AS INT) % 6 + 1) AS _tch",
+        *(f"{sql} AS _p_{name}" for name, sql in acquisition("_k").items()),
+        *(f"{sql} AS _t_{name}" for name, sql in acquisition("_k DIV 7").items()),
     )
     return b.selectExpr(*_RAW_SQL, *extra)
 
@@ -144,15 +136,16 @@ def raw_batch(events: DataFrame, feed: str = "all") -> DataFrame:
     return _raw_with(events, feed, [])
 
 
-def stream_rows(events: DataFrame) -> DataFrame:
-    """The streaming feed as flat rows (one per event, before replay).
+def stream_rows(events: DataFrame, feed: str = "all") -> DataFrame:
+    """Events as flat stream rows (one per event, before replay): all of
+    them, or the ``streaming`` part of the feed split.
 
     Acquisition fields are the values the batch path derives (param, else
     traffic source), so the two feeds together equal the whole table.
     """
     from touchcredit.operators.staging import flatten_batch  # avoid an import cycle
 
-    raw = _raw_with(events, "streaming",
+    raw = _raw_with(events, feed,
                     ["timestamp_micros(_us + CAST(_k AS BIGINT) * 1000000) AS ingested_at"])
     flat = flatten_batch(raw, keep=["ingested_at"])
     out = flat.select(
@@ -163,12 +156,12 @@ def stream_rows(events: DataFrame) -> DataFrame:
     return out
 
 
-def stream_deliveries(events: DataFrame) -> DataFrame:
-    """Every delivery of the streaming feed, with the file (``batch_id``,
+def stream_deliveries(events: DataFrame, feed: str = "all") -> DataFrame:
+    """Every delivery of the stream (of all events, or of the ``streaming`` part), with the file (``batch_id``,
     a day 'yyyyMMdd') it arrives in: each row once in its own day's file,
     rows with event_id % 20 = 0 a second time in the same file and a third
     time in the next day's file. ``copy`` numbers the deliveries 0..2."""
-    rows = stream_rows(events)
+    rows = stream_rows(events, feed)
     replay = (F.col("ga_session_id") % REPLAY_MODULUS) == 0
     copies = F.when(replay, F.array(F.lit(0), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0)))
     d = rows.withColumn("copy", F.explode(copies))
