@@ -30,14 +30,16 @@ def test_orphan_check_credits_last_click_only(spark):
     assert "first_click" not in plan
 
 
-def test_ingest_anti_join_reads_keys_of_touched_days_only(spark, scratch):
+def test_merge_reads_keys_of_its_buckets_only(spark, scratch):
     import os
 
     from touchcredit.sources import events_adapter as ea
     from touchcredit.streaming import ingest
     target = os.path.join(scratch, "t")
-    ingest.merge_batch(ea.stream_deliveries(ea.load_events(spark, SF)).select(*ingest.FLAT_COLUMNS), target)
-    plan = _plan(ingest.existing_keys(spark, target, ["20240105"]))
-    scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
-    assert "PartitionFilters: [isnotnull(event_day" in scan and "20240105" in scan
+    feed = ea.stream_deliveries(ea.load_events(spark, SF)).select(*ingest.FLAT_COLUMNS)
+    ingest.merge_batch(feed, target)
+    few = feed.limit(2).select("event_id")
+    plan = _plan(ingest.key_index(spark, target).seen(few))
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line and "bucket" in line][0]
+    assert "PartitionFilters: [" in scan and "bucket" in scan.split("PartitionFilters")[1]
     assert "ReadSchema: struct<event_id:string>" in scan

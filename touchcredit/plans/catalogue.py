@@ -19,6 +19,7 @@ from touchcredit.config import AttributionConfig
 from touchcredit.functions import columns as fc
 from touchcredit.operators import credit as cr
 from touchcredit.operators import journeys
+from touchcredit.operators import marts as mt
 from touchcredit.operators import quality as dq
 from touchcredit.operators import reports as rp
 from touchcredit.operators import staging
@@ -26,6 +27,7 @@ from touchcredit.plans.pipeline import AS_OF, Pipeline, driver_inputs
 from touchcredit.session import cut_lineage, ensure_utc, shared_dir
 from touchcredit.sources import csv_flat
 from touchcredit.sources import events_adapter as ea
+from touchcredit.sources import published
 from touchcredit.streaming import ingest, live
 from touchcredit.streaming.source import flat_event_stream, write_delivery_files
 
@@ -296,28 +298,59 @@ def q_dq_summary(spark, sf_dir):
     )
 
 
-def q_stream_attribution(spark, sf_dir):
-    """X6 end to end: the streaming feed (with replays) arrives as day files;
-    a Structured Streaming query merges each micro-batch idempotently and
-    credits its conversions at once against both feeds' touchpoints. The
-    live credits of the streamed conversions are returned."""
+def _live_run(spark, sf_dir, feed: str) -> dict[str, str]:
+    """The stream feed (with replays) arrives as day files; a Structured Streaming query merges each micro-batch
+    idempotently, credits it at once against both feeds' touchpoints, logs orphans and brings the daily mart up to
+    date. With ``feed='all'`` every event comes by the stream and the batch tables are empty."""
     ensure_utc(spark)
-    root = shared_dir(spark, "touchcredit", f"stream_attribution-{uuid.uuid4().hex[:12]}")
-    write_delivery_files(_deliveries(spark, sf_dir, "streaming"), f"{root}/incoming")
+    root = shared_dir(spark, "touchcredit", f"live-{uuid.uuid4().hex[:12]}")
+    paths = {k: f"{root}/{k}" for k in ("stream_table", "live_credit", "orphans", "daily")}
+    write_delivery_files(_deliveries(spark, sf_dir, feed), f"{root}/incoming")
     ev = ea.load_events(spark, sf_dir)
-    batch_stg = staging.stg_events(ea.raw_batch(ev, "batch"))
+    batch_stg = staging.stg_events(ea.raw_batch(ev if feed == "streaming" else ev.where(F.lit(False)), "batch"))
     cfg = AttributionConfig(lookback_days=C.DEFAULT_LOOKBACK_DAYS, as_of=AS_OF)
     q = live.start_live_credit(
         flat_event_stream(spark, f"{root}/incoming/batch_id=*/*.parquet", max_files_per_trigger=64),
         journeys.touchpoints(batch_stg), journeys.conversions(batch_stg),
-        f"{root}/stream_table", f"{root}/live_credit", f"{root}/checkpoint", cfg)
+        paths["stream_table"], paths["live_credit"], f"{root}/checkpoint", cfg,
+        **({} if feed == "streaming" else {"orphan_path": paths["orphans"], "daily_path": paths["daily"]}))
     q.awaitTermination()
-    return live.latest_credits(f"{root}/live_credit", spark) \
-        .join(ingest.read_target(spark, f"{root}/stream_table").where(F.col("event_name") == C.CONVERSION_EVENT)
+    return paths
+
+
+def q_stream_attribution(spark, sf_dir):
+    """X6 end to end: the live credits of the streamed conversions (a tenth of the events comes by the stream)."""
+    paths = _live_run(spark, sf_dir, "streaming")
+    return live.latest_credits(paths["live_credit"], spark) \
+        .join(ingest.read_target(spark, paths["stream_table"]).where(F.col("event_name") == C.CONVERSION_EVENT)
               .select(fc.conversion_id().alias("conversion_id")).distinct(), "conversion_id", "left_semi") \
         .select(*cr.MART_COLUMNS)
 
 
+def q_stream_orphans(spark, sf_dir):
+    """Q4 + X6: orphans as the stream's log has them after its last micro-batch; every event comes by the stream."""
+    return live.live_orphans(_live_run(spark, sf_dir, "all")["orphans"], spark)
+
+
+def q_stream_channel_daily(spark, sf_dir):
+    """A1 + X3: the daily mart kept by the stream, touched days only; every event comes by the stream."""
+    return live.live_daily(_live_run(spark, sf_dir, "all")["daily"], spark)
+
+
+def q_mart_published(spark, sf_dir):
+    """The daily mart written from the written credit, published, rebuilt, published again and read back."""
+    ensure_utc(spark)
+    root = shared_dir(spark, "touchcredit", f"published-{uuid.uuid4().hex[:12]}")
+    p = pipeline(spark, sf_dir)
+    published.publish(spark, f"{root}/attribution", lambda path: mt.write_mart(
+        p.credited.select(*cr.MART_COLUMNS), path, partition_by=["attribution_model"]))
+    for _ in range(2):
+        credited = published.read(spark, f"{root}/attribution")
+        published.publish(spark, f"{root}/channel_daily", lambda path, credited=credited: mt.write_mart(
+            mt.channel_daily(credited), path, partition_by=["attribution_model"], sort_within=["conversion_date", "attributed_channel"]))
+    return published.read(spark, f"{root}/channel_daily").select(*mt.DAILY_KEYS, "conversions", "revenue")
+
+
 def queries() -> dict[str, Query]:
 
     out: dict[str, Query] = {
@@ -377,6 +410,9 @@ def queries() -> dict[str, Query]:
         "dq_rowcount_7d": q_dq_rowcount_7d,
         "dq_summary": q_dq_summary,
         "stream_attribution": q_stream_attribution,
+        "stream_orphans": q_stream_orphans,
+        "stream_channel_daily": q_stream_channel_daily,
+        "mart_published": q_mart_published,
     })
     return out
 

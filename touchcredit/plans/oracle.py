@@ -305,6 +305,7 @@ FROM n_in LEFT JOIN n_new ON n_in.batch_id = n_new.batch_id"""
 SELECT {MART} FROM u
 WHERE conversion_id IN (SELECT user_pseudo_id || '-' || CAST(event_timestamp AS VARCHAR) FROM raw
                         WHERE src_event_id % 10 = 0 AND event_name = 'purchase')"""
+    out["stream_channel_daily"] = out["mart_published"] = out["channel_daily"]
     out["stream_lag"] = sb + f"""
 SELECT n_rows, newest_ingested_us, lag_seconds,
        CASE WHEN lag_seconds > 300 THEN 'alert' ELSE 'ok' END AS status
@@ -327,6 +328,8 @@ FROM stg"""
         out[f"dq_orphans{suffix}"] = w + """
 SELECT conversion_id, conversion_date FROM cv c
 WHERE NOT EXISTS (SELECT 1 FROM lc m WHERE m.conversion_id = c.conversion_id)"""
+    # the stream's log has a conversion once
+    out["stream_orphans"] = out["dq_orphans"].replace("SELECT conversion_id, conversion_date FROM cv c", "SELECT conversion_id, conversion_date FROM cvu c")
     for days, suffix in ((30, ""), (7, "_7d")):
         w = with_(base_ctes(), credit_cte("lc", "last_click", days))
         out[f"dq_orphan_rate{suffix}"] = w + "\n" + ORPHAN_RATE_SQL

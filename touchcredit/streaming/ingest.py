@@ -11,11 +11,10 @@ No watermark in front of the merge: it would drop late events, which the
 streaming table accepts, and it would forget keys, which never expire here.
 
 The target is Parquet partitioned by ``event_day``, the UTC day of
-``event_timestamp``, for the readers that need a range of days. The key alone
+``event_timestamp``, for the readers that need some days. The key alone
 decides, so a copy with another or no timestamp is a copy all the same: the
-merge looks for a batch's keys in the whole target, of which it reads the
-``event_id`` column only, and keeps the matches before anything is shuffled
-whenever the batch's keys are small enough to be broadcast.
+merge asks an index of all keys in hash buckets (``keyindex``), of which a batch
+opens the buckets of its own keys.
 """
 
 from __future__ import annotations
@@ -27,6 +26,7 @@ from pyspark.sql import types as T
 
 from touchcredit.functions import columns as fc
 from touchcredit.sources.schemas import STREAM_FLAT
+from touchcredit.streaming.keyindex import KEYS_PER_BUCKET, KeyIndex
 
 TARGET_SCHEMA = T.StructType(list(STREAM_FLAT.fields) + [T.StructField("event_day", T.StringType())])
 FLAT_COLUMNS = [f.name for f in STREAM_FLAT.fields]
@@ -85,31 +85,42 @@ def held_rows(spark: SparkSession, batch: DataFrame, target_path: str) -> DataFr
     """What the target holds for a merged batch's keys, of the days of the
     batch's own copies: every row the batch added, also in an earlier try,
     as the target has it. A copy that the merge skipped does not show."""
-    days = batch.agg(F.min(fc.micros_to_day("event_timestamp")).alias("lo"),
-                     F.max(fc.micros_to_day("event_timestamp")).alias("hi")).first()
+    days = sorted(r[0] for r in batch.select(fc.micros_to_day("event_timestamp")).distinct().collect() if r[0])
     keys = batch.select("event_id").distinct()
-    return (stored(spark, target_path, TARGET_SCHEMA)
-            .where(F.col("event_day").between(F.lit(days["lo"]), F.lit(days["hi"])))
+    return (stored(spark, target_path, TARGET_SCHEMA).where(F.col("event_day").isin(days))
             .join(keys, "event_id", "left_semi").select(*FLAT_COLUMNS))
 
 
-def merge_batch(batch: DataFrame, target_path: str) -> dict:
+def key_index(spark: SparkSession, target_path: str, keys_per_bucket: int = KEYS_PER_BUCKET) -> KeyIndex:
+    """The index of the target's keys, beside it; made or mended here where that is needed."""
+    def rows(days: list[str | None] | None) -> DataFrame:
+        table = stored(spark, target_path, TARGET_SCHEMA)
+        if days is not None:
+            table = table.where(F.col("event_day").isin([d for d in days if d]) | (
+                F.col("event_day").isNull() if None in days else F.lit(False)))
+        return table.select("event_id")
+
+    return KeyIndex(spark, f"{target_path}-keys", rows, keys_per_bucket)
+
+
+def merge_batch(batch: DataFrame, target_path: str, keys_per_bucket: int = KEYS_PER_BUCKET) -> dict:
     """Merge one micro-batch into the target; return the A7 counters.
 
-    Meant for ``foreachBatch``: the batch is persisted for the two counts and
-    the write, then released. Its measured size decides whether its keys are
-    broadcast to the target's key column or both are shuffled."""
+    Meant for ``foreachBatch``: the batch is persisted for the counts and
+    the write, then released."""
     spark = batch.sparkSession
+    index = key_index(spark, target_path, keys_per_bucket)
     batch = batch.select(*FLAT_COLUMNS).persist()
     try:
         n_in = batch.count()
         new = with_event_day(one_per_key(batch))
-        seen = stored(spark, target_path, TARGET_SCHEMA).select("event_id") \
-            .join(batch.select("event_id"), "event_id", "left_semi")
-        new = new.join(seen, "event_id", "left_anti").persist()
-        n_new = new.count()
+        new = new.join(index.seen(batch.select("event_id")), "event_id", "left_anti").persist()
+        days = {r["event_day"]: r["count"] for r in new.groupBy("event_day").count().collect()}
+        n_new = sum(days.values())
         if n_new:
+            index.begin(sorted(days, key=str))
             new.write.mode("append").partitionBy("event_day").parquet(target_path)
+            index.add(new.select("event_id"), n_new)
         new.unpersist()
         return {"n_in": n_in, "n_new": n_new, "n_skipped": n_in - n_new}
     finally:

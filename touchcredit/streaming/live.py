@@ -27,10 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchcredit import config as C
 from touchcredit.config import AttributionConfig
 from touchcredit.functions import columns as fc
 from touchcredit.operators import credit as cr
 from touchcredit.operators import journeys, marts, staging
+from touchcredit.session import cut_lineage
 from touchcredit.streaming import ingest
 
 LIVE_COLUMNS = cr.MART_COLUMNS + ["touchpoint_us"]
@@ -57,15 +59,24 @@ def refresh_marts(batch_raw: DataFrame, stream_table: DataFrame | None, out_dir:
     return paths
 
 
-def _day(us: int) -> str:
-    return (_dt.datetime(1970, 1, 1) + _dt.timedelta(microseconds=int(us))).strftime("%Y%m%d")
+def _spread(days: set[str], before_us: int = 0, after_us: int = 0) -> list[str]:
+    """``days`` and those from ``before_us`` earlier to ``after_us`` later: a set, so that one odd time in a batch adds
+    its own neighbourhood and not all history up to it."""
+    back, ahead = (-(-us // C.MICROS_PER_DAY) for us in (before_us, after_us))
+    out = set()
+    for d in days:
+        day = _dt.date(int(d[:4]), int(d[4:6]), int(d[6:]))
+        for k in range(-back, ahead + 1):
+            try:
+                out.add((day + _dt.timedelta(days=k)).isoformat().replace("-", ""))
+            except OverflowError:  # beyond the calendar
+                pass
+    return sorted(out)
 
 
-def _between(table: DataFrame, time: str, day: str, lo: int, hi: int) -> DataFrame:
-    """Rows of ``time`` (micros) in [lo, hi]; pruned by ``day``, its UTC day, where the table is stored by it."""
-    if day in table.columns:
-        table = table.where(F.col(day).between(_day(lo), _day(hi)))
-    return table.where(F.col(time).between(lo, hi))
+def _of_days(table: DataFrame, time: str, day: str, days: list[str]) -> DataFrame:
+    """Rows whose ``time`` (micros) lies in ``days``; pruned by ``day``, its UTC day, where the table is stored by it."""
+    return table.where((F.col(day) if day in table.columns else fc.micros_to_day(time)).isin(days))
 
 
 def _latest(rows: DataFrame) -> DataFrame:
@@ -83,57 +94,58 @@ def latest_credits(credit_path: str, spark: SparkSession) -> DataFrame:
 
 def credit_micro_batch(spark: SparkSession, batch_rows: DataFrame, touch_table: DataFrame,
                        conv_table: DataFrame, target_path: str, credit_path: str,
-                       config: AttributionConfig, version: int = 0) -> int:
+                       config: AttributionConfig, version: int = 0, orphan_path: str | None = None,
+                       daily_path: str | None = None) -> int:
     """Credit one merged micro-batch; return how many credit rows were appended.
 
     ``batch_rows`` are the target's rows for the batch's keys (``ingest.held_rows``).
     Probes: their conversions, plus every known conversion that their touchpoints
-    can change (same user, conversion time in ``[min(t), max(t) + L]``),
+    can change (same user, on the days from the touchpoint's to a lookback later),
     including earlier orphans. Known conversions come from ``conv_table`` (the
     batch feed; stored by ``conversion_day``) and the stream table;
     touchpoints from ``touch_table`` (stored by ``touch_day``) and the stream
     table. Every read is pruned to the UTC days and the time range, and
     semi-joined to the users involved. Results are appended with a version above those
     of the same days, at least ``version``, stored by the UTC day of the conversion; rows equal to the latest
-    known credit are skipped, so a retried batch appends nothing."""
+    known credit are skipped, so a retried batch appends nothing. With ``orphan_path`` the probes' orphan status is
+    logged (``log_orphans``), with ``daily_path`` the daily mart is brought up to date (``refresh_days``)."""
     L = config.lookback_us
     flat = staging.flatten_stream(batch_rows)
     new_conv = journeys.conversions(flat)
     new_touch = journeys.touchpoints(flat)
-    b = flat.agg(
-        F.min(F.when(F.col("event_name") == "purchase", F.col("event_timestamp"))).alias("c_lo"),
-        F.max(F.when(F.col("event_name") == "purchase", F.col("event_timestamp"))).alias("c_hi"),
-        F.min(F.when(F.col("event_name") == "session_start", F.col("event_timestamp"))).alias("t_lo"),
-        F.max(F.when(F.col("event_name") == "session_start", F.col("event_timestamp"))).alias("t_hi"),
-    ).first()
-    if b["c_lo"] is None and b["t_lo"] is None:
+    kinds = (C.CONVERSION_EVENT, C.TOUCH_EVENT)
+    seen = flat.where(F.col("event_name").isin(*kinds) & F.col("event_timestamp").isNotNull()) \
+        .select("event_name", fc.micros_to_day("event_timestamp").alias("day")).distinct().collect()
+    conv_days, touch_days = ({r["day"] for r in seen if r["event_name"] == kind and len(r["day"]) == 8} for kind in kinds)
+    if not conv_days and not touch_days:
         return 0
     stream = ingest.stored(spark, target_path, ingest.TARGET_SCHEMA)
 
-    def streamed(lo: int, hi: int) -> DataFrame:
-        return staging.flatten_stream(_between(stream, "event_timestamp", "event_day", lo, hi)
-                                      .select(*ingest.FLAT_COLUMNS))
+    def streamed(days: list[str]) -> DataFrame:
+        return staging.flatten_stream(_of_days(stream, "event_timestamp", "event_day", days).select(*ingest.FLAT_COLUMNS))
 
-    probes = new_conv
-    if b["t_lo"] is not None:
-        lo, hi = b["t_lo"], b["t_hi"] + L
+    cols = ["conversion_id", "user_pseudo_id", "conversion_date", "conversion_us", "purchase_revenue"]
+    probes = new_conv.select(*cols)
+    affected = _spread(touch_days, after_us=L)
+    if touch_days:
         users = new_touch.select("user_pseudo_id").distinct()
-        cols = ["conversion_id", "user_pseudo_id", "conversion_date", "conversion_us", "purchase_revenue"]
-        known = (_between(conv_table, "conversion_us", "conversion_day", lo, hi).select(*cols)
-                 .unionByName(journeys.conversions(streamed(lo, hi)).select(*cols))
+        known = (_of_days(conv_table, "conversion_us", "conversion_day", affected).select(*cols)
+                 .unionByName(journeys.conversions(streamed(affected)).select(*cols))
                  .join(users, "user_pseudo_id", "left_semi"))
-        probes = new_conv.select(*cols).unionByName(known.select(*cols))
-    c_lo = min(x for x in (b["c_lo"], b["t_lo"]) if x is not None)
-    c_hi = max(x for x in (b["c_hi"], (b["t_hi"] + L) if b["t_hi"] is not None else None) if x is not None)
+        probes = probes.unionByName(known)
+    probe_days = sorted(conv_days | set(affected))
     users = probes.select("user_pseudo_id").distinct()
     need = ["user_pseudo_id", "ga_session_id", "touchpoint_us", "channel"]
-    touch = (_between(touch_table, "touchpoint_us", "touch_day", c_lo - L, c_hi).select(*need)
-             .unionByName(journeys.touchpoints(streamed(c_lo - L, c_hi)).select(*need))
+    before = _spread(set(probe_days), before_us=L)
+    touch = (_of_days(touch_table, "touchpoint_us", "touch_day", before).select(*need)
+             .unionByName(journeys.touchpoints(streamed(before)).select(*need))
              .join(users, "user_pseudo_id", "left_semi"))
     new = cr.credit(touch, probes, L, chunk_us=config.chunk_us) \
         .select(*LIVE_COLUMNS, fc.micros_to_day("conversion_us").alias("credit_day"))
-    held = ingest.stored(spark, credit_path, CREDIT_SCHEMA) \
-        .where(F.col("credit_day").between(_day(c_lo), _day(c_hi)))
+    if orphan_path:
+        new = cut_lineage(new, "micro_batch_credit")
+        log_orphans(spark, probes, new, orphan_path, probe_days)
+    held = ingest.stored(spark, credit_path, CREDIT_SCHEMA).where(F.col("credit_day").isin(probe_days))
     last = held.agg(F.max("version")).first()[0]
     if last is not None:
         current = _latest(held.join(probes.select("conversion_id").distinct(), "conversion_id", "left_semi"))
@@ -148,12 +160,85 @@ def credit_micro_batch(spark: SparkSession, batch_rows: DataFrame, touch_table:
     if n:
         new.write.mode("append").partitionBy("credit_day").parquet(credit_path)
     new.unpersist()
+    if daily_path:
+        # also when nothing is new: a retry after a crash between both writes
+        refresh_days(spark, credit_path, daily_path, probe_days)
     return n
 
 
+# ---- orphans as the stream goes (Q4 + X6) ----------------------------------------------------------
+
+ORPHAN_SCHEMA = T.StructType([T.StructField(name, kind) for name, kind in (
+    ("conversion_id", T.StringType()), ("conversion_date", T.StringType()), ("conversion_us", T.LongType()),
+    ("orphan", T.BooleanType()), ("version", T.LongType()), ("conversion_day", T.StringType()))])
+
+
+def _last_status(rows: DataFrame) -> DataFrame:
+    best = F.max(F.struct("version", "conversion_date", "conversion_us", "orphan")).alias("_b")
+    return rows.groupBy("conversion_id").agg(best).select(
+        "conversion_id", *[F.col(f"_b.{c}").alias(c) for c in ("conversion_date", "conversion_us", "orphan")])
+
+
+def log_orphans(spark: SparkSession, probes: DataFrame, credited: DataFrame, orphan_path: str, days: list[str]) -> int:
+    """Append how the probes' status changed: a conversion without credit becomes an orphan, and is withdrawn (a row
+    with ``orphan`` false) when a late touchpoint credits it. A status that is as known is skipped, so a retried
+    batch adds nothing. Reads the log of the probes' days only; returns the number of rows added."""
+    given = probes.where("conversion_id is not null").groupBy("conversion_id").agg(
+        F.max("conversion_date").alias("conversion_date"), F.max("conversion_us").alias("conversion_us"))
+    hit = credited.select("conversion_id", F.lit(False).alias("_no")).distinct()
+    now = given.join(hit, "conversion_id", "left").select(
+        *given.columns, F.coalesce("_no", F.lit(True)).alias("orphan"), fc.micros_to_day("conversion_us").alias("conversion_day"))
+    held = ingest.stored(spark, orphan_path, ORPHAN_SCHEMA).where(F.col("conversion_day").isin(days))
+    last = held.agg(F.max("version")).first()[0]
+    old = _last_status(held).select("conversion_id", F.col("orphan").alias("_was"))
+    # never logged and credited: nothing to say
+    changed = now.join(old, "conversion_id", "left").where(F.col("orphan") != F.coalesce("_was", F.lit(False))).drop("_was")
+    changed = changed.withColumn("version", F.lit(0 if last is None else last + 1).cast("bigint")).persist()
+    n = changed.count()
+    if n:
+        changed.write.mode("append").partitionBy("conversion_day").parquet(orphan_path)
+    changed.unpersist()
+    return n
+
+
+def live_orphans(orphan_path: str, spark: SparkSession) -> DataFrame:
+    """conversion_id, conversion_date of the conversions that have no credit as of the last micro-batch."""
+    return _last_status(ingest.stored(spark, orphan_path, ORPHAN_SCHEMA)).where("orphan") \
+        .select("conversion_id", "conversion_date")
+
+
+# ---- the daily mart as the stream goes (A1 + X3) -------------------------------------------------------
+
+DAILY_SCHEMA = T.StructType([T.StructField(name, kind) for name, kind in (
+    ("attribution_model", T.StringType()), ("conversion_date", T.StringType()), ("attributed_channel", T.StringType()),
+    ("conversions", T.LongType()), ("revenue", T.DoubleType()), ("credit_day", T.StringType()))])
+
+
+def refresh_days(spark: SparkSession, credit_path: str, daily_path: str, days: list[str]) -> None:
+    """Rewrite the daily mart's rows of ``days`` (UTC days of conversions) from the latest credits of those days.
+
+    The mart is stored by that day; other days are neither read nor written. The rows of a day come from the credit
+    versions alone (old rows replaced by new ones), never from the mart itself, so a retry gives the same.
+    One day's rows may carry several stated dates; readers fold them (``live_daily``)."""
+    rows = ingest.stored(spark, credit_path, CREDIT_SCHEMA).where(F.col("credit_day").isin(days))
+    best = F.max(F.struct("version", *LIVE_COLUMNS)).alias("_b")
+    latest = rows.groupBy("credit_day", "conversion_id", "attribution_model").agg(best) \
+        .select("credit_day", *[F.col(f"_b.{c}").alias(c) for c in LIVE_COLUMNS])
+    daily = latest.groupBy("credit_day", *marts.DAILY_KEYS).agg(
+        F.count(F.lit(1)).alias("conversions"), F.sum("purchase_revenue").alias("revenue"))
+    daily.select(*[f.name for f in DAILY_SCHEMA]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("credit_day").parquet(daily_path)
+
+
+def live_daily(daily_path: str, spark: SparkSession) -> DataFrame:
+    """The daily mart (A1) as of the last micro-batch."""
+    return ingest.stored(spark, daily_path, DAILY_SCHEMA).groupBy(*marts.DAILY_KEYS).agg(
+        F.sum("conversions").alias("conversions"), F.round(F.sum("revenue"), 2).alias("revenue"))
+
+
 def start_live_credit(source: DataFrame, touch_table: DataFrame, conv_table: DataFrame, target_path: str,
                       credit_path: str, checkpoint_path: str, config: AttributionConfig = AttributionConfig(),
-                      trigger: dict | None = None):
+                      trigger: dict | None = None, orphan_path: str | None = None, daily_path: str | None = None):
     """X1 + X6 in one ``foreachBatch``: merge, then credit the batch (its
     conversions and the known conversions its touchpoints affect). Read the
     result with ``latest_credits``."""
@@ -165,7 +250,8 @@ def start_live_credit(source: DataFrame, touch_table: DataFrame, conv_table: Dat
         try:
             ingest.merge_batch(df, target_path)
             held = ingest.held_rows(spark, df, target_path).persist()
-            credit_micro_batch(spark, held, touch_table, conv_table, target_path, credit_path, config)
+            credit_micro_batch(spark, held, touch_table, conv_table, target_path, credit_path, config,
+                               orphan_path=orphan_path, daily_path=daily_path)
             held.unpersist()
         finally:
             df.unpersist()
