@@ -6,8 +6,11 @@ languages vote for the language. Pairs vote with calibrated probabilities; the s
 times the language's.
 
 The models are fitted in one task on a bounded sample: ``SAMPLE`` labelled documents shared equally by the
-languages, in the order of a hash of their ids, ``TRAIN_BYTES`` of each and one short piece of each.
-Everything else covers all rows and whole texts.
+languages, whole texts and one short piece of each. Everything else covers all rows and whole texts.
+
+Some language always wins, so whether a text is in it at all is judged apart: ``evidence`` is the share of its
+4-byte runs that training texts of the predicted language have, and a text is ``known`` if that is at least
+``FLOOR`` of the median of training texts kept out of the table, less 1 / sqrt(runs) for short ones.
 
 Defined results: text that is null or has no letter is ``und`` with score 0; so is all text if nothing could
 be learned; with one language learned, it has score 1; rows of equal doc_id are judged each; an empty table
@@ -31,10 +34,11 @@ from touchcredit.llm.common import LOWER, fold, mix, slices, table, text_bytes
 DIM = 1 << 13
 PARTS, HELD = 4, 2
 SAMPLE = 1600
-TRAIN_BYTES = 4000
 UNKNOWN = "und"
-#: Below this no language of the learned ones is likelier than another.
-REJECTED_BELOW = 0.25
+#: Bits of a language's table of 4-byte runs; every so manieth training text is kept out of it, to measure.
+RUN_BITS = 18
+KEPT_OUT = 5
+FLOOR = 0.5
 #: Families of common languages by ISO 639-1 code; any other language is a family of its own.
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is af fy lb yi fo",
@@ -67,6 +71,36 @@ def ngrams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, size + np.maximum(size - 1, 0) + np.maximum(size - 2, 0)
 
 
+def runs(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Table place and row of every 4-byte run inside a row."""
+    n = len(raw)
+    low = LOWER[raw].astype(np.uint64)
+    code = np.zeros(n, np.uint64)
+    for k in range(4):
+        code = code << np.uint64(8) | np.concatenate([low[k:], np.zeros(min(k, n), np.uint64)])[:n]
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    on = np.arange(n) + 4 <= offsets[1:][row]
+    return (mix(code[on], 97) & np.uint64((1 << RUN_BITS) - 1)).astype(np.int64), row[on]
+
+
+def known_runs(texts: list[bytes], langs: np.ndarray, names: list[str]) -> tuple[bytes, dict[str, float]]:
+    """Each language's table of runs, packed, and the floor of its evidence."""
+    blob, floors = b"", {}
+    for name in names:
+        own = [t for t, lang in zip(texts, langs.tolist(), strict=True) if lang == name]
+        seen = np.zeros(1 << RUN_BITS, bool)
+        places = [runs(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0] for t in own]
+        for k, at in enumerate(places):
+            if k % KEPT_OUT:
+                seen[at] = True
+        shares = [seen[at].mean() for at in places[::KEPT_OUT] if len(at)]
+        floors[name] = FLOOR * float(np.median(shares)) if len(shares) >= KEPT_OUT else 0.0
+        for at in places:
+            seen[at] = True
+        blob += np.packbits(seen).tobytes()
+    return blob, floors
+
+
 def features(texts: list[bytes]) -> np.ndarray:
     """Dense shares of n-grams, for training."""
     x = np.zeros((len(texts), DIM), np.float32)
@@ -96,7 +130,7 @@ def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
     rng = np.random.default_rng(3)
     texts, langs = [], []
     for t, lang in zip(pdf["text"], pdf["lang"], strict=True):
-        raw = t.encode()[:TRAIN_BYTES]
+        raw = t.encode()
         size = int(rng.integers(12, 120))
         at = int(rng.integers(0, max(1, len(raw) - size)))
         texts += [raw, raw[at : at + size]]
@@ -127,23 +161,27 @@ def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
         out.append({"level": level, "a": a, "b": b, "bias": float(bias), "slope": float(slope)})
         weights.append((w * scale / norm).astype(np.float32))
     blob = np.array(weights, np.float32).reshape(-1, DIM).tobytes()
-    return pd.DataFrame([{"model": json.dumps({"members": members, "tasks": out}), "weights": blob}])
+    table_of_runs, floors = known_runs(texts[::2], langs[::2], names)
+    return pd.DataFrame([{"model": json.dumps({"members": members, "tasks": out, "floors": floors}), "weights": blob, "runs": table_of_runs}])
 
 
 def fit(labelled: DataFrame) -> dict:
-    """The model from rows (doc_id, text, lang): DIM weights for each pair of families and of related languages."""
-    rows = labelled.where(F.col("lang").isNotNull() & has_letter(F.col("text")))
-    langs = [r["lang"] for r in rows.select("lang").distinct().collect()]
-    if not langs:
-        return {"members": {}, "tasks": [], "weights": b""}
-    rows = rows.select("text", "lang", F.xxhash64("doc_id").alias("h"))
-    each = max(1, SAMPLE // len(langs))
-    sample = None
-    for lang in sorted(langs):
-        part = rows.where(F.col("lang") == lang).orderBy("h").limit(each)
-        sample = part if sample is None else sample.unionByName(part)
-    found = sample.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(_fit, "model string, weights binary").collect()[0]
-    return json.loads(found["model"]) | {"weights": bytes(found["weights"])}
+    """The model from rows (doc_id, text, lang): DIM weights for each pair of families and of related languages.
+
+    Two scans: one counts the languages (no text is read), one takes each language's rows whose hash lies under
+    its threshold, about SAMPLE of all. A model has weights for pairs of languages: their number, not the input, bounds it."""
+    rows = labelled.where(F.col("lang").isNotNull())
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    each = max(1, SAMPLE // max(1, len(counts)))
+    limit = F.lit(0).cast("bigint")
+    for lang, n in sorted(counts.items()):
+        limit = F.when(F.col("lang") == lang, F.lit(min(1 << 30, int(each / n * (1 << 30)) + 1)).cast("bigint")).otherwise(limit)
+    h = F.xxhash64("doc_id", "text")
+    sample = rows.where((F.pmod(h, F.lit(1 << 30)) < limit) & has_letter(F.col("text"))).select("text", "lang", h.alias("h"))
+    found = sample.distinct().withColumn("one", F.lit(1)).groupBy("one").applyInPandas(_fit, "model string, weights binary, runs binary").collect()
+    if not found:
+        return {"members": {}, "tasks": [], "weights": b"", "floors": {}, "runs": b""}
+    return json.loads(found[0]["model"]) | {"weights": bytes(found[0]["weights"]), "runs": bytes(found[0]["runs"])}
 
 
 def has_letter(text: Column) -> Column:
@@ -165,7 +203,10 @@ def _predictor(model: dict) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
         w = np.zeros((DIM + 1, max(1, len(tasks))), np.float32)
         if tasks:
             w[:DIM] = np.frombuffer(model["weights"], np.float32).reshape(-1, DIM).T
-        fams = sorted(members)
+        fams, names = sorted(members), sorted(model["floors"])
+        number = {name: k for k, name in enumerate(names)}
+        floor = np.array([*model["floors"].values()] and [model["floors"][x] for x in names] + [2.0])
+        seen = np.unpackbits(np.frombuffer(model["runs"], np.uint8)).reshape(len(names), -1).astype(bool) if names else None
         for batch in batches:
             for piece in slices(batch, "text", 1 << 20):
                 n = piece.num_rows
@@ -190,36 +231,46 @@ def _predictor(model: dict) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                         score[on] = by_family[on, k] * own.max(axis=1)[on]
                 letter = piece.column(2).to_numpy(zero_copy_only=False).astype(bool)
                 lang[~letter], score[~letter] = UNKNOWN, 0.0
+                evidence, known = np.zeros(n), np.zeros(n, bool)
+                if names and len(raw):
+                    of = np.array([number.get(x, len(names)) for x in lang])
+                    at, row = runs(raw, offsets)
+                    on = of[row] < len(names)
+                    total = np.maximum(np.bincount(row, minlength=n), 1)
+                    evidence = np.bincount(row[on], seen[of[row[on]], at[on]], n) / total
+                    known = evidence >= floor[of] - 1 / np.sqrt(total)
+                    known &= letter & (of < len(names))
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array(lang, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
+                    [piece.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(evidence), pa.array(known)],
+                    ["doc_id", "lang_pred", "score", "evidence", "known"])
 
     return run
 
 
 def predict(docs: DataFrame, model: dict) -> DataFrame:
-    """doc_id, lang_pred, score of every row of ``docs`` (doc_id, text)."""
+    """doc_id, lang_pred, score, evidence, known of every row of ``docs`` (doc_id, text)."""
     rows = docs.select(F.col("doc_id").cast("long"), "text", has_letter(F.col("text")).alias("letter"))
-    return rows.mapInArrow(_predictor(model), "doc_id bigint, lang_pred string, score double")
+    return rows.mapInArrow(_predictor(model), "doc_id bigint, lang_pred string, score double, evidence double, known boolean")
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = fold(F.col("doc_id"), PARTS) == HELD
     out = predict(docs, fit(docs.where(~held)))
-    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score", "evidence", "known")
 
 
-def keep_known(docs: DataFrame, model: dict, least: float = REJECTED_BELOW) -> DataFrame:
-    """``docs`` without the rows whose language is not known: ``und``, or a score below ``least``."""
+def keep_known(docs: DataFrame, model: dict) -> DataFrame:
+    """``docs`` without the rows whose language is not known: no letter, or too little evidence of any learned one.
+    Without learned languages no row stays."""
     run = _predictor(model)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def judged(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("boolean")
+    def known(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for text, letter in parts:
             batch = pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(len(text), np.int64)), pa.array(text, pa.string()), pa.array(letter, pa.bool_())], ["doc_id", "text", "letter"])
-            found = [b.select(["lang_pred", "score"]).to_pandas() for b in run(iter([batch]))]
-            yield pd.concat(found, ignore_index=True) if found else pd.DataFrame({"lang_pred": [], "score": []})
+            found = [b.column("known").to_pandas() for b in run(iter([batch]))]
+            yield pd.concat(found, ignore_index=True) if found else pd.Series([], dtype=bool)
 
-    known = docs.withColumn("__p", judged(F.col("text"), has_letter(F.col("text"))))
-    return known.where((F.col("__p.lang_pred") != UNKNOWN) & (F.col("__p.score") >= least)).select(*docs.columns)
+    return docs.where(known(F.col("text"), has_letter(F.col("text"))))

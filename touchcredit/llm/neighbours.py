@@ -12,7 +12,8 @@ The beam's best are ranked again by exact cosine in double precision on the orig
 come in by their smallest ids, of which no more than the wanted number are needed.
 
 Defined results: a vector that is null, empty, zero or holds a null or non-finite component takes no part, nor
-does one of another length than the longest; rows of equal id and vector are one row, and no row of a query's
+does one of another length than the commonest (of equally common ones the longest); lengths however small or large are compared, as
+each vector is scaled by a power of two first, which changes no bit of a cosine; rows of equal id and vector are one row, and no row of a query's
 own id is its neighbour; an empty table gives no rows; extra columns are not read.
 """
 
@@ -38,6 +39,8 @@ SETS = 6
 BLOCK = 2000
 PIVOTS = 1024
 BEAM = 128
+#: Links that a search follows backwards from a node.
+BACK = 64
 ENTRIES = 4
 GROUP = 128
 
@@ -50,8 +53,15 @@ def vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding")
         F.col("id").isNotNull() & F.col("vec").isNotNull() & ~bad & F.exists("vec", lambda x: x != 0))
     # -0.0 and 0.0 are one value
     rows = rows.select("id", F.transform("vec", lambda x: x + F.lit(0.0)).alias("vec"), F.size("vec").alias("n"))
-    longest = rows.agg(F.max("n")).first()[0]
-    return rows.where(F.col("n") == F.lit(longest or 0)).select("id", "vec").distinct()
+    common = rows.groupBy("n").agg(F.count("*").alias("c")).orderBy(F.col("c").desc(), F.col("n").desc()).first()
+    return rows.where(F.col("n") == F.lit(common["n"] if common else 0)).select("id", "vec").distinct()
+
+
+def scaled(vec: Column) -> Column:
+    """``vec`` times a power of two that brings its largest component near 1, so that no product under- or overflows."""
+    largest = F.array_max(F.transform(vec, lambda x: F.abs(x)))
+    power = F.greatest(F.lit(-1000.0), F.least(F.lit(1000.0), -F.floor(F.log2(largest))))
+    return F.transform(vec, lambda x: x * F.pow(F.lit(2.0), power))
 
 
 def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,8 +200,9 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, pivots: list[tuple[int, bytes]],
            own: DataFrame | None = None) -> DataFrame:
     """(q, node, sim): the beam of each query (q, unit). ``own`` (q, node): nodes known to be near a query, as entries."""
-    both = graph.select("u", "w").union(graph.select("w", "u")).toDF("u", "w")
-    links = cut(both.distinct())
+    # of a node that very many hold near, the nearest of them: its list goes to every beam that reaches it
+    back = _top(graph.select(F.col("w").alias("u"), F.col("u").alias("w"), "sim"), "u", [F.col("sim").desc(), F.col("w")], BACK)
+    links = cut(graph.select("u", "w").union(back.select("u", "w")).distinct())
     units = nodes.select("node", F.col("unit").alias("b"))
     asked = queries.select("q", F.col("unit").alias("a"))
 
@@ -232,7 +243,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = NEAREST) -> DataFrame:
         empty = rows.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score"))
         return empty.where(F.lit(False))
     beam = cut(search(once, nodes, graph, pivots, once.select("q", F.col("q").alias("node"))))
-    left, right = classes.toDF("va", "q"), classes.toDF("vb", "node")
+    exact = classes.select(scaled(F.col("vec")).alias("vec"), "node")
+    left, right = exact.toDF("va", "q"), exact.toDF("vb", "node")
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     score = dot("va", "vb") / (F.sqrt(dot("va", "va")) * F.sqrt(dot("vb", "vb")))
     scored = beam.join(left, "q").join(right, "node").select("q", "node", score.alias("score"))

@@ -8,9 +8,9 @@ do. The gains of its windows, calibrated by logistic regression, give the docume
 Only some words of a toxic document are toxic. The toxic dictionary is trained on snippets around words that
 documents labelled 1 have far more often than those labelled 0, counted once for each group of near copies.
 
-Training takes a bounded sample of labelled rows (``SAMPLE`` documents of each label, in the order of a hash of
-their ids, ``TRAIN_CHARS`` characters of each at most) in one task; everything else covers all rows and whole
-texts. Scores take texts alone.
+Training takes a bounded sample of labelled rows in one task: ``SAMPLE`` ids of each label at most, chosen by a hash
+from the labels alone, before any text is read; those few ids are sent to the scan of documents, so
+no other text moves. Their texts are taken whole. Everything else covers all rows. Scores take texts alone.
 
 Defined results: null and empty text are scored as a text without gains; rows of equal doc_id are scored each;
 a label null or other than 0 and 1 is not learned from; with labels of one kind only, or none, every document
@@ -35,15 +35,14 @@ from touchcredit.llm.common import fold, table
 from touchcredit.llm.minhash import shingle_sets
 
 SAMPLE = 4000
-TRAIN_CHARS = 20_000
 WINDOW, STRIDE = 64, 48
 LEVEL = 6
 TOXIC_BYTES, ORDINARY_BYTES = 2048, 32768
 MARGIN = 1
 SNIPPETS = 20_000
-#: A word stands out if its share of toxic documents lies so many standard deviations above chance and is LEAST or more.
+#: A word stands out if at least so many toxic documents have it, and their share lies so many standard deviations above chance.
+FEWEST = 3
 CONTRAST = 6.0
-LEAST = 0.02
 THRESHOLD = 0.7
 
 
@@ -98,13 +97,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-2)
 def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
     """One row: dictionaries and calibration, from the sampled rows (text, label, share of its label)."""
     pdf = pdf.sort_values(["h", "text"], kind="stable")
-    texts = [t[:TRAIN_CHARS].lower().encode() for t in pdf["text"]]
+    texts = [t.lower().encode() for t in pdf["text"]]
     label = pdf["label"].to_numpy()
     weight = pdf["weight"].to_numpy()
     rate = float(np.average(label, weights=weight)) if len(label) else 0.0
     if len(set(label.tolist())) < 2:
         return pd.DataFrame([{"toxic": b"", "ordinary": b"", "model": json.dumps({"rate": rate})}])
-    rows, h = shingle_sets(pa.array([t[:TRAIN_CHARS] for t in pdf["text"]]))
+    rows, h = shingle_sets(pa.array(pdf["text"].tolist(), pa.string()))
     first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]])) if len(h) else []
     _, lone = np.unique(h[first], return_index=True)
     own = sorted(rows[first][lone].tolist()) if len(h) else []
@@ -116,7 +115,7 @@ def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
     total, toxic_words = max(1, sum(n)), set()
     for word, a in seen[1].items():
         e = (a + seen[0][word]) / total * n[1]
-        if a >= max(3, LEAST * n[1]) and (a - e) / np.sqrt(max(1e-9, e * (1 - n[1] / total))) >= CONTRAST:
+        if a >= FEWEST and (a - e) / np.sqrt(max(1e-9, e * (1 - n[1] / total))) >= CONTRAST:
             toxic_words.add(word)
     rng = np.random.default_rng(1)
     toxic, ordinary = [], []
@@ -138,15 +137,28 @@ def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([{"toxic": toxic, "ordinary": ordinary, "model": json.dumps(model)}])
 
 
-def fit(labelled: DataFrame) -> dict:
-    """The model from rows (doc_id, text, label); a few KB, whatever the input."""
-    rows = labelled.where(F.col("label").isin(0, 1) & F.col("text").isNotNull())
-    rows = rows.select("text", F.col("label").cast("int").alias("label"), F.xxhash64("doc_id").alias("h"))
-    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    parts = [rows.where(F.col("label") == k).orderBy("h").limit(SAMPLE).withColumn("weight", F.lit(max(1.0, counts.get(k, 0) / SAMPLE)))
-             for k in (0, 1)]
-    sample = parts[0].unionByName(parts[1])
-    found = sample.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(_fit, "toxic binary, ordinary binary, model string").collect()
+def choose(labels: DataFrame, counts: dict[int, int], sample: int = SAMPLE) -> DataFrame:
+    """doc_id, label, weight, h: ``sample`` ids of each label at most. A threshold on the ids' hash, set from the
+    counts, leaves little more than the sample before it is ordered."""
+    h = F.xxhash64("doc_id")
+    parts = []
+    for k in (0, 1):
+        share = min(1.0, 1.2 * sample / max(1, counts.get(k, 0)) + 1e-9)
+        few = labels.where((F.col("label") == k) & (F.pmod(h, F.lit(1 << 30)) < int(share * (1 << 30)) + 1))
+        parts.append(few.select("doc_id", "label", F.lit(max(1.0, counts.get(k, 0) / sample)).alias("weight"), h.alias("h"))
+                     .orderBy("h").limit(sample))
+    return parts[0].unionByName(parts[1])
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
+    """The model from documents (doc_id, text) and labels (doc_id, label: one row an id); a few KB, whatever the input."""
+    labels = labels.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col("label").cast("int").alias("label"))
+    counts = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    # at most two samples of ids: that bound, not the input, sizes what is broadcast
+    chosen = F.broadcast(choose(labels, counts, sample))
+    rows = docs.where("text is not null").join(chosen, "doc_id").groupBy("doc_id", "label", "weight", "h").agg(F.min("text").alias("text"))
+    rows = rows.select("text", "label", "weight", "h", F.lit(1).alias("one"))
+    found = rows.groupBy("one").applyInPandas(_fit, "toxic binary, ordinary binary, model string").collect()
     if not found:
         return {"toxic": b"", "ordinary": b"", "rate": 0.0}
     return json.loads(found[0]["model"]) | {"toxic": bytes(found[0]["toxic"]), "ordinary": bytes(found[0]["ordinary"])}
@@ -175,6 +187,6 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("label"))
     learn = labels.where(fold(F.col("doc_id"), 3) != 1)
-    out = score(docs, fit(docs.join(learn, "doc_id")))
+    out = score(docs, fit(docs, learn))
     return out.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
                       (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
