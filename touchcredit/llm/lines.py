@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,9 +31,12 @@ MIN_CHARS = 1
 MIN_DOCS = 10
 FILTER_BYTES = 4 << 20
 SEGMENT_BYTES = 1 << 16
+#: A key is sent to the rows, not shuffled with them, if more than one in so many pairs of line and document is its.
+COMMON = 1000
 PROBES = 4
 STRIP = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_LOWER = str.maketrans(UPPER, LOWER)
 
 
 def line_key(line: Column) -> Column:
@@ -133,8 +137,30 @@ def frequent_keys(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MI
     maybe = cut(suspected(document_keys(docs, min_chars), n_bytes).select("doc_id", "key"))
     # distinct pairs first, then counts: both combine before the shuffle, so one very common line is no hot group
     pairs = maybe.groupBy("key", "doc_id").agg(F.lit(1).alias("one"))
-    often = pairs.groupBy("key").agg(F.sum("one").alias("n")).where(F.col("n") >= min_docs).select("key")
-    return maybe.join(often, "key", "left_semi").select("doc_id", "key").distinct()
+    often = cut(pairs.groupBy("key").agg(F.sum("one").alias("n")).where(F.col("n") >= min_docs))
+    # going back to the documents, a very common line would be: those with more than a share of all pairs are fewer
+    # than its inverse, whatever the input, and are sent to the rows; all others meet theirs in a shuffle
+    total = often.agg(F.sum("n")).first()[0] or 0
+    common = F.col("n") * COMMON > total
+    hot, rest = (F.broadcast(often.where(common).select("key")), often.where(~common).select("key"))
+    found = maybe.join(hot, "key", "left_semi").unionByName(
+        maybe.join(hot, "key", "left_anti").join(rest, "key", "left_semi"))
+    return found.select("doc_id", "key").distinct()
+
+
+def _without(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:
+    """The lines of each text whose key is not among its drops, and the number of the others; one look-up a line."""
+    left, dropped = [], []
+    for text, drop in zip(texts, drops, strict=True):
+        if drop is None:
+            left.append(None)
+            dropped.append(0)
+            continue
+        lines, gone = (text or "").split("\n"), set(drop)
+        kept = [x for x in lines if x.strip(STRIP).translate(_LOWER) not in gone]
+        left.append("\n".join(kept))
+        dropped.append(len(lines) - len(kept))
+    return pd.DataFrame({"left": left, "dropped": dropped})
 
 
 def drop_frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS,
@@ -144,12 +170,13 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: in
              .groupBy(F.col("doc_id").alias("__d")).agg(F.collect_set("key").alias("__drop")))
     rows = docs.drop("kept", "n_lines", "n_dropped")
     joined = rows.join(drops, rows["doc_id"].eqNullSafe(drops["__d"]), "left")
-    given = joined.select(*rows.columns, split_lines(F.col("text")).alias("__lines"), "__drop")
-    left = F.when(F.col("__drop").isNull(), F.col("__lines")).otherwise(
-        F.filter("__lines", lambda x: ~F.array_contains(F.col("__drop"), line_key(x))))
-    kept = given.withColumn("__left", left)
-    return kept.select(*rows.columns, F.array_join("__left", "\n").alias("kept"), F.size("__lines").alias("n_lines"),
-                       (F.size("__lines") - F.size("__left")).alias("n_dropped"))
+    text = F.coalesce("text", F.lit(""))
+    # texts that lose nothing do not go to Python
+    without = F.pandas_udf(_without, "left string, dropped int")
+    cleaned = joined.withColumn("__c", without(F.when(F.col("__drop").isNotNull(), text), F.col("__drop")))
+    return cleaned.select(*rows.columns, F.coalesce("__c.left", text).alias("kept"),
+                          (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).alias("n_lines"),
+                          F.col("__c.dropped").alias("n_dropped"))
 
 
 def first_occurrences(docs: DataFrame, min_chars: int = MIN_CHARS, n_bytes: int = FILTER_BYTES) -> DataFrame:
