@@ -19,8 +19,8 @@ Plan (no shuffle carries pairs):
    is windowed by key in chunk order: the carry is the best payload of all earlier chunks
    (backward) or of all later chunks (forward). One row per active
    ``(key, chunk)``, so a key's history is never gathered in one task.
-   With minutes a key has at most 1,440 summary rows a day of history, however many points it has. Where a finer width is
-   given too, chunks have two widths: rows are windowed by the fine one, summaries within the coarse one, and
+   With minutes a key has at most 1,440 summary rows a day of history, however many points it has. Where chunks are
+   wider (they are split into minutes) or a finer width is given, chunks have two widths: rows are windowed by the fine one, summaries within the coarse one, and
    the sums of those by key; so a burst inside one chunk is split without a list of hot keys.
 3. Probes meet their carry with an equi-join on ``(key, chunk)``; the
    summary side is unique per key, so the join cannot fan out.
@@ -37,6 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+MINUTE_US = 60_000_000
 _KEY, _T, _CH, _M, _P = "_k", "_t", "_chunk", "_m", "_p"
 
 
@@ -56,9 +57,10 @@ def _chunk(t: Column, chunk_us: int) -> Column:
 
 
 def fine_width(chunk_us: int, fine_us: int | None = None) -> int:
-    """Width of the chunks that windows run over: ``chunk_us`` unless a finer one is given."""
+    """Width of the chunks that windows run over. Unless given, it is a minute for chunks that are some minutes
+    wide, and the chunk itself otherwise."""
     if fine_us is None:
-        return chunk_us
+        return MINUTE_US if chunk_us > MINUTE_US and chunk_us % MINUTE_US == 0 else chunk_us
     if chunk_us % int(fine_us):
         raise ValueError("chunk_us must be a multiple of fine_us")
     return int(fine_us)
