@@ -1,17 +1,21 @@
 """Benchmark decontamination by SimHash of item-sized windows. DataFrame functions only.
 
-An item of n words is compared with windows of n words. Each side is its five-word shingles with their counts
+An item of n shingles is compared with windows of n shingles. Each side is its five-word shingles with their counts
 (weights). A 64-bit SimHash stands for it; fingerprints are cut into RADIUS + 1 blocks, and two fingerprints
 that differ in at most RADIUS bits share a block, so that joining on blocks finds all of them. Pairs
 within the radius are checked exactly: sum of smaller counts over sum of larger ones, ``SIMILARITY`` or more.
 A document with fewer shingles than the item is its own, only window: the whole of it is compared, exactly and
 without fingerprints, so an item that lost words at either end is found as well.
 
-A window needs a fingerprint only if it can reach that similarity: of the item's n - 4 shingles it must hold
-``SIMILARITY`` or more, so windows are taken where that many places have a shingle of the item. That is
-counted from places where documents and items share a shingle, and loses no window. For a pair just at 0.8
+A window needs a fingerprint only if it can reach that similarity with an item: then so many of its places have a
+shingle of that item. These places are counted from where documents and items share a shingle, which loses no
+window, and the window meets only the items it was taken for in the join on blocks. For a pair just at 0.8
 the fingerprints differ in 10 bits on average; more than RADIUS is over 4 standard deviations away.
 
+Windows overlap, so nothing is spread over the n windows a place lies in: a count over a window is the difference of
+two running sums over places, for the places of an item, for the bits of the SimHash, and for the exact check (the
+occurrence of a shingle that an item has c times counts in those windows that hold fewer than c earlier ones).
+
 Words are runs of letters and digits, lower-cased. Defined results: null and empty texts match nothing; an
 item of fewer than five words has its whole sequence as its shingle; repeated items and documents give one row;
 rows of equal doc_id are one document with several texts; a null doc_id stays null; an empty table gives no
@@ -20,7 +24,7 @@ rows; extra columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchcredit.llm.common import cut, table
@@ -29,8 +33,6 @@ WORDS = 5
 SIMILARITY = 0.8
 BITS = 64
 RADIUS = 23
-#: Rows (24 bytes each) up to which the benchmark's shingles are sent to all tasks; beyond, both sides are shuffled.
-BROADCAST_ROWS = 2_000_000
 
 
 def text_words(text: Column) -> Column:
@@ -44,15 +46,51 @@ def shingles(words: Column, width: int) -> Column:
     return F.transform(at, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(width)]))
 
 
-def simhash(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """keys and fp: the SimHash of each group's column ``h``, each row of weight 1."""
-    bits = [F.sum(F.shiftrightunsigned("h", b).bitwiseAND(F.lit(1))).alias(f"b{b}") for b in range(BITS)]
-    sums = rows.groupBy(*keys).agg(F.count("*").alias("w"), *bits)
+def bit(b: int) -> Column:
+    return F.shiftrightunsigned("h", b).bitwiseAND(F.lit(1))
+
+
+def packed(count: str) -> Column:
+    """The SimHash from the columns b0 to b63, how many of ``count`` hashes have each bit."""
     fp = F.lit(0).cast("long")
     for b in range(BITS):
-        fp = fp.bitwiseOR(F.when(2 * F.col(f"b{b}") > F.col("w"), F.shiftleft(F.lit(1).cast("long"), b))
+        fp = fp.bitwiseOR(F.when(2 * F.col(f"b{b}") > F.col(count), F.shiftleft(F.lit(1).cast("long"), b))
                           .otherwise(F.lit(0).cast("long")))
-    return sums.select(*keys, fp.alias("fp"))
+    return fp
+
+
+def simhash(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """keys and fp: the SimHash of each group's column ``h``, each row of weight 1."""
+    sums = rows.groupBy(*keys).agg(F.count("*").alias("w"), *[F.sum(bit(b)).alias(f"b{b}") for b in range(BITS)])
+    return sums.select(*keys, packed("w").alias("fp"))
+
+
+def window_simhash(places: DataFrame, windows: DataFrame) -> DataFrame:
+    """doc_id, tid, n, start, fp of each of ``windows`` (doc_id, tid, n, start) over ``places`` (doc_id, tid, p, h): the
+    running sums at its last place less those before its first."""
+    ends = windows.select("doc_id", "tid", F.lit(None).cast("long").alias("h"), "n", "start", F.explode(F.array(
+        F.struct((F.col("start") + F.col("n") - 1).alias("p"), F.lit(1).alias("sign")),
+        F.struct((F.col("start") - 1).alias("p"), F.lit(-1).alias("sign")))).alias("e"))
+    ends = ends.select("doc_id", "tid", "e.p", "h", "n", "start", "e.sign")
+    rows = places.select("doc_id", "tid", "p", "h", *[F.lit(None).cast("int").alias(c) for c in ("n", "start", "sign")])
+    by_place = Window.partitionBy("doc_id", "tid").orderBy("p")  # rows of one place are peers
+    sums = rows.unionByName(ends).select(
+        "doc_id", "tid", "n", "start", "sign", *[F.sum(bit(b)).over(by_place).alias(f"b{b}") for b in range(BITS)])
+    sums = sums.where("sign is not null").groupBy("doc_id", "tid", "n", "start").agg(
+        *[F.sum(F.col("sign") * F.coalesce(F.col(f"b{b}"), F.lit(0))).alias(f"b{b}") for b in range(BITS)])
+    return sums.select("doc_id", "tid", "n", "start", packed("n").alias("fp"))
+
+
+def covered(spans: DataFrame, keys: list[str], least: Column) -> DataFrame:
+    """keys, start, count: the starts that ``least`` or more of the ``spans`` (keys, first, last) of a group hold."""
+    steps = spans.select(*keys, F.explode(F.array(
+        F.struct(F.col("first").alias("at"), F.lit(1).alias("step")),
+        F.struct((F.col("last") + 1).alias("at"), F.lit(-1).alias("step")))).alias("s"))
+    steps = steps.groupBy(*keys, F.col("s.at").alias("at")).agg(F.sum("s.step").alias("step"))
+    in_order = Window.partitionBy(*keys).orderBy("at")
+    runs = steps.select(*keys, "at", F.sum("step").over(in_order).alias("count"), F.lead("at").over(in_order).alias("end"))
+    runs = runs.where((F.col("count") >= least) & F.col("end").isNotNull())
+    return runs.select(*keys, F.explode(F.sequence(F.col("at"), F.col("end") - 1)).alias("start"), "count")
 
 
 def blocks(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -69,53 +107,60 @@ def _of_width(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
     items = items.where(F.col("width") == width).select("key", "n", F.posexplode("s").alias("place", "h"))
     items = cut(items)
     counts = items.groupBy("key", "n", "h").agg(F.count("*").alias("ci"))
-    known = counts.select("key", "n", F.col("h").alias("ih"))
-    if known.count() <= BROADCAST_ROWS:
-        known = F.broadcast(known)
+    counts = cut(counts)
+    known = counts.select("key", "n", F.col("h").alias("ih"), "ci")
     said = docs.withColumn("m", F.size("words") - (width - 1))
     said = said.select("doc_id", "tid", "m", F.posexplode(shingles(F.col("words"), width)).alias("p", "h"))
-    need = F.ceil(F.col("n") * F.lit(SIMILARITY) - F.lit(1e-9))
+    # the least common weight at which a window of n, or a whole document of m shingles, is similar enough
+    need = F.ceil(F.col("n") * F.lit(2 * SIMILARITY / (1 + SIMILARITY)) - F.lit(1e-6))
     whole = F.col("m") < F.col("n")
-    said = said.join(known, F.col("h") == F.col("ih")).where(~whole | (F.col("m") >= need))
-    said = cut(said.select("doc_id", "tid", "m", "key", "n", "p", F.when(whole, F.col("h")).alias("h")))
+    enough = F.when(whole, F.col("m") >= F.ceil(F.col("n") * F.lit(SIMILARITY) - F.lit(1e-6))).otherwise(F.lit(True))
+    said = said.join(known, F.col("h") == F.col("ih")).where(enough)
+    said = cut(said.select("doc_id", "tid", "m", "key", "n", "p", "h", "ci").distinct())  # rows of equal id and text are one
 
     # whole documents with fewer shingles than the item
-    short = said.where(whole).distinct().groupBy("doc_id", "tid", "m", "key", "n", "h").agg(F.count("*").alias("cw"))
-    short = short.join(counts.drop("n"), ["key", "h"])
+    short = said.where(whole).groupBy("doc_id", "tid", "m", "key", "n", "h", "ci").agg(F.count("*").alias("cw"))
     short = short.groupBy("doc_id", "tid", "m", "key", "n").agg(F.sum(F.least("cw", "ci")).alias("common"))
     short = short.withColumn("similarity", F.col("common") / (F.col("n") + F.col("m") - F.col("common")))
     short = short.where(F.col("similarity") >= SIMILARITY).select(
         "doc_id", "tid", "key", F.lit(0).alias("start"), "similarity", F.lit(None).cast("int").alias("distance"))
-    hits = said.where(~whole).drop("m", "h")
 
     # windows that hold enough places with a shingle of the item
-    pairs = (hits.groupBy("doc_id", "tid", "key", "n").agg(F.count("*").alias("places")).where(F.col("places") >= need)
+    pair = ["doc_id", "tid", "m", "key", "n"]
+    hits = said.where(~whole)
+    pairs = (hits.groupBy(*pair).agg(F.count("*").alias("places")).where(F.col("places") >= need)
              .select(F.col("doc_id").alias("d"), F.col("tid").alias("t"), F.col("key").alias("k")))
-    rich = hits.join(pairs, hits["doc_id"].eqNullSafe(pairs["d"]) & (hits["tid"] == pairs["t"]) & (hits["key"] == pairs["k"]), "left_semi")
-    starts = rich.withColumn("start", F.explode(F.sequence(F.greatest(F.col("p") - F.col("n") + 1, F.lit(0)), F.col("p"))))
-    windows = (starts.groupBy("doc_id", "tid", "key", "n", "start").agg(F.count("*").alias("places"))
-               .where(F.col("places") >= need).select("doc_id", "tid", "n", "start").distinct())
-    spots = windows.select(F.col("doc_id").alias("d"), F.col("tid").alias("t"), "n", "start")
-    texts = docs.join(spots.select("d", "t").distinct(), docs["doc_id"].eqNullSafe(F.col("d")) & (docs["tid"] == F.col("t")), "left_semi")
-    texts = texts.groupBy("doc_id", "tid").agg(F.first("words").alias("words")).withColumn("s", shingles(F.col("words"), width)).drop("words")
-    inside = spots.join(texts, texts["doc_id"].eqNullSafe(spots["d"]) & (texts["tid"] == spots["t"]))
-    inside = inside.where(F.col("start") + F.col("n") <= F.size("s"))
-    inside = cut(inside.select("doc_id", "tid", "n", "start", F.explode(F.slice("s", F.col("start") + 1, F.col("n"))).alias("h")))
-
-    keys = ["doc_id", "tid", "n", "start"]
-    ours = cut(simhash(inside, keys))
+    hits = hits.join(pairs, hits["doc_id"].eqNullSafe(pairs["d"]) & (hits["tid"] == pairs["t"]) & (hits["key"] == pairs["k"]), "left_semi")
+    # a place lies in the windows that start from first to last
+    last = F.least(F.col("p"), F.col("m") - F.col("n"))
+    hits = cut(hits.withColumn("first", F.greatest(F.col("p") - F.col("n") + 1, F.lit(0))).withColumn("last", last))
+    windows = cut(covered(hits, pair, need).select("doc_id", "tid", "key", "n", "start"))
+    spots = windows.select("doc_id", "tid", "n", "start").distinct()
+
+    asked = windows.select(F.col("doc_id").alias("d"), F.col("tid").alias("t")).distinct()
+    texts = docs.join(asked, docs["doc_id"].eqNullSafe(F.col("d")) & (docs["tid"] == F.col("t")), "left_semi")
+    places = texts.select("doc_id", "tid", F.posexplode(shingles(F.col("words"), width)).alias("p", "h")).distinct()
+    ours = window_simhash(places, spots)
+    same = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in ("doc_id", "tid", "n", "start")]
+    ours = windows.alias("x").join(ours.alias("y"), same[0] & same[1] & same[2] & same[3]).select("x.*", "y.fp")
     theirs = simhash(items, ["key", "n"])
     a = blocks(ours)
-    b = blocks(theirs.withColumnRenamed("fp", "ifp").withColumn("fp", F.col("ifp"))).drop("fp")
-    near = a.join(b, ["n", "block", "value"]).withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))))
-    near = cut(near.where(F.col("distance") <= RADIUS).select(*keys, "key", "distance").distinct())
-
-    weights = inside.groupBy(*keys, "h").agg(F.count("*").alias("cw"))
-    same = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in keys]
-    both = (near.alias("x").join(weights.alias("y"), same[0] & same[1] & same[2] & same[3])
-            .select("x.*", "y.h", "y.cw").join(counts.drop("n"), ["key", "h"]))
-    found = both.groupBy(*keys, "key", "distance").agg(F.sum(F.least("cw", "ci")).alias("common"))
-    found = found.withColumn("similarity", F.col("common") / (2 * F.col("n") - F.col("common")))
+    b = blocks(theirs.withColumnRenamed("fp", "ifp").withColumn("fp", F.col("ifp"))).drop("fp", "n")
+    near = a.join(b, ["key", "block", "value"]).withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))))
+    near = cut(near.where(F.col("distance") <= RADIUS).select("doc_id", "tid", "key", "n", "start", "distance").distinct())
+
+    # the exact check: an occurrence counts from behind the ci-th one before it
+    turn = F.row_number().over(Window.partitionBy(*pair, "h").orderBy("p"))
+    turns = cut(hits.withColumn("turn", turn))
+    back = turns.select(F.col("doc_id").alias("d"), F.col("tid").alias("t"), F.col("key").alias("k"), F.col("h").alias("g"),
+                        (F.col("turn") + F.col("ci")).alias("u"), F.col("p").alias("q"))
+    spans = turns.join(back, turns["doc_id"].eqNullSafe(back["d"]) & (turns["tid"] == back["t"]) & (turns["key"] == back["k"])
+                       & (turns["h"] == back["g"]) & (turns["turn"] == back["u"]), "left")
+    spans = spans.withColumn("first", F.greatest(F.col("first"), F.coalesce(F.col("q") + 1, F.lit(0)))).where("first <= last")
+    exact = covered(spans.select(*pair, "first", "last"), pair, need)
+    same = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in ("doc_id", "tid", "key", "start")]
+    found = (near.alias("x").join(exact.alias("y"), same[0] & same[1] & same[2] & same[3])
+             .select("x.*", (F.col("count") / (2 * F.col("x.n") - F.col("count"))).alias("similarity")))
     found = found.where(F.col("similarity") >= SIMILARITY).select("doc_id", "tid", "key", "start", "similarity", "distance")
     return found.unionByName(short)
 
@@ -157,22 +202,24 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 OP3_SQL = r"""
-with d as (select distinct doc_id, text from documents),
-dw as (select doc_id, text, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') w from d),
-iw as (select item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') w from benchmark),
-ds as (select doc_id, text, unnest(range(1, len(w) - 3)) p, w from dw where len(w) >= 5),
-dsh as (select doc_id, text, p, array_to_string(w[p:p + 4], ' ') s from ds),
-ish as (select item_id, len(w) - 4 n, array_to_string(w[p:p + 4], ' ') s, p from (select item_id, w, unnest(range(1, len(w) - 3)) p
-    from iw where len(w) >= 5)),
-ic as (select item_id, n, s, count(*) ci from ish group by all),
-hit as (select distinct doc_id, text, item_id, n, p from dsh join ic using (s)),
-win as (select distinct doc_id, text, item_id, n, unnest(range(greatest(p - n + 1, 1), p + 1)) st from hit),
-len_ as (select doc_id, text, len(w) - 4 m from dw),
-ok as (select win.* from win join len_ using (doc_id, text) where st + n - 1 <= m),
-cw as (select ok.doc_id, ok.text, item_id, n, st, s, count(*) c from ok join dsh on dsh.doc_id = ok.doc_id and dsh.text = ok.text
-    and p between st and st + n - 1 group by all),
-sim as (select doc_id, cw.text, cw.item_id, st, sum(least(c, ci)) / (2 * cw.n - sum(least(c, ci))) similarity
-    from cw join ic on ic.item_id = cw.item_id and ic.s = cw.s group by doc_id, cw.text, cw.item_id, st, cw.n)
+with dw as (select doc_id, text, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') w
+    from (select distinct doc_id, text from documents)),
+iw as (select distinct item_id, w, array_to_string(w, ' ') it, least(len(w), 5) k from (select item_id,
+    list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') w from benchmark) where len(w) > 0),
+ds as (select doc_id, text, k, len(w) - k + 1 m, unnest(range(1, len(w) - k + 2)) p, w
+    from dw, (select distinct k from iw) where len(w) >= k),
+dsh as (select doc_id, text, k, m, p, array_to_string(w[p:p + k - 1], ' ') s from ds),
+ish as (select item_id, it, k, len(w) - k + 1 n, array_to_string(w[p:p + k - 1], ' ') s
+    from (select *, unnest(range(1, len(w) - k + 2)) p from iw)),
+ic as (select item_id, it, k, n, s, count(*) ci from ish group by all),
+hit as (select doc_id, text, item_id, it, k, n, m, p from dsh join ic using (k, s)),
+win as (select distinct doc_id, text, item_id, it, k, n, m, st, least(n, m) size from (
+    select *, unnest(range(greatest(p - n + 1, 1), p + 1)) st from hit where m >= n
+    union all select *, 1 st from hit where m < n) where st + least(n, m) - 1 <= m),
+cw as (select win.*, s, count(*) c from win join dsh on dsh.doc_id is not distinct from win.doc_id and dsh.text = win.text
+    and dsh.k = win.k and dsh.p between st and st + size - 1 group by all),
+sim as (select doc_id, text, item_id, it, st, sum(least(c, ci)) / (n + size - sum(least(c, ci))) similarity
+    from cw join ic using (item_id, it, k, n, s) group by doc_id, text, item_id, it, st, n, size)
 select doc_id, item_id, max(similarity)::double similarity, arg_min(st - 1, (-similarity, st))::int "start"
 from sim where similarity >= 0.8 group by doc_id, item_id
 """
