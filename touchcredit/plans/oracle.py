@@ -319,6 +319,11 @@ FROM stg"""
 SELECT event_date, event_timestamp, event_timestamp / 1000000.0 AS event_ts_seconds, event_name,
        user_pseudo_id, ga_session_id, source, medium, campaign, purchase_revenue
 FROM stg"""
+    out["csv_rejects"] = b + """
+SELECT event_date, CAST(event_timestamp AS VARCHAR) AS event_timestamp, event_name, user_pseudo_id,
+       CAST(ga_session_id AS VARCHAR) AS ga_session_id, 'fields' AS reason
+FROM stg WHERE event_timestamp % 13 = 0"""
+    out["stream_compacted"] = out["stream_dedupe"]
 
     out["dq_not_null"] = c30 + f", {DAILY_CTE}\n" + _not_null_sql()
     out["dq_unique"] = c30 + "\n" + _unique_sql()

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchcredit.functions import columns as fc
 from touchcredit.sources.schemas import CSV_COLUMNS, CSV_FLAT_TEXT  # noqa: F401  (re-exported)
@@ -23,10 +24,44 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CSV_FLAT_TEXT).option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
-def write_csv(flat: DataFrame, path: str) -> None:
-    """Write flat rows as header CSV; NULL becomes empty text."""
-    flat.select(*[F.col(c).cast("string") for c in CSV_COLUMNS]).write.mode("overwrite") \
-        .option("header", True).csv(path)
+def write_csv(flat: DataFrame, path: str, drop: int = 0) -> None:
+    """Write flat rows as header CSV, without the last ``drop`` columns; NULL becomes nothing, empty text a quoted blank."""
+    columns = CSV_COLUMNS[: len(CSV_COLUMNS) - drop]
+    flat.select(*[F.col(c).cast("string") for c in columns]).write.mode("overwrite") \
+        .option("header", True).option("escape", '"').csv(path)
+
+
+#: The whole line of a row whose fields do not fit the schema.
+CORRUPT = "_corrupt_record"
+REJECT_COLUMNS = [*CSV_COLUMNS, "reason", "line"]
+
+
+def read_checked(spark: SparkSession, paths: str | list[str], quoted_newlines: bool = False) -> DataFrame:
+    """Header CSV files as text columns and ``_corrupt_record``, the line of a row with too few or too many fields.
+
+    With ``quoted_newlines`` a quoted field may hold line ends; a file is then one task's, since no split can tell
+    a quoted line end from another. Without it, large files are split."""
+    schema = T.StructType([*CSV_FLAT_TEXT.fields, T.StructField(CORRUPT, T.StringType())])
+    return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
+            .option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", quoted_newlines)
+            .option("columnPruning", False).csv(paths))  # a pruned row would not show that its fields do not fit
+
+
+def split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``read_checked`` -> good rows (text columns), and the reject table: the fields as far as they were
+    read, the reason (``fields``, or the first column that is not the number it should be) and the line.
+
+    Blank numbers are NULL, not rejected; a timestamp has to be there."""
+    def junk(name: str, kind: str):
+        return F.when((F.coalesce(F.col(name), F.lit("")) != "") & F.col(name).try_cast(kind).isNull(), F.lit(name))
+
+    reason = F.coalesce(
+        F.when(F.col(CORRUPT).isNotNull(), F.lit("fields")),
+        F.when(F.coalesce(F.col("event_timestamp"), F.lit("")).try_cast("bigint").isNull(), F.lit("event_timestamp")),
+        junk("ga_session_id", "bigint"), junk("purchase_revenue", "double"))
+    told = rows.withColumn("reason", reason)
+    return (told.where("reason is null").select(*CSV_COLUMNS),
+            told.where("reason is not null").withColumnRenamed(CORRUPT, "line").select(*REJECT_COLUMNS))
 
 
 def to_csv_lines(stg: DataFrame) -> DataFrame:

@@ -19,13 +19,14 @@ opens the buckets of its own keys.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchcredit.functions import columns as fc
 from touchcredit.sources.schemas import STREAM_FLAT
+from touchcredit.streaming import compact
+from touchcredit.streaming.compact import stored
 from touchcredit.streaming.keyindex import KEYS_PER_BUCKET, KeyIndex
 
 TARGET_SCHEMA = T.StructType(list(STREAM_FLAT.fields) + [T.StructField("event_day", T.StringType())])
@@ -71,16 +72,6 @@ def with_event_day(df: DataFrame) -> DataFrame:
     return df.withColumn("event_day", fc.micros_to_day("event_timestamp"))
 
 
-def stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The Parquet table at ``path``; without rows where nothing was written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def held_rows(spark: SparkSession, batch: DataFrame, target_path: str) -> DataFrame:
     """What the target holds for a merged batch's keys, of the days of the
     batch's own copies: every row the batch added, also in an earlier try,
@@ -160,3 +151,8 @@ def start_ingest(source: DataFrame, target_path: str, checkpoint_path: str,
 def read_target(spark: SparkSession, target_path: str) -> DataFrame:
     """The deduplicated streaming table (flat columns); no rows before the first merge."""
     return stored(spark, target_path, TARGET_SCHEMA).select(*FLAT_COLUMNS)
+
+
+def compact_target(spark: SparkSession, target_path: str, **sizes: int) -> dict[str, int]:
+    """Few files a day in place of one a micro-batch, with the merge going on beside it (``compact``)."""
+    return compact.compact(spark, target_path, TARGET_SCHEMA, "event_day", "event_id", **sizes)

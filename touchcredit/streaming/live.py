@@ -33,7 +33,7 @@ from touchcredit.functions import columns as fc
 from touchcredit.operators import credit as cr
 from touchcredit.operators import journeys, marts, staging
 from touchcredit.session import cut_lineage
-from touchcredit.streaming import ingest
+from touchcredit.streaming import compact, ingest
 
 LIVE_COLUMNS = cr.MART_COLUMNS + ["touchpoint_us"]
 CREDIT_SCHEMA = T.StructType([T.StructField(name, kind) for name, kind in (
@@ -166,6 +166,17 @@ def credit_micro_batch(spark: SparkSession, batch_rows: DataFrame, touch_table:
     return n
 
 
+def compact_credits(spark: SparkSession, credit_path: str, **sizes: int) -> dict[str, int]:
+    """Few files a day, and of each (conversion, model) the row of the highest version alone; ``latest_credits``, and
+    the version a later micro-batch goes on from, stay as they are."""
+    def newest(rows: DataFrame) -> DataFrame:
+        best = F.max(F.struct("version", *LIVE_COLUMNS)).alias("_b")
+        return rows.groupBy("credit_day", "conversion_id", "attribution_model").agg(best) \
+            .select("credit_day", "_b.version", *[F.col(f"_b.{c}").alias(c) for c in LIVE_COLUMNS])
+
+    return compact.compact(spark, credit_path, CREDIT_SCHEMA, "credit_day", "conversion_id", keep=newest, **sizes)
+
+
 # ---- orphans as the stream goes (Q4 + X6) ----------------------------------------------------------
 
 ORPHAN_SCHEMA = T.StructType([T.StructField(name, kind) for name, kind in (
