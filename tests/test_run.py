@@ -42,14 +42,15 @@ def test_scale_conf_grows_with_input():
 
 
 def test_run_batch_writes_report_bundle(spark, scratch):
-    import json
     ev = ea.load_events(spark, SF)
     export = os.path.join(scratch, "export")
     batch_src.write_export(ea.raw_batch(ev), export)
     cfg = AttributionConfig(lookback_days=30, as_of=dt.date(2024, 1, 31), batch_window_days=60)
     paths = run_batch(spark, export, None, cfg, os.path.join(scratch, "out"))
-    doc = json.loads(spark.read.text(paths["report_bundle"]).collect()[0].value)
-    assert set(doc["totals"]) == {"first_click", "last_click"} and doc["live_events"] == []
+    rows = read_outputs(spark, paths)["report_bundle"].collect()
+    assert {r.attribution_model for r in rows if r.section == "totals"} == {"first_click", "last_click"}
+    assert "live_events" not in {r.section for r in rows}
+    assert sum(r.section == "channel_daily" for r in rows) == spark.read.parquet(paths["mart_channel_daily"]).count()
 
 
 def test_run_csv_matches_export_pipeline(spark, scratch):

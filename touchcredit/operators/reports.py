@@ -6,7 +6,9 @@ channel); top-k lists are ``orderBy().limit()`` (a bounded take)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchcredit import config as C
@@ -119,37 +121,54 @@ def ordered_daily(daily: DataFrame) -> DataFrame:
     return daily.orderBy("conversion_date", "attribution_model", "attributed_channel")
 
 
-def bundle(totals: DataFrame, breakdown: DataFrame, trend_df: DataFrame, live: DataFrame,
-           generated_at: str, daily_path: str | None = None) -> DataFrame:
-    """One JSON document (one row, column ``json``) shaped like the
-    dashboard's data file: ``totals`` and ``channel_breakdown`` keyed by
-    model (breakdown ordered by revenue, highest first), the trend window,
-    the live panel, and ``generated_at`` (passed in, not read from a clock).
-
-    Every part is bounded by construction (2 models; channels per model; at
-    most 14 dates; at most 20 live events) and folded by a scalar subquery,
-    so no unbounded relation passes through one row. The daily mart, which
-    grows with days x channels, is not embedded: it stays a dataset and the
-    document points at it (``daily_path``)."""
-    tot = totals.agg(F.map_from_entries(F.collect_list(F.struct(
-        "attribution_model", F.struct("conversions", "revenue"))))).scalar()
-    per_model = breakdown.groupBy("attribution_model").agg(
-        F.sort_array(F.collect_list(F.struct(
-            F.coalesce("revenue", F.lit(float("-inf"))).alias("_r"),
-            F.col("attributed_channel"), F.col("conversions"), F.col("revenue"))), asc=False).alias("_rows"))
-    per_model = per_model.select("attribution_model", F.transform("_rows", lambda r: F.struct(
-        r["attributed_channel"].alias("attributed_channel"), r["conversions"].alias("conversions"),
-        r["revenue"].alias("revenue"))).alias("rows"))
-    brk = per_model.agg(F.map_from_entries(F.collect_list(F.struct("attribution_model", "rows")))).scalar()
-    trend_rows = trend_df.agg(F.sort_array(F.collect_list(F.struct(*trend_df.columns)))).scalar()
-    live_rows = live.agg(F.sort_array(F.collect_list(F.struct("ingested_at", *[
-        c for c in live.columns if c != "ingested_at"])), asc=False)).scalar()
-    doc = F.struct(
-        F.lit(generated_at).alias("generated_at"),
-        tot.alias("totals"),
-        brk.alias("channel_breakdown"),
-        trend_rows.alias("trend"),
-        live_rows.alias("live_events"),
-        F.lit(daily_path).cast("string").alias("channel_daily_path"),
-    )
-    return totals.sparkSession.range(1).select(F.to_json(doc).alias("json"))
+#: What orders the lines of a section; a key that a section has no use for is null there.
+LINE_ORDER = ["day", "model", "rank", "name"]
+REPORT_FIELDS = ("generated_at string, attribution_model string, conversion_date string, attributed_channel string, "
+                 "conversions bigint, revenue double, first_click bigint, last_click bigint, chart_max bigint, label string, "
+                 "event_id string, event_name string, user_pseudo_id string, source string, medium string, "
+                 "purchase_revenue double, ingested_at string")
+
+
+def _lines(rows: DataFrame, section: str, **keys: Column) -> DataFrame:
+    """One line of JSON for each row (nulls written), with its section and keys."""
+    kinds = {"day": "string", "model": "string", "rank": "double", "name": "string"}
+    return rows.select(F.lit(section).alias("section"), *[keys.get(k, F.lit(None)).cast(kinds[k]).alias(k) for k in LINE_ORDER],
+                       F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("json"))
+
+
+def report_lines(totals: DataFrame, breakdown: DataFrame, daily: DataFrame, trend_df: DataFrame, live: DataFrame,
+                 generated_at: str) -> DataFrame:
+    """The report as lines of JSON in named sections: ``meta`` (``generated_at``, passed in, not read from a clock),
+    ``totals`` by model, ``channel_breakdown`` by model and falling revenue (NULL last, then channel), ``channel_daily`` in
+    presentation order, ``trend`` by date, ``live_events`` newest first. An empty relation has no lines."""
+    model, channel, day = F.col("attribution_model"), F.col("attributed_channel"), F.col("conversion_date")
+    parts = [
+        _lines(totals.sparkSession.range(1).select(F.lit(generated_at).alias("generated_at")), "meta"),
+        _lines(totals, "totals", model=model),
+        _lines(breakdown, "channel_breakdown", model=model, rank=-F.coalesce("revenue", F.lit(float("-inf"))), name=channel),
+        _lines(daily, "channel_daily", day=day, model=model, name=channel),
+        _lines(trend_df, "trend", day=day),
+        _lines(live, "live_events", rank=-F.unix_micros(F.to_timestamp("ingested_at")), name=F.col("event_id")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def write_report(lines: DataFrame, path: str) -> None:
+    """Write ``report_lines`` as text, a folder for each section. Lines are dealt by range of their order and sorted in each
+    task, so a section's files, by name, hold it in order, however many channels or days it has: no relation is folded
+    into one row or sent through one task. The lines are written to ``<path>-lines`` first, since finding the ranges reads them
+    once more."""
+    lines.write.mode("overwrite").parquet(f"{path}-lines")
+    order = ["section", *LINE_ORDER]
+    # a section that can be null would be sorted again, by itself alone, for the folders
+    (lines.sparkSession.read.schema(lines.schema).parquet(f"{path}-lines")
+     .withColumn("section", F.coalesce("section", F.lit("")))
+     .repartitionByRange(*order).sortWithinPartitions(*order)
+     .select("section", "json")
+     .write.mode("overwrite").partitionBy("section").text(path))
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """The sections of a written report with the fields of their lines; a field that a section lacks is null."""
+    lines = spark.read.text(path).withColumn("section", F.col("section").cast("string"))
+    return lines.select("section", F.from_json("value", REPORT_FIELDS).alias("r")).select("section", "r.*")

@@ -23,8 +23,9 @@ from touchcredit.operators import marts as mt
 from touchcredit.operators import quality as dq
 from touchcredit.operators import reports as rp
 from touchcredit.operators import staging
-from touchcredit.plans.pipeline import AS_OF, Pipeline, driver_inputs
+from touchcredit.plans.pipeline import AS_OF, Inputs, Pipeline, driver_inputs
 from touchcredit.session import cut_lineage, ensure_utc, shared_dir
+from touchcredit.sources import batch as batch_src
 from touchcredit.sources import csv_flat
 from touchcredit.sources import events_adapter as ea
 from touchcredit.sources import published
@@ -77,6 +78,16 @@ def q_stg_batch_window(spark, sf_dir):
     return _staged(pipeline(spark, sf_dir, batch_window_days=14))
 
 
+def q_stg_export_trailing(spark, sf_dir):
+    """Every event written as the day-partitioned nested export, of which the 14 days before the newest one and that
+    one are read back; the days are known only when the query runs."""
+    ensure_utc(spark)
+    path = shared_dir(spark, "touchcredit", f"export-{uuid.uuid4().hex[:12]}")
+    batch_src.write_export(ea.raw_batch(ea.load_events(spark, sf_dir)), path)
+    batch_src.write_days(spark, path)
+    return _staged(Pipeline(Inputs(batch_src.read_trailing(spark, path, 14))))
+
+
 def q_touchpoints(spark, sf_dir):
     return pipeline(spark, sf_dir).touchpoints.select(*TOUCH_OUT)
 
@@ -165,11 +176,15 @@ def q_channel_daily_ordered(spark, sf_dir):
 
 
 def q_report_bundle(spark, sf_dir):
-    """The report document (rows-only check: one JSON row)."""
+    """The report written as a dataset of JSON lines and read back."""
     p = pipeline(spark, sf_dir).with_written_credit()
     live = rp.latest_events(_stream_table(spark, sf_dir), 20)
-    return rp.bundle(rp.model_totals(p.credited), rp.channel_breakdown(p.credited),
-                     rp.trend(p.channel_daily, 14), live, generated_at=AS_OF.isoformat())
+    path = shared_dir(spark, "touchcredit", f"report-{uuid.uuid4().hex[:12]}")
+    rp.write_report(rp.report_lines(rp.model_totals(p.credited), rp.channel_breakdown(p.credited), p.channel_daily,
+                                    rp.trend(p.channel_daily, 14), live, generated_at=AS_OF.isoformat()), path)
+    # counters are absent from some sections: as doubles, a null means the same to every reader of the result
+    return rp.read_report(spark, path).withColumns({c: F.col(c).cast("double") for c in (
+        "conversions", "first_click", "last_click", "chart_max")})
 
 
 # --- stream ---------------------------------------------------------------------
@@ -393,6 +408,7 @@ def queries() -> dict[str, Query]:
         "stg_param_lookup": q_stg_param_lookup,
         "stg_source_fallback": q_stg_source_fallback,
         "stg_batch_window": q_stg_batch_window,
+        "stg_export_trailing": q_stg_export_trailing,
         "touchpoints": q_touchpoints,
         "conversions": q_conversions,
     }

@@ -230,6 +230,8 @@ SELECT event_timestamp, user_pseudo_id, ga_session_id,
        CASE WHEN p_campaign IS NOT NULL THEN 'param' WHEN t_name IS NOT NULL THEN 'traffic' END AS campaign_from
 FROM raw"""
     out["stg_batch_window"] = with_(base_ctes(window=("20240117", "20240131"))) + STG
+    out["stg_export_trailing"] = out["stg_events"] + """
+WHERE event_date >= strftime(CAST(strptime((SELECT max(event_date) FROM stg), '%Y%m%d') AS DATE) - 14, '%Y%m%d')"""
     out["touchpoints"] = b + "\nSELECT * FROM tp"
     out["conversions"] = b + "\nSELECT * FROM cv"
     for days in (1, 7, 30):
@@ -325,6 +327,13 @@ SELECT event_date, CAST(event_timestamp AS VARCHAR) AS event_timestamp, event_na
 FROM stg WHERE event_timestamp % 13 = 0"""
     out["stream_compacted"] = out["stream_dedupe"]
 
+    sections = {"totals": "model_totals", "channel_breakdown": "channel_breakdown", "channel_daily": "channel_daily",
+                "trend": "trend_14", "live_events": "latest_events_20"}
+    lines = "SELECT 'meta' AS section, '2024-01-31' AS generated_at" + "".join(
+        f"\nUNION ALL BY NAME SELECT '{section}' AS section, * FROM ({out[name]})" for section, name in sections.items())
+    counters = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in ("conversions", "first_click", "last_click", "chart_max"))
+    out["report_bundle"] = f"SELECT * REPLACE ({counters}) FROM ({lines})"
+
     out["dq_not_null"] = c30 + f", {DAILY_CTE}\n" + _not_null_sql()
     out["dq_unique"] = c30 + "\n" + _unique_sql()
     out["dq_accepted_values"] = c30 + f", {DAILY_CTE}\n" + ACCEPTED_SQL

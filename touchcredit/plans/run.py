@@ -92,16 +92,15 @@ def run_batch(spark: SparkSession, export_path: str, stream_table_path: str | No
         quality.rowcount_vs_trailing(daily, as_of),
     )
     marts.write_mart(summary, paths["dq_summary"])
-    # report document (one small JSON row) from the written tables
+    # the report, from the written tables
     paths["report_bundle"] = f"{out_dir}/report_bundle"
     live = (reports.latest_events(stream, 20) if stream is not None
             else spark.createDataFrame([], "event_id string, event_name string, user_pseudo_id string, "
                                            "source string, medium string, purchase_revenue double, "
                                            "ingested_at string"))
-    reports.bundle(spark.read.parquet(paths["model_totals"]), spark.read.parquet(paths["channel_breakdown"]),
-                   spark.read.parquet(paths["trend"]), live, generated_at=as_of.isoformat(),
-                   daily_path=paths["mart_channel_daily"]) \
-        .coalesce(1).write.mode("overwrite").text(paths["report_bundle"])  # one row, one file
+    reports.write_report(reports.report_lines(
+        *[spark.read.parquet(paths[k]) for k in ("model_totals", "channel_breakdown", "mart_channel_daily", "trend")],
+        live, generated_at=as_of.isoformat()), paths["report_bundle"])
     return paths
 
 
@@ -130,6 +129,6 @@ def run_csv(spark: SparkSession, csv_path: str, config: AttributionConfig,
 
 
 def read_outputs(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
-    """Written outputs as DataFrames (the report document is JSON text)."""
-    return {k: (spark.read.text(v) if k == "report_bundle" else spark.read.parquet(v))
+    """Written outputs as DataFrames (the report with the fields of its lines)."""
+    return {k: (reports.read_report(spark, v) if k == "report_bundle" else spark.read.parquet(v))
             for k, v in paths.items()}

@@ -55,3 +55,26 @@ def restrict_window(raw: DataFrame, as_of: _dt.date | None, days: int | None) ->
     """Apply the trailing window to an already loaded raw frame."""
     pred = window_predicate(as_of, days)
     return raw if pred is None else raw.where(pred)
+
+
+def write_days(spark: SparkSession, path: str) -> None:
+    """``<path>-days``: one row for each day the export holds, with its number of events (counted from file footers).
+    To be renewed after each ``write_export``."""
+    (spark.read.schema(RAW_BATCH).parquet(path).groupBy("event_date").agg(F.count(F.lit(1)).alias("n_rows"))
+     .write.mode("overwrite").parquet(f"{path}-days"))
+
+
+def trailing_days(spark: SparkSession, path: str, days: int) -> DataFrame:
+    """The days (``event_date``) of the export from ``days`` before the newest one it holds on; events without a
+    date are in none."""
+    held = spark.read.schema("event_date string, n_rows bigint").parquet(f"{path}-days")
+    newest = held.agg(F.max("event_date")).scalar()
+    first = F.date_format(F.date_sub(F.to_date(newest, "yyyyMMdd"), int(days)), "yyyyMMdd")
+    return held.where(F.col("event_date") >= first).select("event_date")
+
+
+def read_trailing(spark: SparkSession, path: str, days: int = 60) -> DataFrame:
+    """S1 without a stated ``as_of``: the trailing window ends with the newest day of the export. The window is a relation
+    that only running the query can tell, so the scan is pruned then: the join with the days becomes a dynamic filter
+    on the partition column, and days outside are not listed for reading."""
+    return spark.read.schema(RAW_BATCH).parquet(path).join(trailing_days(spark, path, days), "event_date", "left_semi")
