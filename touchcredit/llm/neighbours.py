@@ -1,12 +1,12 @@
 """Approximate nearest neighbours: an NN-descent graph and greedy search on it.
 
 Equal vectors are one node. The graph starts from exact neighbours within small blocks of vectors that share
-their nearest pivot (``SETS`` sets of pivots; a block has about ``BLOCK`` vectors, larger ones are dealt out by
-hash). Each round joins a sample of every node's neighbours, in both directions, with each other (neighbours of
+their nearest pivot (``SETS`` sets of pivots; a block has about ``BLOCK`` vectors, larger cells are split by pivots of their
+own, see ``cells``, and those that cannot be split are dealt out by hash). Each round joins a sample of every node's neighbours, in both directions, with each other (neighbours of
 neighbours) and keeps the best ``DEGREE`` for each node, until less than the share ``STOP`` of them changes, however
 many rounds that takes (a list only ever improves, so the rounds end). A search holds a beam of the best nodes seen for
 each query; in each round the beam's unexpanded nodes are joined with their neighbours. All rounds are Spark
-joins; pivots, at most ``PIVOTS`` vectors, are all that comes to the driver.
+joins; the first pivots, at most ``PIVOTS`` vectors of a set, are all that comes to the driver, and cells grow in number beyond them.
 
 The beam's best are ranked again by exact cosine in double precision on the original vectors; equal vectors
 come in by their smallest ids, of which no more than the wanted number are needed.
@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from touchcredit.llm.cells import matrix, split_cells
 from touchcredit.llm.common import cut, table
 
 NEAREST = 5
@@ -73,16 +74,12 @@ def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x], pa.binary())], ["node", "unit"])
 
 
-def _matrix(units) -> np.ndarray:
-    return np.frombuffer(b"".join(units), np.float16).reshape(len(units), -1).astype(np.float32)
-
-
 def _place(pivots: list[np.ndarray]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Adds the nearest pivot of each set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x = _matrix(batch.column(1).to_pylist())
+                x = matrix(batch.column(1).to_pylist())
                 for k, p in enumerate(pivots):
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0), batch.column(1), pa.array(np.full(len(x), k, np.int32)),
@@ -96,7 +93,7 @@ def _edges(node: np.ndarray, other: np.ndarray, sim: np.ndarray) -> pd.DataFrame
 
 
 def _block_neighbours(pdf: pd.DataFrame) -> pd.DataFrame:
-    x, node = _matrix(list(pdf["unit"])), pdf["node"].to_numpy()
+    x, node = matrix(list(pdf["unit"])), pdf["node"].to_numpy()
     k = min(DEGREE // 2, len(x) - 1)
     if k < 1:
         return _edges(node[:0], node[:0], np.zeros(0))
@@ -110,7 +107,7 @@ def _local_join(pdf: pd.DataFrame) -> pd.DataFrame:
     """For each centre v of a group, the similarities of all pairs of its neighbours: for each, those of the best
     few that beat its worst neighbour."""
     pdf = pdf.sort_values("v", kind="stable")
-    x, u, worst = _matrix(list(pdf["unit"])), pdf["u"].to_numpy(), pdf["worst"].to_numpy()
+    x, u, worst = matrix(list(pdf["unit"])), pdf["u"].to_numpy(), pdf["worst"].to_numpy()
     _, first, size = np.unique(pdf["v"].to_numpy(), return_index=True, return_counts=True)
     width = int(size.max())
     at = first[:, None] + np.arange(width)
@@ -146,11 +143,12 @@ def build_graph(nodes: DataFrame) -> tuple[DataFrame, list[tuple[int, bytes]]]:
     sets = [_sample(nodes, pivots, salt) for salt in range(SETS)] if n else []
     if not n:
         return nodes.select(F.col("node").alias("u"), F.col("node").alias("w"), F.lit(0.0).cast("float").alias("sim")), []
-    placed = cut(nodes.mapInArrow(_place([_matrix([v for _, v in s]) for s in sets]),
+    placed = cut(nodes.mapInArrow(_place([matrix([v for _, v in s]) for s in sets]),
                                   "node bigint, unit binary, round int, pivot int"))
-    sizes = placed.groupBy("round", "pivot").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
-    blocks = placed.join(sizes, ["round", "pivot"]).withColumn("part", F.pmod(F.xxhash64("node", "round"), "parts"))
-    found = (blocks.select("node", "unit", "round", "pivot", "part").groupBy("round", "pivot", "part")
+    placed = split_cells(placed.select("node", "unit", F.xxhash64("round", "pivot").alias("cell")), BLOCK)
+    sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    blocks = placed.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("node", "cell"), "parts"))
+    found = (blocks.select("node", "unit", "cell", "part").groupBy("cell", "part")
              .applyInPandas(_block_neighbours, "u bigint, w bigint, sim float"))
     best_first = [F.col("sim").desc(), F.col("w")]
     graph = cut(_top(found.distinct(), "u", best_first, DEGREE))
@@ -176,11 +174,11 @@ def build_graph(nodes: DataFrame) -> tuple[DataFrame, list[tuple[int, bytes]]]:
 
 def _entries(pivots: list[tuple[int, bytes]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, p = np.array([i for i, _ in pivots]), _matrix([v for _, v in pivots])
+        ids, p = np.array([i for i, _ in pivots]), matrix([v for _, v in pivots])
         k = min(ENTRIES, len(ids))
         for batch in batches:
             if batch.num_rows:
-                s = _matrix(batch.column(1).to_pylist()) @ p.T
+                s = matrix(batch.column(1).to_pylist()) @ p.T
                 best = np.argpartition(-s, k - 1, axis=1)[:, :k]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(batch.column(0).to_numpy(), k)), pa.array(ids[best].ravel()),
@@ -193,7 +191,7 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             q, node, a, b = batch.columns
-            sim = np.einsum("ij,ij->i", _matrix(a.to_pylist()), _matrix(b.to_pylist()))
+            sim = np.einsum("ij,ij->i", matrix(a.to_pylist()), matrix(b.to_pylist()))
             yield pa.RecordBatch.from_arrays([q, node, pa.array(sim)], ["q", "node", "sim"])
 
 
