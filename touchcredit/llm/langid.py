@@ -35,6 +35,8 @@ DIM = 1 << 13
 PARTS, HELD = 4, 2
 SAMPLE = 1600
 UNKNOWN = "und"
+#: Bytes of text that a task takes at once: some 100 bytes of arrays a byte of text.
+PIECE = 1 << 18
 #: Bits of a language's table of 4-byte runs; every so manieth training text is kept out of it, to measure.
 RUN_BITS = 18
 KEPT_OUT = 5
@@ -118,7 +120,7 @@ def linear_svm(x: np.ndarray, y: np.ndarray, steps: int = 100, ridge: float = 1e
     step = 1.0 / (2 * float(np.einsum("ij,ij->i", x, x).max()) + 2 + ridge)
     for k in range(steps):
         slack = np.maximum(0, 1 - y * (x @ v + c)).astype(np.float32) * y * share
-        w2, b2 = v + step * (2 * x.T @ slack - ridge * v), c + step * 2 * float(slack.sum())
+        w2, b2 = v + step * (2 * (x.T @ slack) - ridge * v), c + step * 2 * float(slack.sum())
         m = k / (k + 3)
         v, c = w2 + m * (w2 - w), b2 + m * (b2 - b)
         w, b = w2, b2
@@ -150,8 +152,10 @@ def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
         is_a, is_b = np.isin(langs, left), np.isin(langs, right)
         on = is_a | is_b
         y = np.where(is_a[on], 1.0, -1.0).astype(np.float32)
-        w, bias = linear_svm(x[on], y)
-        margin = x[on] @ w + bias
+        own = x if on.all() else x[on]
+        w, bias = linear_svm(own, y)
+        margin = own @ w + bias
+        del own  # else it stays while the next pair's rows are copied
         # slope of a logistic curve through the margins
         slope = 1.0
         for _ in range(30):
@@ -208,7 +212,7 @@ def _predictor(model: dict) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
         floor = np.array([*model["floors"].values()] and [model["floors"][x] for x in names] + [2.0])
         seen = np.unpackbits(np.frombuffer(model["runs"], np.uint8)).reshape(len(names), -1).astype(bool) if names else None
         for batch in batches:
-            for piece in slices(batch, "text", 1 << 20):
+            for piece in slices(batch, "text", PIECE):
                 n = piece.num_rows
                 raw, offsets = text_bytes(piece.column(1))
                 sums = np.zeros((n, w.shape[1]))
@@ -265,12 +269,11 @@ def keep_known(docs: DataFrame, model: dict) -> DataFrame:
     Without learned languages no row stays."""
     run = _predictor(model)
 
-    @F.pandas_udf("boolean")
-    def known(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.arrow_udf("boolean")  # texts stay in Arrow: as pandas objects a batch takes its size twice more
+    def known(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for text, letter in parts:
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(text), np.int64)), pa.array(text, pa.string()), pa.array(letter, pa.bool_())], ["doc_id", "text", "letter"])
-            found = [b.column("known").to_pandas() for b in run(iter([batch]))]
-            yield pd.concat(found, ignore_index=True) if found else pd.Series([], dtype=bool)
+            batch = pa.RecordBatch.from_arrays([pa.nulls(len(text), pa.int64()), text, letter], ["doc_id", "text", "letter"])
+            found = [b.column(b.schema.get_field_index("known")) for b in run(iter([batch]))]
+            yield pa.concat_arrays(found) if found else pa.array([], pa.bool_())
 
     return docs.where(known(F.col("text"), has_letter(F.col("text"))))
